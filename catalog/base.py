@@ -9,22 +9,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from catalog.parts import compose
 from gridcast.session import utc_session
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
-DIGITS = 6
 
 _SPARK = {
-    "ts": lambda c: c.cast("timestamp_ntz"),
-    "day": lambda c: F.date_format(c, "yyyy-MM-dd"),
-    "num": lambda c: F.round(c.cast("double"), DIGITS),
-    "int": lambda c: c.cast("bigint"),
-    "bool": lambda c: c.cast("boolean"),
-    "text": lambda c: c.cast("string"),
+    "ts": "cast({} as timestamp_ntz)",
+    "day": "date_format({}, 'yyyy-MM-dd')",
+    "num": "round(cast({} as double), 6)",
+    "int": "cast({} as bigint)",
+    "bool": "cast({} as boolean)",
+    "text": "cast({} as string)",
 }
 _SQL = {
     "ts": "cast({} as timestamp)",
@@ -47,7 +45,7 @@ def query(name: str, columns: str, sql: str | None = None):
     def register(build):
         def run(spark: SparkSession, folder: str) -> DataFrame:
             df = build(utc_session(spark), folder)
-            return df.select(*[_SPARK[kind](F.col(column)).alias(column) for column, kind in fields])
+            return df.selectExpr(*[f"{_SPARK[kind].format(column)} as {column}" for column, kind in fields])
 
         run.__doc__ = build.__doc__
         QUERIES[name] = run

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LOCAL_ZONE = "America/Edmonton"
@@ -20,20 +20,22 @@ def is_weekend(ts: Column) -> Column:
     return F.weekday(ts) >= 5
 
 
-def _div(a: Column, b: int) -> Column:
-    return F.call_function("div", a, F.lit(b)).cast("int")
-
-
-def easter_sunday(year: Column) -> Column:
-    """Gregorian Easter Sunday by the anonymous (Meeus/Jones/Butcher) computus."""
-    golden = year % 19
-    century, in_century = _div(year, 100), year % 100
-    moon_shift = _div(century - _div(century + 8, 25) + 1, 3)
-    epact = (golden * 19 + century - _div(century, 4) - moon_shift + 15) % 30
-    to_sunday = (F.lit(32) + (century % 4) * 2 + _div(in_century, 4) * 2 - epact - in_century % 4) % 7
-    late = _div(golden + epact * 11 + to_sunday * 22, 451)
-    days = epact + to_sunday - late * 7 + 114
-    return F.make_date(year, _div(days, 31), (days % 31 + 1).cast("int"))
+def with_easter(df: DataFrame, year: str = "year", name: str = "easter") -> DataFrame:
+    """Add Gregorian Easter Sunday by the anonymous (Meeus/Jones/Butcher) computus.
+
+    Each step is its own column because later steps use it several times;
+    nested in one expression the formula would repeat itself many times over.
+    """
+    steps = {
+        "_century": "{y} div 100",
+        "_moon": "(19 * ({y} % 19) + _century - _century div 4 - (_century - (_century + 8) div 25 + 1) div 3 + 15) % 30",
+        "_to_sunday": "(32 + 2 * (_century % 4) + 2 * (({y} % 100) div 4) - _moon - ({y} % 100) % 4) % 7",
+        "_days": "_moon + _to_sunday - 7 * (({y} % 19 + 11 * _moon + 22 * _to_sunday) div 451) + 114",
+        name: "make_date({y}, cast(_days div 31 as int), cast(_days % 31 + 1 as int))",
+    }
+    for column, formula in steps.items():
+        df = df.withColumn(column, F.expr(formula.format(y=year)))
+    return df.drop("_century", "_moon", "_to_sunday", "_days")
 
 
 def nth_monday(year: Column, month: int, nth: int) -> Column:

@@ -34,23 +34,26 @@ def asof_latest(
     spans and the newest row of every span is handed to the next one that has
     rows, so a hot key is spread over as many tasks as it has spans.
     """
-    left_columns = left.columns
-    feed_types = {feed.name: f"struct<{','.join(f'`{n}`:{t}' for n, t in feed.df.drop(*on).dtypes)}>" for feed in feeds}
+    fields = {"_left": [c for c in left.columns if c not in on]}
+    types = {"_left": _struct_type(left, fields["_left"])}
+    for feed in feeds:
+        fields[feed.name] = [c for c in feed.df.columns if c not in on]
+        types[feed.name] = _struct_type(feed.df, fields[feed.name])
 
-    def stacked(df, at, side, filled):
+    def stacked(df, name, side):
         parts = [
-            filled.get(name, F.lit(None).cast(kind)).alias(name)
-            for name, kind in {"_left": left_type, **feed_types}.items()
+            f"struct({', '.join(f'`{c}`' for c in fields[name])}) as {name}" if name == own
+            else f"cast(null as {types[own]}) as {own}"
+            for own in types
         ]
-        return df.select(*on, at.alias("_at"), F.lit(side).alias("_side"), *parts)
+        return df.selectExpr(*on, "_at", f"{side} as _side", *parts)
 
-    payload = [c for c in left_columns if c not in on]
-    left_type = f"struct<{','.join(f'`{n}`:{t}' for n, t in left.select(*payload).dtypes)}>"
-    rows = stacked(left, left_at, len(feeds), {"_left": F.struct(*payload)})
+    rows = stacked(left.withColumn("_at", left_at), "_left", len(feeds))
     for side, feed in enumerate(feeds):
-        known = feed.df.dropna(subset=[*on, feed.at])
-        fields = [c for c in feed.df.columns if c not in on]
-        rows = rows.unionByName(stacked(known, F.col(feed.at), side, {feed.name: F.struct(*fields)}))
+        known = feed.df.withColumn("_at", F.col(feed.at)).where(
+            " and ".join(f"{c} is not null" for c in [*on, "_at"])
+        )
+        rows = rows.unionByName(stacked(known, feed.name, side))
 
     partition = list(on)
     if span is not None:
@@ -65,10 +68,15 @@ def asof_latest(
     return (
         rows.select(*on, "_left", *[F.last(f.name, ignorenulls=True).over(so_far).alias(f.name) for f in feeds])
         .where("_left is not null")
-        .select(*[F.col(f"_left.{c}") if c in payload else F.col(c) for c in left_columns], *[f.name for f in feeds])
+        .selectExpr(*[c if c in on else f"_left.`{c}` as `{c}`" for c in left.columns], *[f.name for f in feeds])
     )
 
 
+def _struct_type(df: DataFrame, columns: list[str]) -> str:
+    types = dict(df.dtypes)
+    return f"struct<{', '.join(f'`{c}`: {types[c]}' for c in columns)}>"
+
+
 def _carried_over(rows: DataFrame, on: list[str], feeds: list[Feed]) -> DataFrame:
     """Per key and span, the newest feed rows of the spans before, placed at the span's start."""
     newest = rows.groupBy(*on, "_span").agg(

@@ -67,23 +67,24 @@ def lags_and_means(
         .withColumn("_own", own)
         .withColumn("_bucket", F.explode(F.when(is_tail, F.array("_own", F.col("_own") + 1)).otherwise(F.array("_own"))))
     )
-    order = Window.partitionBy(*keys, "_bucket").orderBy("_index")
-    running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    over = f"(partition by {', '.join([*keys, '_bucket'])} order by _index"
+    running = f"over {over} rows between unbounded preceding and current row)"
+    types = dict(df.dtypes)
 
-    for source in {column for column, _ in means.values()}:
-        exact = F.col(source) if "decimal" in dict(df.dtypes)[source] else F.col(source).try_cast("decimal(22,6)")
-        bucketed = bucketed.withColumn(f"_sum_{source}", F.coalesce(F.sum(exact).over(running), F.lit(0)))
-        bucketed = bucketed.withColumn(f"_n_{source}", F.count(exact).over(running))
+    sums = []
+    for source in dict.fromkeys(column for column, _ in means.values()):
+        exact = source if "decimal" in types[source] else f"try_cast({source} as decimal(22,6))"
+        sums += [f"coalesce(sum({exact}) {running}, 0) as _sum_{source}", f"count({exact}) {running} as _n_{source}"]
 
-    added = {name: F.lag(column, rows).over(order) for name, (column, rows) in lags.items()}
+    added = [f"lag({column}, {rows}) over {over}) as {name}" for name, (column, rows) in lags.items()]
     for name, (column, rows) in means.items():
-        total = F.col(f"_sum_{column}") - F.coalesce(F.lag(f"_sum_{column}", rows).over(order), F.lit(0))
-        count = F.col(f"_n_{column}") - F.coalesce(F.lag(f"_n_{column}", rows).over(order), F.lit(0))
-        added[name] = F.when(count > 0, total.cast("double") / count)
+        total = f"(_sum_{column} - coalesce(lag(_sum_{column}, {rows}) over {over}), 0))"
+        count = f"(_n_{column} - coalesce(lag(_n_{column}, {rows}) over {over}), 0))"
+        added.append(f"case when {count} > 0 then cast({total} as double) / {count} end as {name}")
     return (
-        bucketed.select("*", *[value.alias(name) for name, value in added.items()])
+        bucketed.selectExpr("*", *sums).selectExpr("*", *added)
         .where("_bucket = _own")
-        .select(*df.columns, *added)
+        .select(*df.columns, *lags, *means)
     )
 
 
@@ -108,13 +109,13 @@ def shifted_lookup(
         df.select(*keys, F.col(ts).alias("_from"), *sources, F.explode(F.array(*[F.lit(n) for n in shifts])).alias("_shift"))
         .withColumn(ts, F.col("_from") + hours(F.col("_shift")))
     )
-    at = lambda column, shift: F.max(F.when(F.col("_shift") == shift, F.col(column)))
+    at = "max(case when _shift = {1} then {0} end) as `{2}`"
     return (
         pieces.groupBy(*keys, ts)
         .agg(
             F.max(F.col("_shift") == 0).alias("_present"),
-            *[at(column, 0).alias(column) for column in own],
-            *[at(column, shift).alias(name) for name, (column, shift) in lookups.items()],
+            *[F.expr(at.format(column, 0, column)) for column in own],
+            *[F.expr(at.format(column, shift, name)) for name, (column, shift) in lookups.items()],
         )
         .where("_present")
         .drop("_present")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridcast.functions.dates import (
-    easter_sunday, hours, is_weekend, local_time, monday_on_or_before, nth_monday, weekend_moved,
+    hours, is_weekend, local_time, monday_on_or_before, nth_monday, weekend_moved, with_easter,
 )
 
 
@@ -36,34 +36,37 @@ def holiday_dates(years: DataFrame) -> DataFrame:
     """Eleven holidays per year with their actual and observed dates."""
     year = F.col("year")
     fixed = lambda month, day: F.make_date(year, F.lit(month), F.lit(day))
-    weekend_to = lambda day, moved: F.when(F.weekday(day) >= 5, fixed(12, moved)).otherwise(day)
-    christmas, boxing = fixed(12, 25), fixed(12, 26)
 
-    # fixed values: name, actual date, observed date (None: weekend days move), Alberta, Canada
+    # fixed values: name, actual date, date a weekend day is observed on (None: the Monday after), Alberta, Canada
     rules = [
         ("New Year's Day", fixed(1, 1), None, True, True),
         ("Alberta Family Day", nth_monday(year, 2, 3), None, True, False),
-        ("Good Friday", F.date_sub(easter_sunday(year), 2), None, True, True),
+        ("Good Friday", F.date_sub("easter", 2), None, True, True),
         ("Victoria Day", monday_on_or_before(fixed(5, 24)), None, True, True),
         ("Canada Day", fixed(7, 1), None, True, True),
         ("Labour Day", nth_monday(year, 9, 1), None, True, True),
         ("National Day for Truth and Reconciliation", fixed(9, 30), None, False, True),
         ("Thanksgiving Day", nth_monday(year, 10, 2), None, True, True),
         ("Remembrance Day", fixed(11, 11), None, True, True),
-        ("Christmas Day", christmas, weekend_to(christmas, 27), True, True),
-        ("Boxing Day", boxing, weekend_to(boxing, 28), False, True),
+        ("Christmas Day", fixed(12, 25), fixed(12, 27), True, True),
+        ("Boxing Day", fixed(12, 26), fixed(12, 28), False, True),
     ]
     entries = F.array(*[
         F.struct(
             F.lit(name).alias("holiday_name"),
             actual.alias("actual_date"),
-            (weekend_moved(actual) if observed is None else observed).alias("observed_date"),
+            (F.lit(None).cast("date") if moved is None else moved).alias("moved_date"),
             F.lit(alberta).alias("is_alberta_stat_holiday"),
             F.lit(canada).alias("is_canada_stat_holiday"),
         )
-        for name, actual, observed, alberta, canada in rules
+        for name, actual, moved, alberta, canada in rules
     ])
-    return years.select("year", F.inline(entries))
+    actual = F.col("actual_date")
+    observed = F.when(F.weekday(actual) >= 5, F.coalesce("moved_date", weekend_moved(actual))).otherwise(actual)
+    return with_easter(years).select("year", F.inline(entries)).select(
+        "year", "holiday_name", "actual_date", observed.alias("observed_date"),
+        "is_alberta_stat_holiday", "is_canada_stat_holiday",
+    )
 
 
 def holidays_by_date(dates: DataFrame) -> DataFrame:

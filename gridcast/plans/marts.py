@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridcast.contracts import HORIZONS
@@ -34,14 +34,20 @@ _INTERTIE = [
 ]
 
 
-def known_lag(horizon: Column, lag_hours: int, column: str) -> Column:
+def known_lag(lag_hours: int, column: str) -> str:
     """A lag is usable only when its hour is not after the issue hour."""
-    return F.when(horizon <= lag_hours, F.col(column))
+    return f"case when horizon_hours <= {lag_hours} then {column} end as {column}"
 
 
-def age_hours(as_of: str, issued: Column) -> Column:
-    seconds = F.unix_timestamp(as_of) - F.unix_timestamp(issued)
-    return (seconds / 3600).cast("decimal(10,2)")
+def snapshot_columns(prefix: str, issued: str, struct: str, columns: list[str]) -> list[str]:
+    """Issue, target and age of the joined snapshot, then its values; all null without one."""
+    seconds = f"(unix_timestamp(feature_as_of_timestamp_utc) - unix_timestamp({issued}))"
+    return [
+        f"{issued} as {prefix}_issue_utc",
+        f"case when {issued} is not null then target_timestamp_utc end as {prefix}_target_utc",
+        f"cast({seconds} / 3600 as decimal(10,2)) as {prefix}_age_hours",
+        *[f"{struct}.{column}" for column in columns],
+    ]
 
 
 def target_hours(energy: DataFrame, horizons: list[int] = HORIZONS) -> DataFrame:
@@ -53,14 +59,11 @@ def target_hours(energy: DataFrame, horizons: list[int] = HORIZONS) -> DataFrame
         energy.where(F.col("load_mw").isNotNull()), "timestamp_utc", own,
         {f"{column}@{h}": (column, h) for h in horizons for column in at_issue},
     )
-    issues = F.array(*[
-        F.struct(F.lit(h).alias("horizon_hours"), *[F.col(f"`{c}@{h}`").alias(f"issue_{c}") for c in at_issue])
-        for h in horizons
-    ])
+    issue = "struct({0} as horizon_hours, " + ", ".join(f"`{c}@{{0}}` as issue_{c}" for c in at_issue) + ")"
+    issues = f"inline(array({', '.join(issue.format(h) for h in horizons)}))"
     return (
-        joined.select("timestamp_utc", *own, F.inline(issues))
-        .where(F.col("issue_load_mw").isNotNull())
-        .withColumnRenamed("timestamp_utc", "target_timestamp_utc")
+        joined.selectExpr("timestamp_utc as target_timestamp_utc", *own, issues)
+        .where("issue_load_mw is not null")
         .withColumn("feature_as_of_timestamp_utc", F.col("target_timestamp_utc") - hours(F.col("horizon_hours")))
     )
 
@@ -68,7 +71,7 @@ def target_hours(energy: DataFrame, horizons: list[int] = HORIZONS) -> DataFrame
 def feed_sides(weather: DataFrame, generation: DataFrame, intertie: DataFrame) -> list[Feed]:
     """The three snapshot tables as right sides keyed by target hour."""
     def side(name, df, issue, target, columns):
-        return Feed(name, df.select(F.col(target).alias("target_timestamp_utc"), issue, *columns), issue)
+        return Feed(name, df.selectExpr(f"{target} as target_timestamp_utc", issue, *columns), issue)
 
     return [
         side("weather", weather, "forecast_issue_utc", "forecast_target_utc", _WEATHER),
@@ -89,40 +92,29 @@ def training_set(
         target_hours(energy, horizons), feed_sides(weather, generation, intertie),
         ["target_timestamp_utc"], F.col("feature_as_of_timestamp_utc"),
     )
-    as_of, horizon = "feature_as_of_timestamp_utc", F.col("horizon_hours")
-    issued = {
-        "weather_forecast": F.col("weather.forecast_issue_utc"),
-        "generation_availability": F.col("generation.availability_issue_utc"),
-        "intertie_schedule": F.col("intertie.schedule_issue_utc"),
-    }
-    stamp = F.date_format("target_timestamp_utc", "yyyy-MM-dd HH:mm:ss")
-
-    def snapshot(prefix, struct, columns):
-        return [
-            issued[prefix].alias(f"{prefix}_issue_utc"),
-            F.when(issued[prefix].isNotNull(), F.col("target_timestamp_utc")).alias(f"{prefix}_target_utc"),
-            age_hours(as_of, issued[prefix]).alias(f"{prefix}_age_hours"),
-            *[F.col(f"{struct}.{c}").alias(c) for c in columns],
-        ]
-
-    return rows.select(
-        F.md5(F.concat_ws(":", stamp, horizon.cast("string"))).alias("training_row_id"),
+    weather_at, generation_at, intertie_at = (
+        "weather.forecast_issue_utc", "generation.availability_issue_utc", "intertie.schedule_issue_utc"
+    )
+    return rows.selectExpr(
+        "md5(concat_ws(':', date_format(target_timestamp_utc, 'yyyy-MM-dd HH:mm:ss'), horizon_hours)) as training_row_id",
         "horizon_hours",
-        as_of,
-        F.greatest(as_of, *issued.values()).alias("feature_max_source_timestamp_utc"),
+        "feature_as_of_timestamp_utc",
+        f"greatest(feature_as_of_timestamp_utc, {weather_at}, {generation_at}, {intertie_at}) as feature_max_source_timestamp_utc",
         "target_timestamp_utc",
-        F.col("load_mw").alias("target_load_mw"),
-        F.col("pool_price_cad_mwh").alias("actual_pool_price_cad_mwh"),
+        "load_mw as target_load_mw",
+        "pool_price_cad_mwh as actual_pool_price_cad_mwh",
         *_TARGET_DAY,
-        *[known_lag(horizon, n, f"load_lag_{n}h").alias(f"load_lag_{n}h") for n in (1, 24, 168)],
-        F.col("issue_load_rolling_24h_avg").alias("load_rolling_24h_avg"),
-        F.col("issue_load_rolling_168h_avg").alias("load_rolling_168h_avg"),
-        known_lag(horizon, 24, "price_lag_24h").alias("price_lag_24h"),
-        F.col("issue_price_rolling_24h_avg").alias("price_rolling_24h_avg"),
-        F.col("issue_pool_price_cad_mwh").alias("latest_known_pool_price_cad_mwh"),
-        *snapshot("weather_forecast", "weather", _WEATHER),
-        *snapshot("generation_availability", "generation", _GENERATION),
-        *snapshot("intertie_schedule", "intertie", _INTERTIE),
+        known_lag(1, "load_lag_1h"),
+        known_lag(24, "load_lag_24h"),
+        known_lag(168, "load_lag_168h"),
+        "issue_load_rolling_24h_avg as load_rolling_24h_avg",
+        "issue_load_rolling_168h_avg as load_rolling_168h_avg",
+        known_lag(24, "price_lag_24h"),
+        "issue_price_rolling_24h_avg as price_rolling_24h_avg",
+        "issue_pool_price_cad_mwh as latest_known_pool_price_cad_mwh",
+        *snapshot_columns("weather_forecast", weather_at, "weather", _WEATHER),
+        *snapshot_columns("generation_availability", generation_at, "generation", _GENERATION),
+        *snapshot_columns("intertie_schedule", intertie_at, "intertie", _INTERTIE),
         "latest_ingestion_time",
     )
 

@@ -13,6 +13,16 @@ def utc_session(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# fixed values: settings that must be chosen when the session is built
+BUILD_SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    # Recording a Python call site per column expression costs several round
+    # trips to the JVM each, which shows in plans of hundreds of columns.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
+
 def _checkpoint_dir(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context.getCheckpointDir() is not None:
