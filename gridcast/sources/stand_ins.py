@@ -101,3 +101,70 @@ def daily_series(spark: SparkSession, folder: str) -> DataFrame:
             F.max(amount).cast("decimal(12,2)").alias("pool_price_cad_mwh"),
         )
     )
+
+
+def model_registry(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers as registered models; flags, times and JSON come as untidy text."""
+    key = F.col("c_custkey")
+    day_text = lambda start, span: F.date_format(F.date_add(F.lit(start).cast("date"), (key % span).cast("int")), "yyyy-MM-dd HH:mm:ss")
+    return table(spark, folder, "customer").select(
+        F.concat(F.lit("m"), key.cast("string")).alias("model_id"),
+        F.concat(F.lit("name-"), (key % 7).cast("string")).alias("model_name"),
+        (key % 25 + 1).cast("int").alias("horizon_hours"),
+        F.when(key % 10 != 4, _pick(key, "Yes", " TRUE ", "1", "on", "", "no", "0", "false", "n", "x")).alias("is_preferred"),
+        F.when(key % 3 == 0, None).when(key % 7 == 0, "not a time").otherwise(day_text("2024-01-01", 300)).alias("preferred_at"),
+        day_text("2023-06-01", 200).alias("trained_at"),
+        F.when(key % 4 != 3, _pick(key, '["load_lag_24h"]', '["a", "b", "c"]', "broken [", "")).alias("feature_names"),
+        _pick(key, '{"rule": "load_lag_168h"}', "[1, 2]", "nope", '{"depth": 4}').alias("parameters"),
+        key.alias("key"),
+    )
+
+
+def backtest_trials(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders per customer and year as backtest results per model and window."""
+    key, price = F.col("o_custkey"), F.col("o_totalprice").cast("decimal(12,2)")
+    by_window = (
+        table(spark, folder, "orders").groupBy(key, F.year("o_orderdate").alias("y"))
+        .agg(
+            F.count(F.lit(1)).alias("n"), F.sum(price).cast("double").alias("s"), F.min(price).cast("double").alias("lo"),
+            F.max(price).cast("double").alias("hi"), F.count_if(F.col("o_orderstatus") == "F").alias("f"),
+        )
+    )
+    return by_window.selectExpr(
+        "concat('run-', o_custkey % 3) as run_id",
+        "concat('m', o_custkey) as model_id",
+        "concat('name-', o_custkey % 7) as model_name",
+        "cast(o_custkey % 25 + 1 as int) as horizon_hours",
+        "concat('y', y) as window_id",
+        "if(o_custkey % 17 = 0 and y = 1998, double('NaN'), s / n / 1000) as mae",
+        "s / n / 1000 * 1.2D as rmse",
+        "cast(n as double) as mape",
+        "(lo - hi) / 1000 as mean_error",
+        "hi / 1000 as median_absolute_error",
+        "if(o_custkey % 13 = 0, null, lo / 1000) as peak_period_mae",
+        "f / n as underprediction_rate",
+        "timestamp'2024-01-01 00:00:00' + make_dt_interval(cast(o_custkey % 3 as int)) as evaluated_at",
+    )
+
+
+def untidy_market(spark: SparkSession, folder: str) -> DataFrame:
+    """Events as the text of a market CSV: two time spellings, thousands commas, bad and blank values."""
+    i, amount = F.col("event_id"), F.col("value").cast("decimal(12,2)")
+    return table(spark, folder, "events").select(
+        F.when(i % 13 == 0, "not-a-date").when(i % 2 == 0, F.date_format("ts", "yyyy-MM-dd H:mm"))
+        .otherwise(F.date_format("ts", "M/d/yyyy H:mm")).alias("Date_Begin_GMT"),
+        F.when(i % 11 == 0, None).when(i % 17 == 0, "bad-load")
+        .otherwise(F.concat(F.lit("9,"), F.lpad((i % 1000).cast("string"), 3, "0"))).alias("ACTUAL_AIL"),
+        F.when(i % 19 == 0, None).otherwise(amount.cast("string")).alias("ACTUAL_POOL_PRICE"),
+    )
+
+
+def untidy_feed(spark: SparkSession, folder: str, issue: str, target: str, entity: str, names: list[str], values: dict[str, str]) -> DataFrame:
+    """Events as the text of a snapshot CSV; `values` maps a column to the SQL of its text."""
+    i = F.col("event_id")
+    return table(spark, folder, "events").select(
+        F.when(i % 13 == 0, "bad-date").otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias(issue),
+        F.date_format(F.col("ts") + hours((i % 49).cast("int")), "yyyy-MM-dd HH:mm:ss").alias(target),
+        _pick(F.col("user_id"), *names).alias(entity),
+        *[F.expr(sql).alias(name) for name, sql in values.items()],
+    )
