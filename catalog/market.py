@@ -9,7 +9,7 @@ from catalog.parts import part
 from gridcast.operators.asof import Feed, asof_latest
 from gridcast.operators.dedup import dedup_latest
 from gridcast.plans import calendar as cal
-from gridcast.plans import features, marts, staging
+from gridcast.plans import features, marts, reports, staging
 from gridcast.session import settle
 from gridcast.sources import stand_ins as raw
 from gridcast.sources.feeds import GENERATION, INTERTIE, WEATHER, empty_feed
@@ -266,3 +266,48 @@ def market_overview(spark, folder):
 @query("peak_events", PEAKS, "peaks")
 def peak_events(spark, folder):
     return marts.peak_events(energy(spark, folder))
+
+
+# --- reports over the marts -------------------------------------------------------
+
+@query("market_kpis", "latest_load_mw:num average_load_mw:num peak_load_mw:num average_pool_price:num hourly_records:int", """
+select arg_max(load_mw, timestamp_utc) as latest_load_mw, avg(cast(load_mw as double)) as average_load_mw, max(load_mw) as peak_load_mw,
+  avg(cast(pool_price_cad_mwh as double)) as average_pool_price, count(*) as hourly_records from energy where load_mw is not null""")
+def market_kpis(spark, folder):
+    return reports.market_kpis(marts.market_overview(energy(spark, folder)))
+
+
+@query("daily_load", "date:day daily_average_load_mw:num daily_peak_load_mw:num", """
+select date, avg(cast(load_mw as double)) as daily_average_load_mw, max(load_mw) as daily_peak_load_mw from energy where load_mw is not null group by 1""")
+def daily_load(spark, folder):
+    return reports.daily_load(marts.market_overview(energy(spark, folder)))
+
+
+@query("top_peaks", PEAKS, "select * from peaks order by peak_rank limit 200")
+def top_peaks(spark, folder):
+    return reports.top_peaks(peak_events(spark, folder))
+
+
+@query("peak_monitor_kpis", "top_load_mw:num peak_rows:int average_peak_price:num", """
+select max(load_mw) as top_load_mw, count(*) as peak_rows, avg(cast(pool_price_cad_mwh as double)) as average_peak_price
+from (select * from peaks order by peak_rank limit 200)""")
+def peak_monitor_kpis(spark, folder):
+    return reports.peak_monitor_kpis(top_peaks(spark, folder))
+
+
+_STATS = """select '{0}' as table_name, count(*) as record_count, min(interval_start_utc) as min_timestamp_utc, max(interval_start_utc) as max_timestamp_utc,
+  max(ingested_at) as latest_ingestion_time, count(*) - count({1}) as null_value_count, count(*) - count(distinct interval_start_utc) as duplicate_timestamp_count from {0}"""
+
+
+@query("raw_quality", "table_name:text record_count:int min_timestamp_utc:ts max_timestamp_utc:ts latest_ingestion_time:ts null_value_count:int duplicate_timestamp_count:int",
+       _STATS.format("raw_load", "alberta_internal_load_mw") + " union all " + _STATS.format("raw_price", "pool_price_cad_mwh"))
+def raw_quality(spark, folder):
+    return reports.raw_quality({
+        "raw_load": (raw.raw_load(spark, folder), "alberta_internal_load_mw"),
+        "raw_price": (raw.raw_price(spark, folder), "pool_price_cad_mwh"),
+    })
+
+
+@query("missing_hours", "missing_hour_count:int", "select count(*) as missing_hour_count from ev_spine s where s.timestamp_utc not in (select interval_start_utc from raw_load)")
+def missing_hours(spark, folder):
+    return reports.missing_hours(raw.raw_load(spark, folder))
