@@ -25,15 +25,14 @@ def to_utc_timestamp(column: str) -> Column:
     return F.coalesce(*tries)
 
 
-def default_text(column: str | Column, default: str) -> Column:
-    """Trimmed text, keeping its case; blank or null becomes `default`."""
-    source = F.col(column) if isinstance(column, str) else column
-    return F.coalesce(F.nullif(F.trim(source.cast("string")), F.lit("")), F.lit(default))
+def default_text(column: str, default: str) -> str:
+    """SQL text: trimmed text, keeping its case; blank or null becomes `default`."""
+    return f"coalesce(nullif(trim(cast({column} as string)), ''), '{default}')"
 
 
-def key_text(column: str | Column, default: str) -> Column:
-    """Lower-case trimmed key text; blank or null becomes `default`."""
-    return F.lower(default_text(column, default))
+def key_text(column: str, default: str) -> str:
+    """SQL text: lower-case trimmed key; blank or null becomes `default`."""
+    return f"lower({default_text(column, default)})"
 
 
 def optional_number(df: DataFrame, column: str) -> Column:
@@ -41,7 +40,7 @@ def optional_number(df: DataFrame, column: str) -> Column:
 
 
 def optional_text(df: DataFrame, column: str, default: str) -> Column:
-    return default_text(column, default) if column in df.columns else F.lit(default)
+    return F.expr(default_text(column, default)) if column in df.columns else F.lit(default)
 
 
 def truthy(column: str | Column, words=TRUE_WORDS) -> Column:

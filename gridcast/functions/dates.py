@@ -1,4 +1,7 @@
-"""Calendar expressions on UTC instants and dates. Monday is day 0."""
+"""Calendar expressions on UTC instants and dates, mostly as SQL text. Monday is day 0.
+
+Holiday rules read the column `year`.
+"""
 
 from __future__ import annotations
 
@@ -12,12 +15,9 @@ def hours(count: int | Column) -> Column:
     return F.make_dt_interval(F.lit(0), count if isinstance(count, Column) else F.lit(count))
 
 
-def local_time(ts: Column) -> Column:
-    return F.from_utc_timestamp(ts, LOCAL_ZONE)
-
-
-def is_weekend(ts: Column) -> Column:
-    return F.weekday(ts) >= 5
+def local_time(ts: str) -> str:
+    """SQL text of the local clock time of a UTC instant."""
+    return f"from_utc_timestamp({ts}, '{LOCAL_ZONE}')"
 
 
 def with_easter(df: DataFrame, year: str = "year", name: str = "easter") -> DataFrame:
@@ -38,15 +38,16 @@ def with_easter(df: DataFrame, year: str = "year", name: str = "easter") -> Data
     return df.drop("_century", "_moon", "_to_sunday", "_days")
 
 
-def nth_monday(year: Column, month: int, nth: int) -> Column:
-    first = F.make_date(year, F.lit(month), F.lit(1))
-    return F.date_add(first, ((F.lit(7) - F.weekday(first)) % 7 + 7 * (nth - 1)).cast("int"))
+def nth_monday(month: int, nth: int) -> str:
+    first = f"make_date(year, {month}, 1)"
+    return f"date_add({first}, (7 - weekday({first})) % 7 + {7 * (nth - 1)})"
 
 
-def monday_on_or_before(day: Column) -> Column:
-    return F.date_sub(day, F.weekday(day))
+def monday_on_or_before(month: int, day: int) -> str:
+    at = f"make_date(year, {month}, {day})"
+    return f"date_sub({at}, weekday({at}))"
 
 
-def weekend_moved(day: Column) -> Column:
+def weekend_moved(day: str) -> str:
     """Saturday moves two days on and Sunday one, both to Monday."""
-    return F.date_add(day, F.when(F.weekday(day) == 5, 2).when(F.weekday(day) == 6, 1).otherwise(0))
+    return f"date_add({day}, case weekday({day}) when 5 then 2 when 6 then 1 else 0 end)"

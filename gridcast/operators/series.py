@@ -8,7 +8,7 @@ back, so every window partition is bounded.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridcast.functions.dates import hours
@@ -25,19 +25,14 @@ def row_index(df: DataFrame, ts: str, keys: list[str] = (), name: str = "row_ind
     counts meet in one place.
     """
     keys = list(keys)
+    by = ", ".join([*keys, "_span"])
+    earlier = f"over ({f'partition by {chr(44).join(keys)} ' if keys else ''}order by _span rows between unbounded preceding and 1 preceding)"
     spanned = df.withColumn("_span", F.date_trunc(SPAN_UNIT, ts))
-    earlier = Window.partitionBy(*keys).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        spanned.groupBy(*keys, "_span")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select(*keys, "_span", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
-    )
-    in_span = Window.partitionBy(*keys, "_span").orderBy(ts)
-    return (
-        spanned.join(starts, [*keys, "_span"])
-        .withColumn(name, F.col("_start") + F.row_number().over(in_span) - 1)
-        .drop("_span", "_start")
+    starts = spanned.groupBy(*keys, "_span").agg(F.expr("count(*) as _rows")).selectExpr(
+        *keys, "_span", f"coalesce(sum(_rows) {earlier}, 0) as _start"
     )
+    place = f"_start + row_number() over (partition by {by} order by {ts}) - 1 as {name}"
+    return spanned.join(starts, [*keys, "_span"]).selectExpr(*df.columns, place)
 
 
 def lags_and_means(
@@ -60,12 +55,10 @@ def lags_and_means(
     if bucket_rows <= reach:
         raise ValueError("bucket_rows must exceed the longest lag or frame")
 
-    own = F.call_function("div", F.col("_index"), F.lit(bucket_rows))
-    is_tail = F.col("_index") % bucket_rows >= bucket_rows - reach
-    bucketed = (
-        row_index(df, ts, keys, "_index")
-        .withColumn("_own", own)
-        .withColumn("_bucket", F.explode(F.when(is_tail, F.array("_own", F.col("_own") + 1)).otherwise(F.array("_own"))))
+    own = f"_index div {bucket_rows}"
+    is_tail = f"_index % {bucket_rows} >= {bucket_rows - reach}"
+    bucketed = row_index(df, ts, keys, "_index").selectExpr(
+        "*", f"{own} as _own", f"explode(if({is_tail}, array({own}, {own} + 1), array({own}))) as _bucket"
     )
     over = f"(partition by {', '.join([*keys, '_bucket'])} order by _index"
     running = f"over {over} rows between unbounded preceding and current row)"

@@ -46,60 +46,61 @@ def energy_features(calendar: DataFrame, load: DataFrame, price: DataFrame) -> D
     )
 
 
-def _mean(column: str, kind: str) -> Column:
+def _mean(column: str, kind: str, name: str) -> Column:
     """Mean of a decimal with enough digits that the final rounding is the only one."""
-    return F.avg(F.col(column).cast("decimal(20,12)")).cast(kind)
+    return F.expr(f"cast(avg(cast({column} as decimal(20,12))) as {kind}) as {name}")
+
+
+def _total(value: str, name: str, rows: str | None = None) -> Column:
+    kept = f"case when {rows} then {value} end" if rows else value
+    return F.expr(f"cast(sum({kept}) as decimal(14,2)) as {name}")
 
 
 def weather_features(staged: DataFrame) -> DataFrame:
     return staged.groupBy("forecast_issue_utc", "forecast_target_utc", "forecast_horizon_hours").agg(
-        F.count(F.lit(1)).alias("weather_forecast_region_count"),
-        _mean("temperature_c", "decimal(8,2)").alias("forecast_temperature_c"),
-        _mean("wind_speed_mps", "decimal(8,2)").alias("forecast_wind_speed_mps"),
-        _mean("relative_humidity_pct", "decimal(8,2)").alias("forecast_relative_humidity_pct"),
-        _mean("precipitation_mm", "decimal(10,3)").alias("forecast_precipitation_mm"),
-        _mean("heating_degree_c", "decimal(8,2)").alias("forecast_heating_degree_c"),
-        _mean("cooling_degree_c", "decimal(8,2)").alias("forecast_cooling_degree_c"),
-        F.max("ingested_at").alias("latest_weather_ingested_at"),
+        F.expr("count(*) as weather_forecast_region_count"),
+        _mean("temperature_c", "decimal(8,2)", "forecast_temperature_c"),
+        _mean("wind_speed_mps", "decimal(8,2)", "forecast_wind_speed_mps"),
+        _mean("relative_humidity_pct", "decimal(8,2)", "forecast_relative_humidity_pct"),
+        _mean("precipitation_mm", "decimal(10,3)", "forecast_precipitation_mm"),
+        _mean("heating_degree_c", "decimal(8,2)", "forecast_heating_degree_c"),
+        _mean("cooling_degree_c", "decimal(8,2)", "forecast_cooling_degree_c"),
+        F.expr("max(ingested_at) as latest_weather_ingested_at"),
     )
 
 
-def _total(value: str | Column) -> Column:
-    return F.sum(value).cast("decimal(14,2)")
-
-
 def generation_features(staged: DataFrame) -> DataFrame:
     """Capacity sums per snapshot; a fuel class with no row stays null."""
-    fuel, available = F.col("fuel_type"), F.col("available_capacity_mw")
-    named = [name for names in FUEL_CLASSES.values() for name in names]
-    by_class = {label: fuel.isin(*names) for label, names in FUEL_CLASSES.items()} | {"other": ~fuel.isin(*named)}
+    names = {label: ", ".join(f"'{name}'" for name in fuels) for label, fuels in FUEL_CLASSES.items()}
+    rules = {label: f"fuel_type in ({listed})" for label, listed in names.items()}
+    rules["other"] = f"fuel_type not in ({', '.join(names.values())})"
     return staged.groupBy("availability_issue_utc", "availability_target_utc", "availability_horizon_hours").agg(
-        F.count_distinct("fuel_type").alias("generation_availability_fuel_type_count"),
-        _total("available_capacity_mw").alias("available_capacity_total_mw"),
-        _total("outage_capacity_mw").alias("outage_capacity_total_mw"),
-        _total("derated_capacity_mw").alias("derated_capacity_total_mw"),
-        *[_total(F.when(rows, available)).alias(f"available_capacity_{label}_mw") for label, rows in by_class.items()],
-        F.max("ingested_at").alias("latest_generation_availability_ingested_at"),
+        F.expr("count(distinct fuel_type) as generation_availability_fuel_type_count"),
+        _total("available_capacity_mw", "available_capacity_total_mw"),
+        _total("outage_capacity_mw", "outage_capacity_total_mw"),
+        _total("derated_capacity_mw", "derated_capacity_total_mw"),
+        *[_total("available_capacity_mw", f"available_capacity_{label}_mw", rows) for label, rows in rules.items()],
+        F.expr("max(ingested_at) as latest_generation_availability_ingested_at"),
     )
 
 
 def intertie_features(staged: DataFrame) -> DataFrame:
     sums = staged.groupBy("schedule_issue_utc", "schedule_target_utc", "schedule_horizon_hours").agg(
-        F.count_distinct("intertie_id").alias("intertie_count"),
-        _total("scheduled_import_mw").alias("scheduled_import_mw"),
-        _total("scheduled_export_mw").alias("scheduled_export_mw"),
-        _total("transfer_limit_import_mw").alias("import_transfer_limit_mw"),
-        _total("transfer_limit_export_mw").alias("export_transfer_limit_mw"),
-        _total("constraint_mw").alias("intertie_constraint_mw"),
-        F.max("ingested_at").alias("latest_intertie_schedule_ingested_at"),
+        F.expr("count(distinct intertie_id) as intertie_count"),
+        _total("scheduled_import_mw", "scheduled_import_mw"),
+        _total("scheduled_export_mw", "scheduled_export_mw"),
+        _total("transfer_limit_import_mw", "import_transfer_limit_mw"),
+        _total("transfer_limit_export_mw", "export_transfer_limit_mw"),
+        _total("constraint_mw", "intertie_constraint_mw"),
+        F.expr("max(ingested_at) as latest_intertie_schedule_ingested_at"),
     )
-    less = lambda a, b: (F.col(a) - F.col(b)).cast("decimal(14,2)")
-    return sums.select(
+    less = "cast({0} - {1} as decimal(14,2)) as {2}"
+    return sums.selectExpr(
         "schedule_issue_utc", "schedule_target_utc", "schedule_horizon_hours", "intertie_count",
         "scheduled_import_mw", "scheduled_export_mw",
-        less("scheduled_import_mw", "scheduled_export_mw").alias("net_scheduled_import_mw"),
+        less.format("scheduled_import_mw", "scheduled_export_mw", "net_scheduled_import_mw"),
         "import_transfer_limit_mw", "export_transfer_limit_mw", "intertie_constraint_mw",
-        less("import_transfer_limit_mw", "scheduled_import_mw").alias("import_headroom_mw"),
-        less("export_transfer_limit_mw", "scheduled_export_mw").alias("export_headroom_mw"),
+        less.format("import_transfer_limit_mw", "scheduled_import_mw", "import_headroom_mw"),
+        less.format("export_transfer_limit_mw", "scheduled_export_mw", "export_headroom_mw"),
         "latest_intertie_schedule_ingested_at",
     )

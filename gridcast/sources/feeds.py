@@ -54,7 +54,7 @@ def transform_feed(
     columns = [
         to_utc_timestamp(feed.issue).alias(feed.issue),
         to_utc_timestamp(feed.target).alias(feed.target),
-        key_text(feed.entity, feed.entity_default).alias(feed.entity),
+        F.expr(key_text(feed.entity, feed.entity_default)).alias(feed.entity),
     ]
     if feed.unit:
         columns.append(optional_text(df, feed.unit, UNIT_DEFAULT).alias(feed.unit))

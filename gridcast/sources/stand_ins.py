@@ -16,77 +16,65 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return utc_session(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
-def _events(spark, folder, kind: str) -> DataFrame:
-    stamped = table(spark, folder, "events").where(F.col("event_type") == kind)
-    return (
-        stamped.withColumn("ts", F.col("ts").cast("timestamp"))
-        .withColumn("hour_utc", F.date_trunc("hour", "ts"))
-        .withColumn("amount", F.col("value").cast("decimal(12,2)"))
+def _events(spark, folder, kind: str, *columns: str) -> DataFrame:
+    """Events of one type as `columns`, then their lineage and id."""
+    stamped = table(spark, folder, "events").where(f"event_type = '{kind}'").selectExpr(
+        "event_id", "user_id", "cast(ts as timestamp) as ts", "date_trunc('hour', ts) as hour_utc",
+        "cast(value as decimal(12,2)) as amount",
     )
+    return stamped.selectExpr(*columns, "'events' as source", "ts as ingested_at", "event_id")
 
 
-def raw_load(spark: SparkSession, folder: str) -> DataFrame:
-    return _events(spark, folder, "view").select(
-        F.col("hour_utc").alias("interval_start_utc"), F.col("amount").alias("alberta_internal_load_mw"),
-        F.lit("events").alias("source"), F.col("ts").alias("ingested_at"), "event_id",
-    )
+def _pick(number: str, *names: str) -> str:
+    """SQL text choosing one of `names` by a whole number."""
+    quoted = ", ".join(f"'{name}'" for name in names)
+    return f"element_at(array({quoted}), cast({number} % {len(names)} + 1 as int))"
 
 
-def raw_price(spark: SparkSession, folder: str) -> DataFrame:
-    return _events(spark, folder, "purchase").select(
-        F.col("hour_utc").alias("interval_start_utc"), F.col("amount").alias("pool_price_cad_mwh"),
-        F.lit("events").alias("source"), F.col("ts").alias("ingested_at"), "event_id",
-    )
+def _snapshot_times(issue: str, target: str) -> list[str]:
+    return [f"hour_utc as {issue}", f"hour_utc + make_dt_interval(0, cast(event_id % 49 as int)) as {target}"]
 
 
-def _pick(number, *names):
-    return F.element_at(F.array(*[F.lit(n) for n in names]), (number % len(names) + 1).cast("int"))
-
-
-def _snapshot_times(issue: str, target: str):
-    ahead = (F.col("event_id") % 49).cast("int")
-    return F.col("hour_utc").alias(issue), (F.col("hour_utc") + hours(ahead)).alias(target)
+def raw_load(spark: SparkSession, folder: str) -> DataFrame:
+    return _events(spark, folder, "view", "hour_utc as interval_start_utc", "amount as alberta_internal_load_mw")
 
 
-def _lineage():
-    return F.lit("events").alias("source"), F.col("ts").alias("ingested_at"), F.col("event_id")
+def raw_price(spark: SparkSession, folder: str) -> DataFrame:
+    return _events(spark, folder, "purchase", "hour_utc as interval_start_utc", "amount as pool_price_cad_mwh")
 
 
 def raw_weather(spark: SparkSession, folder: str) -> DataFrame:
-    return _events(spark, folder, "click").select(
-        *_snapshot_times("forecast_issue_utc", "forecast_target_utc"),
-        _pick(F.col("user_id"), "Calgary", " edmonton ", "NORTH", "south", "").alias("region"),
-        F.expr("amount * 0.1 - 20").alias("temperature_c"),
-        F.expr("amount % 15").alias("wind_speed_mps"),
-        F.when(F.col("event_id") % 11 != 0, F.expr("amount * 0.2")).alias("relative_humidity_pct"),
-        F.expr("amount * 0.01").alias("precipitation_mm"),
-        *_lineage(),
+    return _events(
+        spark, folder, "click", *_snapshot_times("forecast_issue_utc", "forecast_target_utc"),
+        _pick("user_id", "Calgary", " edmonton ", "NORTH", "south", "") + " as region",
+        "amount * 0.1 - 20 as temperature_c",
+        "amount % 15 as wind_speed_mps",
+        "case when event_id % 11 <> 0 then amount * 0.2 end as relative_humidity_pct",
+        "amount * 0.01 as precipitation_mm",
     )
 
 
 def raw_generation(spark: SparkSession, folder: str) -> DataFrame:
-    return _events(spark, folder, "signup").select(
-        *_snapshot_times("availability_issue_utc", "availability_target_utc"),
-        _pick(F.col("user_id"), "Gas", "natural_gas", "natural gas", "coal", "hydro", "wind", "solar",
-              "storage", "nuclear").alias("fuel_type"),
-        _pick(F.col("user_id"), "", "u1", "u2", "u3").alias("unit_id"),
-        F.col("amount").alias("available_capacity_mw"),
-        F.expr("amount * 0.1").alias("derated_capacity_mw"),
-        F.expr("amount * 0.05").alias("outage_capacity_mw"),
-        *_lineage(),
+    return _events(
+        spark, folder, "signup", *_snapshot_times("availability_issue_utc", "availability_target_utc"),
+        _pick("user_id", "Gas", "natural_gas", "natural gas", "coal", "hydro", "wind", "solar", "storage", "nuclear")
+        + " as fuel_type",
+        _pick("user_id", "", "u1", "u2", "u3") + " as unit_id",
+        "amount as available_capacity_mw",
+        "amount * 0.1 as derated_capacity_mw",
+        "amount * 0.05 as outage_capacity_mw",
     )
 
 
 def raw_intertie(spark: SparkSession, folder: str) -> DataFrame:
-    return _events(spark, folder, "error").select(
-        *_snapshot_times("schedule_issue_utc", "schedule_target_utc"),
-        _pick(F.col("user_id"), "BC", "sk", "MT").alias("intertie_id"),
-        F.col("amount").alias("scheduled_import_mw"),
-        F.expr("amount * 0.5").alias("scheduled_export_mw"),
-        F.lit(500).alias("transfer_limit_import_mw"),
-        F.lit(400).alias("transfer_limit_export_mw"),
-        F.when(F.col("event_id") % 7 != 0, F.expr("amount * 0.25")).alias("constraint_mw"),
-        *_lineage(),
+    return _events(
+        spark, folder, "error", *_snapshot_times("schedule_issue_utc", "schedule_target_utc"),
+        _pick("user_id", "BC", "sk", "MT") + " as intertie_id",
+        "amount as scheduled_import_mw",
+        "amount * 0.5 as scheduled_export_mw",
+        "500 as transfer_limit_import_mw",
+        "400 as transfer_limit_export_mw",
+        "case when event_id % 7 <> 0 then amount * 0.25 end as constraint_mw",
     )
 
 
@@ -111,11 +99,11 @@ def model_registry(spark: SparkSession, folder: str) -> DataFrame:
         F.concat(F.lit("m"), key.cast("string")).alias("model_id"),
         F.concat(F.lit("name-"), (key % 7).cast("string")).alias("model_name"),
         (key % 25 + 1).cast("int").alias("horizon_hours"),
-        F.when(key % 10 != 4, _pick(key, "Yes", " TRUE ", "1", "on", "", "no", "0", "false", "n", "x")).alias("is_preferred"),
+        F.when(key % 10 != 4, F.expr(_pick("c_custkey", "Yes", " TRUE ", "1", "on", "", "no", "0", "false", "n", "x"))).alias("is_preferred"),
         F.when(key % 3 == 0, None).when(key % 7 == 0, "not a time").otherwise(day_text("2024-01-01", 300)).alias("preferred_at"),
         day_text("2023-06-01", 200).alias("trained_at"),
-        F.when(key % 4 != 3, _pick(key, '["load_lag_24h"]', '["a", "b", "c"]', "broken [", "")).alias("feature_names"),
-        _pick(key, '{"rule": "load_lag_168h"}', "[1, 2]", "nope", '{"depth": 4}').alias("parameters"),
+        F.when(key % 4 != 3, F.expr(_pick("c_custkey", '["load_lag_24h"]', '["a", "b", "c"]', "broken [", ""))).alias("feature_names"),
+        F.expr(_pick("c_custkey", '{"rule": "load_lag_168h"}', "[1, 2]", "nope", '{"depth": 4}')).alias("parameters"),
         key.alias("key"),
     )
 
@@ -169,6 +157,6 @@ def untidy_feed(spark: SparkSession, folder: str, issue: str, target: str, entit
     return table(spark, folder, "events").select(
         F.when(i % 13 == 0, "bad-date").otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias(issue),
         F.date_format(F.col("ts") + hours((i % 49).cast("int")), "yyyy-MM-dd HH:mm:ss").alias(target),
-        _pick(F.col("user_id"), *names).alias(entity),
+        F.expr(_pick("user_id", *names)).alias(entity),
         *[F.expr(sql).alias(name) for name, sql in values.items()],
     )
