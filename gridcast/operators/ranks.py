@@ -30,46 +30,68 @@ def value_span(value: str, leading_digits: int = LEADING_DIGITS) -> Column:
     return F.coalesce(signed, F.lit(0))
 
 
+def _known(df: DataFrame, value: str, keys: list[str]) -> DataFrame:
+    """Rows with no null key or value, and the span of their value."""
+    known = df.where(" and ".join(f"{c} is not null" for c in [*keys, value]))
+    return known.select(*keys, value).withColumn("_span", value_span(value))
+
+
+def _span_offsets(spanned: DataFrame, keys: list[str], rows: str) -> DataFrame:
+    """Per `keys` and span: `_rows`, `_before` (rows in lower spans) and `rows_total`.
+
+    A key has a few thousand spans per decimal magnitude at most, so the windows
+    over them are small whatever the number of rows.
+    """
+    per_key = f"partition by {', '.join(keys)}" if keys else ""
+    return spanned.groupBy(*keys, "_span").agg(F.expr(f"{rows} as _rows")).selectExpr(
+        *keys, "_span", "_rows",
+        f"coalesce(sum(_rows) over ({per_key} order by _span rows between unbounded preceding and 1 preceding), 0) as _before",
+        f"sum(_rows) over ({per_key}) as rows_total",
+    )
+
+
+def _ranked(counts: DataFrame, value: str, keys: list[str]) -> Column:
+    upto = Window.partitionBy(*keys, "_span").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    return F.col("_before") + F.sum("rows").over(upto)
+
+
 def running_counts(df: DataFrame, value: str, keys: list[str] = ()) -> DataFrame:
     """Distinct `value`s per `keys` with `rows`, `rows_upto` (<= value) and `rows_total`.
 
     Rows with a null key or value are left out.
     """
     keys = list(keys)
-    known = df
-    for column in [*keys, value]:
-        known = known.where(F.col(column).isNotNull())
-    spanned = known.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("rows")).withColumn("_span", value_span(value))
-    before = Window.partitionBy(*keys).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        spanned.groupBy(*keys, "_span").agg(F.sum("rows").alias("_rows"))
-        .select(
-            *keys, "_span",
-            F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"),
-            F.sum("_rows").over(Window.partitionBy(*keys)).alias("rows_total"),
-        )
-    )
-    upto = Window.partitionBy(*keys, "_span").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    return spanned.join(offsets, [*keys, "_span"]).select(
-        *keys, value, "rows", (F.col("_before") + F.sum("rows").over(upto)).alias("rows_upto"), "rows_total"
+    known = df.where(" and ".join(f"{c} is not null" for c in [*keys, value]))
+    counts = known.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("rows")).withColumn("_span", value_span(value))
+    offsets = _span_offsets(counts, keys, "sum(rows)").drop("_rows")
+    return counts.join(offsets, [*keys, "_span"]).select(
+        *keys, value, "rows", _ranked(counts, value, keys).alias("rows_upto"), "rows_total"
     )
 
 
 def exact_quantile(df: DataFrame, value: str, share: float, keys: list[str] = (), name: str = "quantile") -> DataFrame:
-    """Linear-interpolated quantile of `value` per `keys`, as numpy and pandas define it."""
-    keys = list(keys)
-    ranked = running_counts(df, value, keys).withColumn("_at", (F.col("rows_total") - 1) * F.lit(float(share)))
-
-    def value_at(position):
-        inside = (F.col("rows_upto") > position) & (F.col("rows_upto") - F.col("rows") <= position)
-        return F.max(F.when(inside, F.col(value).cast("double")))
+    """Linear-interpolated quantile of `value` per `keys`, as numpy and pandas define it.
 
-    low, high = F.floor("_at"), F.ceil("_at")
-    return (
-        ranked.groupBy(*keys)
-        .agg(value_at(low).alias("_low"), value_at(high).alias("_high"), F.max(F.col("_at") - low).alias("_part"))
-        .select(*keys, (F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("_part")).alias(name))
+    Two passes: the first counts rows per span (combined before the shuffle) and
+    finds the one or two spans that hold the wanted positions; the second ranks
+    only the values of those spans. `df` is read twice, so settle it when it is
+    costly to produce. The join side has at most two rows per key.
+    """
+    keys = list(keys)
+    spanned = _known(df, value, keys)
+    wanted = _span_offsets(spanned, keys, "count(*)").withColumn("_at", (F.col("rows_total") - 1) * F.lit(float(share))).where(
+        "(_before <= floor(_at) and floor(_at) < _before + _rows) or (_before <= ceil(_at) and ceil(_at) < _before + _rows)"
+    ).select(*keys, "_span", "_before", "_at")
+    inside = spanned.join(wanted, [*keys, "_span"]).groupBy(*keys, "_span", "_before", "_at", value).agg(
+        F.count(F.lit(1)).alias("rows")
+    )
+    ranked = inside.withColumn("_upto", _ranked(inside, value, keys))
+    value_at = "max(case when _upto > {0}(_at) and _upto - rows <= {0}(_at) then cast(" + value + " as double) end) as {1}"
+    ends = ranked.groupBy(*keys).agg(
+        F.expr(value_at.format("floor", "_low")), F.expr(value_at.format("ceil", "_high")),
+        F.expr("max(_at - floor(_at)) as _part"),
     )
+    return ends.selectExpr(*keys, f"_low + (_high - _low) * _part as {name}")
 
 
 def top_share(df: DataFrame, value: str, at_least: float, ties: list[str]) -> DataFrame:
