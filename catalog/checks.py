@@ -49,7 +49,7 @@ def dq_not_null_unique(spark, folder):
         settle(f(spark, folder)) for f in (market.stg_weather, market.stg_generation, market.stg_intertie)
     )
     calendar = cal.calendar_hourly(cal.time_bounds(load, "timestamp_utc"))
-    energy = settle(features.energy_features(calendar, load, price))
+    energy = settle(features.energy_features(calendar, features.stacked_series(load, price)))
     snapshots = (features.weather_features(weather), features.generation_features(generation), features.intertie_features(intertie))
     tables = {
         "raw_load": raw.raw_load(spark, folder), "raw_price": raw.raw_price(spark, folder),

@@ -45,9 +45,9 @@ def load_bounds(spark, folder):
 def energy(spark, folder):
     """Energy features. The staged series are one row per hour, far smaller than
     the raw rows they come from, and are read several times, so they are settled."""
-    load, price = settle(stg_load(spark, folder)), settle(stg_price(spark, folder))
-    calendar = cal.calendar_hourly(cal.time_bounds(load, "timestamp_utc"))
-    return features.energy_features(calendar, load, price)
+    series = settle(features.stacked_series(stg_load(spark, folder), stg_price(spark, folder)))
+    calendar = cal.calendar_hourly(cal.time_bounds(series.where("series = 'load'"), "timestamp_utc"))
+    return features.energy_features(calendar, series)
 
 
 def snapshot_features(spark, folder):
@@ -265,7 +265,8 @@ def market_overview(spark, folder):
 
 @query("peak_events", PEAKS, "peaks")
 def peak_events(spark, folder):
-    return marts.peak_events(energy(spark, folder))
+    """The hours are ranked from counts of their loads and then joined back, so they are settled."""
+    return marts.peak_events(settle(energy(spark, folder)))
 
 
 # --- reports over the marts -------------------------------------------------------

@@ -35,17 +35,36 @@ def price_features(price: DataFrame) -> DataFrame:
     )
 
 
-def energy_features(calendar: DataFrame, load: DataFrame, price: DataFrame) -> DataFrame:
-    """Calendar hours with load and price features where known."""
-    loads = load_features(load).drop("source").withColumnRenamed("ingested_at", "_load_ingested")
-    prices = price_features(price).drop("source").withColumnRenamed("ingested_at", "_price_ingested")
-    return (
-        calendar.join(loads, "timestamp_utc", "left").join(prices, "timestamp_utc", "left")
-        .withColumn("latest_ingestion_time", F.greatest("_load_ingested", "_price_ingested"))
-        .drop("_load_ingested", "_price_ingested")
+def stacked_series(load: DataFrame, price: DataFrame) -> DataFrame:
+    """Staged load and price as one table of two series, so one pass computes the features of both."""
+    return load.selectExpr("'load' as series", "timestamp_utc", "load_mw as value", "ingested_at").unionByName(
+        price.selectExpr("'price' as series", "timestamp_utc", "pool_price_cad_mwh as value", "ingested_at")
     )
 
 
+def energy_features(calendar: DataFrame, series: DataFrame) -> DataFrame:
+    """Calendar hours with the load and price features of `stacked_series` where known."""
+    by_series = lags_and_means(
+        series, "timestamp_utc",
+        lags={f"lag_{n}": ("value", n) for n in (1, 24, 168)},
+        means={f"mean_{n}": ("value", n) for n in (24, 168)},
+        keys=["series"],
+    )
+    picked = {
+        "load_mw": ("load", "value"), "load_lag_1h": ("load", "lag_1"), "load_lag_24h": ("load", "lag_24"),
+        "load_lag_168h": ("load", "lag_168"), "load_rolling_24h_avg": ("load", "mean_24"),
+        "load_rolling_168h_avg": ("load", "mean_168"), "pool_price_cad_mwh": ("price", "value"),
+        "price_lag_24h": ("price", "lag_24"), "price_rolling_24h_avg": ("price", "mean_24"),
+    }
+    by_hour = by_series.groupBy("timestamp_utc").agg(
+        *[F.expr(f"max(case when series = '{s}' then {c} end) as {name}") for name, (s, c) in picked.items()],
+        *[F.expr(f"max(case when series = '{s}' then ingested_at end) as _{s}_ingested") for s in ("load", "price")],
+    )
+    # null unless the hour has load or price; the later of the two ingestion times otherwise
+    latest = "greatest(_load_ingested, _price_ingested) as latest_ingestion_time"
+    return calendar.join(by_hour, "timestamp_utc", "left").selectExpr(*calendar.columns, *picked, latest)
+
+
 def _mean(column: str, kind: str, name: str) -> Column:
     """Mean of a decimal with enough digits that the final rounding is the only one."""
     return F.expr(f"cast(avg(cast({column} as decimal(20,12))) as {kind}) as {name}")
