@@ -33,7 +33,7 @@ def frame(spark, folder):
 
 
 def split_frame(spark, folder):
-    return forecasting.time_splits(frame(spark, folder))
+    return forecasting.time_splits(settle(frame(spark, folder)))
 
 
 def results(spark, folder):
@@ -140,7 +140,7 @@ query("forecast_errors", RESULTS, "results")(results)
 
 @query("peak_threshold", "horizon_hours:int peak_threshold_mw:num", "thresholds")
 def peak_threshold(spark, folder):
-    return forecasting.peak_thresholds(frame(spark, folder))
+    return forecasting.peak_thresholds(settle(frame(spark, folder)))
 
 
 def performance(spark, folder):

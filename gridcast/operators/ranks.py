@@ -69,29 +69,35 @@ def running_counts(df: DataFrame, value: str, keys: list[str] = ()) -> DataFrame
     )
 
 
-def exact_quantile(df: DataFrame, value: str, share: float, keys: list[str] = (), name: str = "quantile") -> DataFrame:
-    """Linear-interpolated quantile of `value` per `keys`, as numpy and pandas define it.
-
-    Two passes: the first counts rows per span (combined before the shuffle) and
-    finds the one or two spans that hold the wanted positions; the second ranks
-    only the values of those spans. `df` is read twice, so settle it when it is
-    costly to produce. The join side has at most two rows per key.
+def values_at(df: DataFrame, value: str, positions: dict[str, str], keys: list[str] = ()) -> DataFrame:
+    """Per `keys` the values at 0-based positions in ascending order, and `rows_total`.
+
+    `positions` maps a column name to SQL over `rows_total`. Two passes: the
+    first counts rows per span (combined before the shuffle) and finds the spans
+    that hold the wanted positions; the second ranks only the values of those
+    spans. `df` is read twice, so settle it when it is costly to produce. The
+    join side has at most one row per key and position.
     """
     keys = list(keys)
     spanned = _known(df, value, keys)
-    wanted = _span_offsets(spanned, keys, "count(*)").withColumn("_at", (F.col("rows_total") - 1) * F.lit(float(share))).where(
-        "(_before <= floor(_at) and floor(_at) < _before + _rows) or (_before <= ceil(_at) and ceil(_at) < _before + _rows)"
-    ).select(*keys, "_span", "_before", "_at")
-    inside = spanned.join(wanted, [*keys, "_span"]).groupBy(*keys, "_span", "_before", "_at", value).agg(
+    wanted = " or ".join(f"(_before <= {at} and {at} < _before + _rows)" for at in positions.values())
+    spans = _span_offsets(spanned, keys, "count(*)").where(wanted).drop("_rows")
+    inside = spanned.join(spans, [*keys, "_span"]).groupBy(*keys, "_span", "_before", "rows_total", value).agg(
         F.count(F.lit(1)).alias("rows")
     )
-    ranked = inside.withColumn("_upto", _ranked(inside, value, keys))
-    value_at = "max(case when _upto > {0}(_at) and _upto - rows <= {0}(_at) then cast(" + value + " as double) end) as {1}"
-    ends = ranked.groupBy(*keys).agg(
-        F.expr(value_at.format("floor", "_low")), F.expr(value_at.format("ceil", "_high")),
-        F.expr("max(_at - floor(_at)) as _part"),
+    found = "max(case when _upto > {at} and _upto - rows <= {at} then {value} end) as {name}"
+    return inside.withColumn("_upto", _ranked(inside, value, keys)).groupBy(*keys).agg(
+        F.expr("max(rows_total) as rows_total"),
+        *[F.expr(found.format(at=at, value=value, name=name)) for name, at in positions.items()],
     )
-    return ends.selectExpr(*keys, f"_low + (_high - _low) * _part as {name}")
+
+
+def exact_quantile(df: DataFrame, value: str, share: float, keys: list[str] = (), name: str = "quantile") -> DataFrame:
+    """Linear-interpolated quantile of `value` per `keys`, as numpy and pandas define it."""
+    at = f"((rows_total - 1) * {float(share)!r}D)"
+    ends = values_at(df, value, {"_low": f"floor{at}", "_high": f"ceil{at}"}, keys)
+    low, high = "cast(_low as double)", "cast(_high as double)"
+    return ends.selectExpr(*keys, f"{low} + ({high} - {low}) * ({at} - floor{at}) as {name}")
 
 
 def top_share(df: DataFrame, value: str, at_least: float, ties: list[str]) -> DataFrame:

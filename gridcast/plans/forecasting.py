@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from gridcast.contracts import BASELINES
 from gridcast.functions.coerce import finite
-from gridcast.operators.ranks import exact_quantile
-from gridcast.operators.series import row_index
+from gridcast.operators.ranks import exact_quantile, values_at
 
 # fixed values: shares of the distinct timestamps, and where peaks begin
 TRAIN_SHARE, VALIDATION_END_SHARE = 0.70, 0.85
@@ -24,19 +23,18 @@ def time_splits(df: DataFrame, keys: list[str] = ("horizon_hours",)) -> DataFram
     Only two cut times per key are looked up; rows are never ranked.
     """
     keys = list(keys)
-    times = row_index(df.select(*keys, _TS).distinct(), _TS, keys)
-    sizes = times.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    cut = f"max(case when row_index <= cast(_n * {{}}D as bigint) - 1 then {_TS} end)"
-    cuts = times.join(sizes, keys).groupBy(*keys).agg(
-        F.expr(
-            f"if(max(_n) < {MINIMUM_HOURS}, cast(raise_error('at least {MINIMUM_HOURS} hourly rows are required"
-            f" for time-based splits') as timestamp), {cut.format(TRAIN_SHARE)})"
-        ).alias("_train_end"),
-        F.expr(cut.format(VALIDATION_END_SHARE)).alias("_validation_end"),
-    )
-    split = (
-        f"case when {_TS} <= _train_end then 'train' when {_TS} <= _validation_end then 'validation' else 'test' end"
+    times = df.selectExpr(*keys, f"unix_micros({_TS}) as _micros").distinct()
+    last = "cast(rows_total * {!r}D as bigint) - 1"
+    cuts = values_at(
+        times, "_micros", {"_train": last.format(TRAIN_SHARE), "_validation": last.format(VALIDATION_END_SHARE)}, keys
+    ).selectExpr(
+        *keys,
+        f"if(rows_total < {MINIMUM_HOURS}, cast(raise_error('at least {MINIMUM_HOURS} hourly rows are required for"
+        " time-based splits') as bigint), _train) as _train",
+        "_validation",
     )
+    micros = f"unix_micros({_TS})"
+    split = f"case when {micros} <= _train then 'train' when {micros} <= _validation then 'validation' else 'test' end"
     return df.join(cuts, keys).selectExpr(*df.columns, f"{split} as evaluation_split")
 
 
