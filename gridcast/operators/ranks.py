@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridcast.operators.series import row_index
+
 LEADING_DIGITS = 4
 
 
@@ -100,22 +102,16 @@ def exact_quantile(df: DataFrame, value: str, share: float, keys: list[str] = ()
     return ends.selectExpr(*keys, f"{low} + ({high} - {low}) * ({at} - floor{at}) as {name}")
 
 
-def top_share(df: DataFrame, value: str, at_least: float, ties: list[str]) -> DataFrame:
+def top_share(df: DataFrame, value: str, at_least: float, ts: str) -> DataFrame:
     """Rows whose cumulative distribution of `value` is >= `at_least`, ranked from the top.
 
-    Adds `cume_dist` and `rank`, the row number by `value` then `ties`, all
-    descending. The rank is the number of rows with a greater value plus the
-    place among equals, so no window spans more than the rows of one value.
+    Adds `cume_dist` and `rank`, the row number by `value` then `ts`, both
+    descending; `ts` must be unique. The rank is the number of rows with a
+    greater value plus the place among equals, and equals are numbered span by
+    span in time, so even a value that a third of all rows share is spread out.
     """
-    kept = (
-        running_counts(df, value)
-        .withColumn("cume_dist", F.col("rows_upto") / F.col("rows_total"))
-        .where(F.col("cume_dist") >= at_least)
-        .select(value, "cume_dist", (F.col("rows_total") - F.col("rows_upto")).alias("_above"))
-    )
-    equals = Window.partitionBy(value).orderBy(*[F.col(c).desc() for c in ties])
-    return (
-        df.join(kept, value)
-        .withColumn("rank", F.col("_above") + F.row_number().over(equals))
-        .drop("_above")
-    )
+    kept = running_counts(df, value).selectExpr(
+        value, "rows_upto / rows_total as cume_dist", "rows_total - rows_upto + rows as _down_to"
+    ).where(F.col("cume_dist") >= at_least)
+    placed = row_index(df.join(kept, value), ts, [value], "_earlier_equals")
+    return placed.selectExpr(*df.columns, "cume_dist", "_down_to - _earlier_equals as rank")

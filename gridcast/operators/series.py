@@ -17,17 +17,20 @@ SPAN_UNIT = "month"
 BUCKET_ROWS = 10_000
 
 
-def row_index(df: DataFrame, ts: str, keys: list[str] = (), name: str = "row_index") -> DataFrame:
+def row_index(
+    df: DataFrame, ts: str, keys: list[str] = (), name: str = "row_index", span_unit: str = SPAN_UNIT
+) -> DataFrame:
     """Add the 0-based position of each row in time order, per `keys`.
 
-    `ts` must be unique per key. A span is one calendar month, so the window
-    partitions stay small however long or hot a series is; only the per-month
-    counts meet in one place.
+    `ts` must be unique per key. A span is one calendar month unless a series
+    finer than hourly asks for a shorter unit, so the window partitions stay
+    small however long or hot a series is; only the counts per span meet in one
+    place.
     """
     keys = list(keys)
     by = ", ".join([*keys, "_span"])
     earlier = f"over ({f'partition by {chr(44).join(keys)} ' if keys else ''}order by _span rows between unbounded preceding and 1 preceding)"
-    spanned = df.withColumn("_span", F.date_trunc(SPAN_UNIT, ts))
+    spanned = df.withColumn("_span", F.date_trunc(span_unit, ts))
     starts = spanned.groupBy(*keys, "_span").agg(F.expr("count(*) as _rows")).selectExpr(
         *keys, "_span", f"coalesce(sum(_rows) {earlier}, 0) as _start"
     )

@@ -139,7 +139,7 @@ def peak_events(energy: DataFrame, at_least: float = 0.95) -> DataFrame:
     hourly = energy.where(F.col("load_mw").isNotNull()).select(
         "timestamp_utc", "date", "hour", "day_of_week", "month", "load_mw", "pool_price_cad_mwh"
     )
-    return top_share(hourly, "load_mw", at_least, ["timestamp_utc"]).select(
+    return top_share(hourly, "load_mw", at_least, "timestamp_utc").select(
         *hourly.columns,
         F.col("cume_dist").alias("load_cume_dist"),
         F.col("rank").alias("peak_rank"),

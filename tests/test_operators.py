@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gridcast.operators.asof import Feed, asof_latest
 from gridcast.operators.dedup import dedup_latest
-from gridcast.operators.ranks import exact_quantile, running_counts, top_share
+from gridcast.operators.ranks import exact_quantile, running_counts, top_share, values_at
 from gridcast.operators.series import lags_and_means, row_index, shifted_lookup
 from tests.conftest import rows, same
 
@@ -123,11 +123,19 @@ def test_running_counts_equal_the_plain_window(spark):
     same(running_counts(df, "v").selectExpr("v", "rows", "rows_upto", "rows_total"), plain)
 
 
-def test_top_share_equals_cume_dist(spark):
-    df = values(spark)
-    plain = df.select("id", "v", F.cume_dist().over(Window.orderBy("v")).alias("cume_dist"),
-                      F.row_number().over(Window.orderBy(F.desc("v"), F.desc("id"))).cast("bigint").alias("rank")).where("cume_dist >= 0.6")
-    same(top_share(df, "v", 0.6, ["id"]).select("id", "v", "cume_dist", "rank"), plain)
+@pytest.mark.parametrize("at_least", [0.0, 0.3, 0.6, 0.95])
+def test_top_share_equals_cume_dist(spark, at_least):
+    """A third of the rows share one value, which is among the kept ones for the lower shares."""
+    df = values(spark).selectExpr("v", "timestamp'2024-01-01' + make_dt_interval(0, cast(id as int)) as ts")
+    plain = df.select("ts", "v", F.cume_dist().over(Window.orderBy("v")).alias("cume_dist"),
+                      F.row_number().over(Window.orderBy(F.desc("v"), F.desc("ts"))).cast("bigint").alias("rank")).where(f"cume_dist >= {at_least}")
+    same(top_share(df, "v", at_least, "ts").select("ts", "v", "cume_dist", "rank"), plain)
+
+
+def test_values_at_positions(spark):
+    df = spark.createDataFrame([("a", v) for v in (5, 1, 3, 3)] + [("b", -7)], "k string, v int")
+    got = values_at(df, "v", {"first": "0", "third": "2"}, ["k"])
+    assert rows(got, "k", "rows_total", "first", "third") == [("a", 4, 1, 3), ("b", 1, -7, None)]
 
 
 def test_running_counts_share_one_scan(spark):
