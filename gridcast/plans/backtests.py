@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gridcast.contracts import BASELINES, METRICS, BacktestRules
 from gridcast.functions.coerce import finite, finite_or_null
+from gridcast.functions.documents import text_field
 from gridcast.plans.forecasting import PEAK_SHARE, baseline_rows
 
 _TS, _ACTUAL, _H = "target_timestamp_utc", "target_load_mw", "horizon_hours"
@@ -150,11 +151,26 @@ def backtest_baselines(
     frame: DataFrame, models: DataFrame, rules: BacktestRules, run_id: str, evaluated_at: Column,
     specs: dict[str, str] = BASELINES,
 ) -> DataFrame:
-    """Every registered baseline on every window of its horizon, all models in one pass."""
+    """Every registered baseline on every window of its horizon, all models in one pass.
+
+    A model predicts with the column its parameters name as "rule", or else the
+    one `specs` gives for its name; models with neither are left out.
+    """
     windows = backtest_windows(frame, rules)
-    test = _in_window(frame.select(_H, _TS, _ACTUAL, *specs.values()), windows, "test")
-    baselines = models.where("model_type = 'baseline'").select("model_id", "model_name", "model_type", _H)
-    predictions = baseline_rows(test, specs).join(baselines, ["model_name", _H])
+    predictors = list(dict.fromkeys(specs.values()))
+    test = _in_window(frame.select(_H, _TS, _ACTUAL, *predictors), windows, "test")
+    known = ", ".join(f"'{name}', '{column}'" for name, column in specs.items())
+    named = f"element_at(map({known}), model_name)"
+    rule = F.expr(named)
+    if "parameters" in models.columns:
+        rule = F.coalesce(text_field("parameters", "rule"), rule)
+    baselines = models.where("model_type = 'baseline'").select(
+        "model_id", "model_name", "model_type", _H, rule.alias("predictor")
+    )
+    predictions = (
+        baseline_rows(test, {column: column for column in predictors})
+        .withColumnRenamed("model_name", "predictor").join(baselines, ["predictor", _H])
+    )
     return evaluate_windows(frame, predictions, windows, run_id, evaluated_at)
 
 

@@ -87,3 +87,9 @@ def test_backtest_of_a_baseline_matches_hand_computation(spark):
     got = backtests.backtest_baselines(frame, models, rules, "run", F.lit(None).cast("timestamp"))
     assert rows(got, "model_id", "mae", "mean_error", "underprediction_rate", "prediction_row_count") == [
         ("id-1", 24.0, -24.0, 1.0, 720), ("id-1", 24.0, -24.0, 1.0, 744)]
+
+    ruled = spark.createDataFrame(
+        [("id-2", "own_name", "baseline", 1, '{"rule": "load_lag_24h"}'), ("id-3", "own_name", "baseline", 1, "nope")],
+        "model_id string, model_name string, model_type string, horizon_hours int, parameters string")
+    got = backtests.backtest_baselines(frame, ruled, rules, "run", F.lit(None).cast("timestamp"))
+    assert rows(got, "model_id", "mae") == [("id-2", 24.0), ("id-2", 24.0)]
