@@ -23,16 +23,26 @@ BUILD_SETTINGS = {
 }
 
 
-def _checkpoint_dir(spark: SparkSession) -> None:
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share: spark.checkpoint.dir.
+
+    Only where it is unset and the master is local does this choose one.
+    """
     context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
     shared = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None:
+        shared = context.getCheckpointDir()
     if shared is None:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.mkdtemp(prefix="gridcast-checkpoint-")
-    context.setCheckpointDir(shared)
+        context.setCheckpointDir(shared)
+    return shared
+
+
+def _checkpoint_dir(spark: SparkSession) -> None:
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
 
 
 def settle(df: DataFrame) -> DataFrame:
