@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridcast.llm import licenses, mixing
-from gridcast.llm.common import table
+from gridcast.llm import counts, decontaminate, language, licenses, mixing, records
+from gridcast.llm.common import scratch, table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -23,6 +23,12 @@ def _query(name: str, oracle: str | None = None):
     return register
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
 @_query("op1_licenses")
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, folder, "documents"))
@@ -31,3 +37,25 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
 @_query("op9_mixing", mixing.ORACLE)
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@_query("op6_records")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch(spark, "records")
+    records.write_records(table(spark, folder, "documents"), path, tokenizer_path())
+    return records.read_index(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32", "shard", "offset", "length")
+
+
+@_query("op10_token_counts")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return counts.roll_up(table(spark, folder, "documents"), tokenizer_path(), scratch(spark, "rollup"))
+
+
+@_query("op4_language")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return language.language_of_documents(table(spark, folder, "documents"))
+
+
+@_query("op8_decontamination")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.find_overlaps(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
