@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridcast.llm import counts, decontaminate, language, licenses, mixing, records
+from gridcast.llm import counts, decontaminate, language, licenses, minhash, mixing, records
 from gridcast.llm.common import scratch, table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,3 +59,8 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 @_query("op8_decontamination")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.find_overlaps(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@_query("op7_near_duplicates")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, folder, "documents"))
