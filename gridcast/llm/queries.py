@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridcast.llm import counts, decontaminate, language, licenses, minhash, mixing, records
+from gridcast.llm import counts, decontaminate, embeddings, language, licenses, minhash, mixing, records
 from gridcast.llm.common import scratch, table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,3 +64,8 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 @_query("op7_near_duplicates")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents"))
+
+
+@_query("op3_near_vectors")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.near_vectors(table(spark, folder, "embeddings"))
