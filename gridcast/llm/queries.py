@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridcast.llm import counts, decontaminate, embeddings, language, licenses, minhash, mixing, records
+from gridcast.llm import counts, decontaminate, embeddings, language, licenses, lm, minhash, mixing, records
 from gridcast.llm.common import scratch, table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +69,8 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 @_query("op3_near_vectors")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     return embeddings.near_vectors(table(spark, folder, "embeddings"))
+
+
+@_query("op5_lm_scores")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.score_documents(table(spark, folder, "documents"))
