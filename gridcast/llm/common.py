@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +16,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """`name`, or a longer one that no column of `df` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def scratch(spark: SparkSession, label: str) -> str:
     """A new path in the folder that driver and executors share."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
@@ -32,6 +41,14 @@ def fold(doc_id: Column, parts: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % parts
 
 
+NO_ID = 1 << 62  # keys from here on stand for rows without an id
+
+
+def row_key(doc_id: Column, text: Column) -> Column:
+    """The id; a row without one takes a number made from its text, above all ids."""
+    return F.coalesce(doc_id.cast("long"), F.lit(NO_ID) + F.shiftrightunsigned(F.xxhash64(F.coalesce(text, F.lit(""))), 2))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of `edges(a long, b long)`: one row (node, component) for each
     node of an edge, component being the smallest node.
@@ -71,3 +88,14 @@ def components(edges: DataFrame) -> DataFrame:
 
     first = maps[0].select("node", F.col("to").alias("component"))
     return reduce(follow, maps[1:], first)
+
+
+def linked_rows(linked: np.ndarray) -> np.ndarray:
+    """For each row of a symmetric link matrix the smallest row it reaches."""
+    label, n = np.arange(len(linked)), len(linked)
+    while True:
+        low = np.minimum(label, np.where(linked, label[None, :], n).min(1))
+        low = np.minimum(low, low[low])
+        if (low == label).all():
+            return label
+        label = low

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridcast.llm.common import components, written
+from gridcast.llm.common import components, linked_rows, written
 
 COSINE = 0.9
 SAMPLE = 8192  # distinct vectors that the centres are fitted on, about
@@ -85,17 +85,6 @@ def _fit(nodes: DataFrame, count: int, least: float, spread: float | None) -> Ce
     return Cells(spherical_centres(x, cells), least, spread)
 
 
-def _group(linked: np.ndarray) -> np.ndarray:
-    """For each row of a symmetric link matrix the smallest row it reaches."""
-    label, n = np.arange(len(linked)), len(linked)
-    while True:
-        low = np.minimum(label, np.where(linked, label[None, :], n).min(1))
-        low = np.minimum(low, low[low])
-        if (low == label).all():
-            return label
-        label = low
-
-
 def _compare(home_block: tuple, guests: tuple, same: bool, cells: Cells, cell: int, least: float):
     """Links between two sets of nodes: per row (node, links, edge to a representative).
 
@@ -118,7 +107,7 @@ def _compare(home_block: tuple, guests: tuple, same: bool, cells: Cells, cell: i
     counts = [(links * w2[rows[1]][None, :]).sum(1)]
     names = [left]
     if same:
-        group = _group(links)
+        group = linked_rows(links)
         edges = left[group]
     else:
         counts.append((links * w1[rows[0]][:, None]).sum(0))
@@ -128,7 +117,7 @@ def _compare(home_block: tuple, guests: tuple, same: bool, cells: Cells, cell: i
         whole[:len(left), len(left):] = links
         whole[len(left):, :len(left)] = links.T
         every = np.concatenate(names)
-        edges = every[_group(whole)]
+        edges = every[linked_rows(whole)]
     return np.concatenate(names), np.concatenate(counts), edges
 
 

@@ -10,10 +10,10 @@ and a point later than all first points seen needs no look, so a signature costs
 little more than one number per shingle.
 
 Documents of equal words are one node. Nodes that share a band meet in a bucket;
-each is verified, on its words, against the smallest node of the bucket. Where a
-bucket still holds several components, the nodes outside its largest component are
-verified against all others, so that no link between buckets' members is lost
-though no bucket gives out all its pairs.
+each is verified, on its words, against the smallest node of the bucket. What hangs
+together by shared bands is a family. Where a family holds several components, the
+nodes outside its largest one are compared with all others, block by block, so that
+no link between nodes that share a band is lost, though no family gives out pairs.
 """
 
 from __future__ import annotations
@@ -23,28 +23,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridcast.llm.common import components, written
+from gridcast.llm.common import NO_ID, components, fresh, linked_rows, row_key, written
 from gridcast.llm.rolling import ALNUM, Hasher, mix, numbers, pieces, runs, words
 from gridcast.llm.tokens import text_bytes
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 32, 5  # a pair of similarity 0.8 shares no band with probability 3e-6
+BLOCK = 256  # nodes of a family that are compared with as many others at a time
 SALT_ROWS = 256  # members that are verified against one copy of their centre
 BROADCAST_IDS = 4_000_000  # ids of 8 bytes that may be sent to every task
-NO_ID = 1 << 62  # keys from here on stand for rows without an id
+_COLUMNS = 4096
 _HASH_BITS = 52
 _MASK = np.uint64((1 << _HASH_BITS) - 1)
 _TEXTS = 1 << (64 - _HASH_BITS)
 
 
-def row_key(doc_id: Column, text: Column) -> Column:
-    """The id; a row without one takes a number made from its text, above all ids."""
-    return F.coalesce(doc_id.cast("long"), F.lit(NO_ID) + F.shiftrightunsigned(F.xxhash64(F.coalesce(text, F.lit(""))), 2))
-
-
 def chunks(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int]]:
     """Runs of texts short enough for one pass, at most _TEXTS of them."""
     for a, b in pieces(offsets):
@@ -150,6 +146,12 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return both / (a[1].sum() + b[1].sum() - both)
 
 
+def _sendable(asked: DataFrame) -> DataFrame:
+    """The distinct keys of `asked`, for a semi join; sent to every task if few enough."""
+    ids = asked.select("key").distinct()
+    return F.broadcast(ids) if asked.count() <= BROADCAST_IDS else ids
+
+
 def verified(pairs: DataFrame, rows: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """Those of `pairs(a, b)` whose texts in `rows(key, text)` are similar enough.
 
@@ -160,10 +162,7 @@ def verified(pairs: DataFrame, rows: DataFrame, least: float = SIMILARITY) -> Da
     salted = pairs.join(parts, "a").select("a", F.pmod(F.xxhash64("b"), "parts").cast("int").alias("salt"), F.col("b").alias("key"), F.lit(1).alias("rank"))
     centres = parts.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"), F.col("a").alias("key"), F.lit(0).alias("rank"))
     asked = written(salted.unionByName(centres), "asked")
-    ids = asked.select("key").distinct()
-    if asked.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    texts = rows.join(ids, "key", "left_semi")
+    texts = rows.join(_sendable(asked), "key", "left_semi")
     dealt = asked.join(texts, "key").repartition("a", "salt").sortWithinPartitions("a", "salt", "rank").select("a", "rank", "key", "text")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,6 +187,96 @@ def verified(pairs: DataFrame, rows: DataFrame, least: float = SIMILARITY) -> Da
     return dealt.mapInArrow(check, "a long, b long")
 
 
+def element_sets(text: np.ndarray, shingle: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The multisets as sets: the k-th copy of a shingle is an element of its own. Text and element, by text."""
+    copy = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    return np.repeat(text, count), mix(np.repeat(shingle, count) + copy.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def block_links(left: list[np.ndarray], right: list[np.ndarray], least: float) -> np.ndarray:
+    """Which sets of one block are similar to which of the other. Only elements of both blocks
+    are looked at, a bounded number of them at a time."""
+    sizes = [np.array([len(s) for s in side], np.float64) for side in (left, right)]
+    of = [np.repeat(np.arange(len(side)), n.astype(int)) for side, n in zip((left, right), sizes)]
+    elements = [np.concatenate(side) for side in (left, right)]
+    common = np.intersect1d(*elements)
+    both = np.zeros((len(left), len(right)), np.float32)
+    place = [np.minimum(np.searchsorted(common, e), max(0, len(common) - 1)) for e in elements]
+    kept = [np.flatnonzero(common[p] == e) if len(common) else np.zeros(0, int) for p, e in zip(place, elements)]
+    for start in range(0, len(common), _COLUMNS):
+        sides = []
+        for side, (p, k, o) in enumerate(zip(place, kept, of)):
+            mine = k[(p[k] >= start) & (p[k] < start + _COLUMNS)]
+            dense = np.zeros((len(sizes[side]), min(_COLUMNS, len(common) - start)), np.float32)
+            dense[o[mine], p[mine] - start] = 1
+            sides.append(dense)
+        both += sides[0] @ sides[1].T
+    return both >= least * (sizes[0][:, None] + sizes[1][None, :] - both)
+
+
+def family_links(placed: DataFrame, rows: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """Links across the components of each family of `placed(family, node, component)`, as edges (a, b).
+
+    The nodes outside a family's largest component are compared with all the others,
+    in blocks of about BLOCK nodes: a pair of blocks is one piece of work, which reads
+    the texts of both and gives each linked node one edge to a representative.
+    """
+    sizes = placed.groupBy("family", "component").agg(F.count("*").alias("n"))
+    families = sizes.groupBy("family").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("all")).where(
+        "all > top.n and all > 2"  # the one pair of a family of two has been verified
+    ).select("family", F.col("top.component").alias("main"), F.ceil(F.col("top.n") / BLOCK).cast("int").alias("mains"),
+             F.ceil((F.col("all") - F.col("top.n")) / BLOCK).cast("int").alias("others"))
+    dealt = placed.join(families, "family").withColumn("outside", F.col("component") != F.col("main"))
+    at = lambda count: F.pmod(F.xxhash64("node"), count).cast("int")
+    dealt = dealt.withColumn("own", F.when(F.col("outside"), at(F.col("others"))).otherwise(F.col("others") + at(F.col("mains"))))
+    every = F.sequence(F.lit(0), F.when(F.col("outside"), F.col("others") + F.col("mains")).otherwise(F.col("others")) - 1)
+    asked = written(dealt.select(
+        "family", "own", F.col("node").alias("key"), F.explode(every).alias("with")
+    ).select("family", F.least("own", "with").alias("block"), F.greatest("own", "with").alias("other"),
+             (F.col("own") >= F.col("with")).alias("second"), "key"), "asked")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, group, held = Hasher(lower=True), None, []
+
+        def edges() -> Iterator[pa.RecordBatch]:
+            if group is None:
+                return
+            same = group[1] == group[2]
+            left = [(node, s) for second, node, s in held if same or not second]
+            right = left if same else [(node, s) for second, node, s in held if second]
+            if not left or not right:
+                return
+            linked = block_links([s for _, s in left], [s for _, s in right], least)
+            nodes = np.array([node for node, _ in (left if same else left + right)])
+            if not same:
+                whole = np.zeros((len(nodes), len(nodes)), bool)
+                whole[:len(left), len(left):] = linked
+                whole[len(left):, :len(left)] = linked.T
+                linked = whole
+            top = linked_rows(linked)
+            moved = np.flatnonzero(top != np.arange(len(top)))
+            yield pa.RecordBatch.from_arrays([pa.array(nodes[moved], pa.int64()), pa.array(nodes[top[moved]], pa.int64())], ["a", "b"])
+
+        for batch in batches:
+            data, offsets = text_bytes(batch.column(5))
+            keys = list(zip(*(batch.column(k).to_pylist() for k in range(5))))
+            for i, j in chunks(data, offsets):
+                hashes, upto = words(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], ALNUM, hasher)
+                text, element = element_sets(*shingles(hashes, upto))
+                bounds = np.searchsorted(text, np.arange(j - i + 1)).tolist()
+                for k in range(i, j):
+                    if keys[k][:3] != group:
+                        yield from edges()
+                        group, held = keys[k][:3], []
+                    held.append((*keys[k][3:], element[bounds[k - i]:bounds[k - i + 1]]))
+        yield from edges()
+
+    columns = ["family", "block", "other", "second", "key"]
+    texts = rows.join(_sendable(asked), "key", "left_semi").groupBy("key").agg(F.min("text").alias("text"))
+    dealt_out = asked.join(texts, "key").repartition("family", "block", "other").sortWithinPartitions(*columns)
+    return dealt_out.select(*columns, "text").mapInArrow(compare, "a long, b long")
+
+
 def near_classes(rows: DataFrame) -> DataFrame:
     """(key, class) for every row of `rows(key, text)`; class is the smallest key of its component."""
     signed = written(signatures(rows), "signatures")
@@ -201,16 +290,9 @@ def near_classes(rows: DataFrame) -> DataFrame:
     links = written(verified(tried, rows), "links")
     found = written(components(links), "components")
 
-    placed = banded.join(found, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component"))
-    sizes = placed.groupBy("band", "component").agg(F.count("*").alias("n"))
-    largest = sizes.groupBy("band").agg(F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("parts")).where("parts > 1")
-    split = written(placed.join(largest.select("band", F.col("top.component").alias("top")), "band"), "split")
-    outside = split.where("component != top").select("band", F.col("node").alias("x"), F.col("component").alias("cx"))
-    across = outside.join(split, "band").where("component != cx").select(
-        F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")
-    ).distinct()
-    more = written(across.join(tried, ["a", "b"], "left_anti"), "pairs")
-    links = links.unionByName(written(verified(more, rows), "links"))
+    family = components(tried).select("node", F.col("component").alias("family"))
+    placed = family.join(found, "node", "left").select("family", "node", F.coalesce("component", "node").alias("component"))
+    links = links.unionByName(written(family_links(written(placed, "families"), rows), "links"))
     found = written(components(links), "components")
     classes = nodes.join(found, "node", "left").select("digest", F.coalesce("component", "node").alias("class"))
     return signed.select("key", "digest").join(classes, "digest", "left").select("key", F.coalesce("class", "key").alias("class"))
@@ -237,3 +319,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         F.when(F.col("class") < NO_ID, F.col("class")).alias("class_id"),
         "n_class", (F.col("key") == F.col("class")).alias("kept"),
     )
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The rows of `docs` that stand for their class, one each; its columns stay as they are."""
+    key = fresh(docs, "_key")
+    keyed = docs.withColumn(key, row_key(F.col("doc_id"), F.col("text")))
+    classes = written(near_classes(keyed.select(F.col(key).alias("key"), "text")), "classes")
+    named = classes.where("key = class").groupBy(F.col("key").alias(key)).count()
+    single = named.where("count = 1").select(key)
+    kept = keyed.join(single, key, "left_semi")
+    repeated = named.where("count > 1").select(key)
+    if not repeated.isEmpty():  # rows that repeat an id
+        kept = kept.unionByName(keyed.join(repeated, key, "left_semi").dropDuplicates([key]))
+    return kept.select(*docs.columns)
