@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridcast.llm.common import written
+from gridcast.llm.common import fresh, row_key, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -47,20 +47,20 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     below, onward = by_cap.rowsBetween(Window.unboundedPreceding, -1), by_cap.rowsBetween(0, Window.unboundedFollowing)
     everywhere = Window.partitionBy().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     levels = ranked.select(
-        "source", "source_size", "weight", "cap",
+        "source", "source_size", "weight", "cap", F.row_number().over(by_cap).alias("place"),
         ((F.lit(SHARE) * F.sum("source_size").over(everywhere) - F.coalesce(F.sum("cap").over(below), F.lit(0)))
          / F.sum("weight").over(onward)).alias("level"),
     )
-    # levels of sources that pass their cap are too high, the first that holds is the one of all the rest
-    held = F.min(F.when(F.col("cap") > F.col("level") * F.col("weight"), F.col("level"))).over(everywhere)
+    # the level of the first source that stays below its cap is that of all after it; those before it stop at their caps
+    held = F.min(F.when(F.col("cap") > F.col("level") * F.col("weight"), F.struct("place", "level"))).over(everywhere)
     return levels.withColumn("held", held).select(
         "source", "source_size",
-        F.when(F.col("held").isNull() | (F.col("cap") <= F.col("level") * F.col("weight")), F.col("cap").cast("double"))
-        .otherwise(F.col("held") * F.col("weight")).alias("target"),
+        F.when(F.col("held").isNull() | (F.col("place") < F.col("held.place")), F.col("cap").cast("double"))
+        .otherwise(F.col("held.level") * F.col("weight")).alias("target"),
     )
 
 
-def mix(docs: DataFrame, quality: DataFrame | None = None) -> DataFrame:
+def mix(docs: DataFrame, quality: DataFrame | None = None, also: tuple[str, ...] = ()) -> DataFrame:
     """One row per row of `docs(doc_id, text, source)`: doc_id, source, size, source_size,
     target (words, of the source), epochs (times the document is taken, 0 to 2), taken (words).
 
@@ -71,7 +71,7 @@ def mix(docs: DataFrame, quality: DataFrame | None = None) -> DataFrame:
     empty table gives no rows. The whole-document epochs end at the document
     whose middle passes the budget, so each source is within one document of it.
     """
-    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), *also)
     if quality is None:
         weight = F.lit(UNKNOWN)
     else:
@@ -81,7 +81,7 @@ def mix(docs: DataFrame, quality: DataFrame | None = None) -> DataFrame:
     digits = F.md5(F.concat(F.lit(SEED), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
     uniform = (F.conv(F.substring(digits, 1, 13), 16, 10).cast("double") + 1) / F.lit(float(2**52 + 1))
     rows = written(
-        sized.select("doc_id", "source", "size", (-F.log(uniform) / weight).alias("key"))
+        sized.select("doc_id", "source", "size", *also, (-F.log(uniform) / weight).alias("key"))
         .withColumn("bin", F.floor(F.lit(BINS) * (1 - F.exp(-F.col("key"))))),
         "mix-sizes",
     )
@@ -105,10 +105,33 @@ def mix(docs: DataFrame, quality: DataFrame | None = None) -> DataFrame:
         "epochs", F.when(F.col("size") == 0, 0).otherwise(F.col("whole") + extra.cast("int")).cast("int")
     ).select(
         "doc_id", "source", "size", "source_size", "target", "epochs",
-        (F.col("size") * F.col("epochs")).cast("long").alias("taken"),
+        (F.col("size") * F.col("epochs")).cast("long").alias("taken"), *also,
     )
 
 
+def take(docs: DataFrame, quality: DataFrame | None = None) -> DataFrame:
+    """The rows of `docs`, each as often as the mix takes it; its columns stay as they are.
+
+    Equal rows are taken together as often as all of them.
+    """
+    # both numbers together name a row
+    key, other = fresh(docs, "_key"), fresh(docs, "_row")
+    keyed = docs.withColumns({key: row_key(F.col("doc_id"), F.col("text")), other: F.xxhash64(*docs.columns)})
+    narrow = keyed.select("doc_id", "text", "source", F.col(key).alias("_k"), F.col(other).alias("_r"))
+    copies = written(
+        mix(narrow, quality, also=("_k", "_r")).groupBy(F.col("_k").alias(key), F.col("_r").alias(other))
+        .agg(F.sum("epochs").cast("int").alias("_copies"), F.count("*").alias("_rows")).where("_copies > 0"), "copies"
+    )
+    counts = fresh(docs, "_copies")
+    copies = copies.withColumnRenamed("_copies", counts)
+    times = F.explode(F.sequence(F.lit(1), F.col(counts))).alias(fresh(docs, "_time"))
+    taken = keyed.join(copies.where("_rows = 1").drop("_rows"), [key, other])
+    repeated = copies.where("_rows > 1").drop("_rows")
+    if not repeated.isEmpty():
+        taken = taken.unionByName(keyed.join(repeated, [key, other]).dropDuplicates([key, other]))
+    return taken.select(*docs.columns, times).select(*docs.columns)
+
+
 ORACLE = """
 with sized as (
   select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) as bigint) as size,
@@ -123,17 +146,19 @@ with sized as (
          case (row_number() over (order by source nulls last) - 1) % 3 when 0 then 5 when 1 then 2 else 1 end as weight
   from keyed group by source
 ), levels as (
-  select *, 2 * source_size as cap,
+  select *, 2 * source_size as cap, row_number() over (order by 2.0::double * source_size / weight, source nulls last) as place,
          (1.5::double * cast(sum(source_size) over () as bigint)
           - coalesce(cast(sum(2 * source_size) over (order by 2.0::double * source_size / weight, source nulls last
               rows between unbounded preceding and 1 preceding) as bigint), 0))
          / cast(sum(weight) over (order by 2.0::double * source_size / weight, source nulls last
               rows between current row and unbounded following) as bigint) as level
   from totals
+), held as (
+  select place, level from levels where cap > level * weight order by place limit 1
 ), targets as (
   select source, source_size,
-         case when held is null or cap <= level * weight then cap::double else held * weight end as target
-  from (select *, min(case when cap > level * weight then level end) over () as held from levels)
+         case when h.place is null or l.place < h.place then cap::double else h.level * weight end as target
+  from levels l left join held h on true
 ), placed as (
   select k.*, t.source_size, t.target,
          case when t.source_size > 0 then floor(t.target / t.source_size) else 0 end as whole,

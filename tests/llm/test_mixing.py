@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import random
 import re
 
 import pytest
 
-from gridcast.llm.mixing import mix
+from gridcast.llm.mixing import mix, source_targets
 
 
 def stepwise(sizes):
@@ -54,6 +55,16 @@ def test_targets_and_budgets(spark, rows):
     assert sorted(map(tuple, got), key=repr) == sorted(map(tuple, mix(docs_of(spark, rows)).collect()), key=repr)
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_targets_of_many_sources(spark, seed):
+    draw = random.Random(seed)
+    sizes = {f"s{i}": draw.choice([1, 30, 1000, 10**6]) * draw.randint(1, 9) for i in range(draw.randint(1, 25))} | {None: 50}
+    got = source_targets(spark.createDataFrame([(s, n) for s, n in sizes.items()], "source string, size long")).collect()
+    want = stepwise(sizes)
+    assert {r["source"]: r["target"] for r in got} == pytest.approx(want)
+    assert sum(want.values()) == pytest.approx(1.5 * sum(sizes.values()))
+
+
 def test_quality_is_preferred(spark):
     rows = [(i, "w w w w", s, "x") for i, s in enumerate(["a", "b", "c"] * 400)]
     labels = spark.createDataFrame([(i, (i // 3) % 2) for i in range(1200)] + [(None, 1), (5, 1)], "doc_id long, quality int")
