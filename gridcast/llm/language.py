@@ -169,13 +169,15 @@ def train(docs: DataFrame, lang: str = "lang", per_language: int = PER_LANGUAGE,
     return LanguageModel([name for name, _ in order], x)
 
 
-def identify(docs: DataFrame, model: LanguageModel, text: str = "text", rows: int = 512) -> DataFrame:
-    """`docs` with the columns `_lang_pred` and `_lang_score` added; nothing but the text is looked at.
+def identify(
+    docs: DataFrame, model: LanguageModel, text: str = "text", rows: int = 512, names: tuple[str, str] = ("_lang_pred", "_lang_score")
+) -> DataFrame:
+    """`docs` with two columns `names` added, the language and its score; nothing but the text is looked at.
 
     A null text and one without a letter are `und` with score 0. An empty table
     stays empty. All other columns are kept as they are.
     """
-    schema = T.StructType([*docs.schema.fields]).add("_lang_pred", "string").add("_lang_score", "double")
+    schema = T.StructType([*docs.schema.fields]).add(names[0], "string").add(names[1], "double")
     at = docs.columns.index(text)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # of a size set by the languages and BUCKETS
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridcast.llm import counts, decontaminate, embeddings, language, licenses, lm, minhash, mixing, records
+from gridcast.llm import counts, decontaminate, embeddings, language, licenses, lm, minhash, mixing, records, substrings
 from gridcast.llm.common import scratch, table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,15 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 @_query("op5_lm_scores")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return lm.score_documents(table(spark, folder, "documents"))
+
+
+@_query("op2_substrings")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, folder, "documents"))
+
+
+@_query("pipeline")
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)
