@@ -190,18 +190,14 @@ def candidate_summary(spark, folder):
 
 part("run_trials", "select * from trials where run_id = (select run_id from trials order by evaluated_at desc, run_id desc limit 1)")
 part("run_summary", """
-select horizon_hours, model_name, count(*) as valid_windows, avg(case when isfinite(mae) then mae end) as average_mae, avg(rmse) as average_rmse,
-  avg(peak_period_mae) as average_peak_period_mae, avg(underprediction_rate) as average_underprediction_rate from run_trials where isfinite(mae) group by 1, 2""")
+select horizon_hours, model_name, count(*) as valid_windows, avg(mae) as average_mae, avg(rmse) as average_rmse,
+  avg(peak_period_mae) as average_peak_period_mae, avg(underprediction_rate) as average_underprediction_rate from run_trials group by 1, 2""")
 SUMMARY = "horizon_hours:int model_name:text valid_windows:int average_mae:num average_rmse:num average_peak_period_mae:num average_underprediction_rate:num"
 
 
-def finite_trials(spark, folder):
-    return trials(spark, folder).where("not isnan(mae)")
-
-
 @query("eval_backtest_summary", SUMMARY, "run_summary")
 def eval_backtest_summary(spark, folder):
-    return reports.run_backtest_summary(finite_trials(spark, folder))
+    return reports.run_backtest_summary(trials(spark, folder))
 
 
 @query("best_backtest_models", SUMMARY, "select * from run_summary qualify row_number() over (partition by horizon_hours order by average_mae, model_name) = 1")

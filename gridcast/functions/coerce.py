@@ -6,7 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # fixed values: accepted timestamp spellings, tried in this order, all read as UTC
-TIMESTAMP_PATTERNS = ["M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "M/d/yyyy", "yyyy/M/d H:mm:ss", "yyyy/M/d H:mm"]
+TIMESTAMP_PATTERNS = ["M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "M/d/yyyy", "yyyy/M/d H:mm:ss", "yyyy/M/d H:mm",
+                      "M/d/yyyy h:mm:ss a", "M/d/yyyy h:mm a", "yyyy-M-d h:mm:ss a", "yyyy-M-d h:mm a",
+                      "d-MMM-yyyy H:mm:ss", "d-MMM-yyyy H:mm", "d-MMM-yyyy", "d MMM yyyy H:mm:ss", "d MMM yyyy H:mm", "d MMM yyyy", "d MMMM yyyy H:mm:ss", "d MMMM yyyy H:mm", "d MMMM yyyy",
+                      "MMM d, yyyy H:mm:ss", "MMM d, yyyy H:mm", "MMM d, yyyy", "MMMM d, yyyy H:mm:ss", "MMMM d, yyyy H:mm", "MMMM d, yyyy"]
+# fixed value: text that is a number; type suffixes such as 1f or 2d are not
+NUMBER_PATTERN = r"^[+-]?(\d+\.?\d*([eE][+-]?\d+)?|\.\d+([eE][+-]?\d+)?|(?i:inf|infinity|nan))$"
 # fixed values: text meaning "yes"
 TRUE_WORDS = ["1", "true", "t", "yes", "y"]
 TRUE_WORDS_REPORTS = TRUE_WORDS + ["on"]
@@ -14,7 +19,8 @@ TRUE_WORDS_REPORTS = TRUE_WORDS + ["on"]
 
 def to_number(column: str) -> Column:
     """Number from text with optional thousands commas; anything else is null."""
-    return F.replace(F.trim(F.col(column).cast("string")), F.lit(","), F.lit("")).try_cast("double")
+    text = F.replace(F.trim(F.col(column).cast("string")), F.lit(","), F.lit(""))
+    return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
 
 
 def to_utc_timestamp(column: str) -> Column:

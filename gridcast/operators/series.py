@@ -49,9 +49,10 @@ def lags_and_means(
     """Add row lags and trailing means, `name -> (column, rows)`.
 
     A mean covers the current row and the `rows - 1` before it, skips nulls and
-    uses what there is at the start. It is the difference of two running sums,
-    so a frame of 168 rows costs no more than one of 24; the sums are decimal,
-    so nothing is lost in the subtraction.
+    uses what there is at the start. Of decimals and whole numbers it is the
+    difference of two exact running sums, so a frame of 168 rows costs no more
+    than one of 24. Of doubles it is the plain average of the frame, because
+    differences of sums would lose digits; NaN is skipped like null.
     """
     keys = list(keys)
     reach = max(rows for _, rows in [*lags.values(), *means.values()])
@@ -67,13 +68,21 @@ def lags_and_means(
     running = f"over {over} rows between unbounded preceding and current row)"
     types = dict(df.dtypes)
 
-    sums = []
+    sums, exactly = [], set()
+    whole = {"tinyint", "smallint", "int", "bigint"}
     for source in dict.fromkeys(column for column, _ in means.values()):
-        exact = source if "decimal" in types[source] else f"try_cast({source} as decimal(22,6))"
+        if "decimal" not in types[source] and types[source] not in whole:
+            continue
+        exact = source if "decimal" in types[source] else f"cast({source} as decimal(20,0))"
+        exactly.add(source)
         sums += [f"coalesce(sum({exact}) {running}, 0) as _sum_{source}", f"count({exact}) {running} as _n_{source}"]
 
     added = [f"lag({column}, {rows}) over {over}) as {name}" for name, (column, rows) in lags.items()]
     for name, (column, rows) in means.items():
+        if column not in exactly:
+            frame = f"over {over} rows between {rows - 1} preceding and current row)"
+            added.append(f"avg(nanvl(cast({column} as double), null)) {frame} as {name}")
+            continue
         total = f"(_sum_{column} - coalesce(lag(_sum_{column}, {rows}) over {over}), 0))"
         count = f"(_n_{column} - coalesce(lag(_n_{column}, {rows}) over {over}), 0))"
         added.append(f"case when {count} > 0 then cast({total} as double) / {count} end as {name}")

@@ -154,21 +154,25 @@ def backtest_baselines(
     """Every registered baseline on every window of its horizon, all models in one pass.
 
     A model predicts with the column its parameters name as "rule", or else the
-    one `specs` gives for its name; models with neither are left out.
+    one `specs` gives for its name; models with neither, or with a rule
+    that is no column of the frame, are left out.
     """
     windows = backtest_windows(frame, rules)
-    predictors = list(dict.fromkeys(specs.values()))
-    test = _in_window(frame.select(_H, _TS, _ACTUAL, *predictors), windows, "test")
     known = ", ".join(f"'{name}', '{column}'" for name, column in specs.items())
-    named = f"element_at(map({known}), model_name)"
-    rule = F.expr(named)
+    rule = F.expr(f"element_at(map({known}), model_name)")
     if "parameters" in models.columns:
         rule = F.coalesce(text_field("parameters", "rule"), rule)
     baselines = models.where("model_type = 'baseline'").select(
         "model_id", "model_name", "model_type", _H, rule.alias("predictor")
     )
+    # at most one row per column of the frame
+    asked = baselines.where(F.col("predictor").isin(*frame.columns)).select("predictor").distinct().collect()
+    predictors = sorted(row.predictor for row in asked)
+    if not predictors:
+        predictors = list(dict.fromkeys(specs.values()))
+    test = _in_window(frame.select(_H, _TS, _ACTUAL, *[F.col(c).alias(f"_rule_{c}") for c in predictors]), windows, "test")
     predictions = (
-        baseline_rows(test, {column: column for column in predictors})
+        baseline_rows(test, {column: f"_rule_{column}" for column in predictors})
         .withColumnRenamed("model_name", "predictor").join(baselines, ["predictor", _H])
     )
     return evaluate_windows(frame, predictions, windows, run_id, evaluated_at)

@@ -140,11 +140,13 @@ def decide_promotions(
 ) -> DataFrame:
     """One decision row per candidate; at most one promotion per horizon.
 
+    A candidate without a horizon can neither win nor lose one and gets no decision.
     The best passing candidate is found with a minimum per horizon, combined
     before the shuffle, so a horizon with very many candidates is never sorted
     in one place.
     """
     champions = current_champions(normalize_registry(existing))
+    candidates = candidates.where(F.col(_H).isNotNull())
     judged = compare_challengers(champions, candidates, results, rules).unionByName(
         _bootstrap(candidates, champions, results, rules)
     )
@@ -187,18 +189,29 @@ def decide_promotions(
 
 
 def apply_decisions(registry: DataFrame, decisions: DataFrame, decided_at: Column) -> DataFrame:
-    """Registry after the promotions: the new champion is marked, others of its horizon retire."""
+    """Registry after the promotions: the new champion is marked, others of its horizon retire.
+
+    Promotions take effect in the order of evaluated_at, then decision_id. Of several
+    of one horizon the last one stands; a model promoted before it keeps its own
+    decision and retires. Each side of the joins has one row per horizon or model.
+    """
     current = normalize_registry(registry)
-    promoted = decisions.where("decision = 'promoted' and promoted_model_id is not null")
-    horizons = promoted.select(_H, F.col("promoted_model_id").alias("_winner"))
-    winners = promoted.select(F.col("promoted_model_id").alias("model_id"), F.col("decision_id").alias("_decision"))
-    joined = current.join(horizons, _H, "left").join(winners, "model_id", "left").withColumn("_now", decided_at)
+    promoted = decisions.where(f"decision = 'promoted' and promoted_model_id is not null and {_H} is not null")
+    last = F.max(F.struct("evaluated_at", "decision_id", "promoted_model_id"))
+    horizons = promoted.groupBy(_H).agg(last["promoted_model_id"].alias("_winner"))
+    standing = horizons.select(F.col("_winner").alias("model_id")).distinct().withColumn("_stands", F.lit(True))
+    own = promoted.groupBy(F.col("promoted_model_id").alias("model_id")).agg(last["decision_id"].alias("_decision"))
+    joined = (
+        current.join(horizons, _H, "left").join(own.join(standing, "model_id", "left"), "model_id", "left")
+        .withColumn("_now", decided_at)
+    )
     won = "_decision is not null"
-    retires = f"(_winner is not null and is_preferred and not ({won}))"
+    stands = f"({won} and _stands is not null)"
+    retires = f"not {stands} and ({won} or (_winner is not null and is_preferred))"
     changed = {
-        "is_preferred": f"case when {won} then true when {retires} then false else is_preferred end",
+        "is_preferred": f"case when {stands} then true when {retires} then false else is_preferred end",
         "preferred_at": f"case when {won} then _now else preferred_at end",
-        "retired_at": f"case when {won} then null when {retires} then _now else retired_at end",
+        "retired_at": f"case when {stands} then null when {retires} then _now else retired_at end",
         "promotion_decision_id": "coalesce(_decision, promotion_decision_id)",
     }
     return joined.selectExpr(*[f"{changed[c]} as {c}" if c in changed else c for c in current.columns])

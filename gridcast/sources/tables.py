@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def read_optional_table(
@@ -32,15 +33,17 @@ def overwrite_table(df: DataFrame, table: str) -> None:
 
 def replace_table(df: DataFrame, table: str) -> None:
     """Replace rows and schema together."""
-    df.write.mode("overwrite").option("overwriteSchema", "true").saveAsTable(table)
+    df.write.mode("overwrite").saveAsTable(table)
 
 
 def append_run(df: DataFrame, table: str) -> bool:
-    """Append one run's rows, partitioned by run; skipped when there are none."""
-    if df.isEmpty():
-        return False
-    df.write.mode("append").partitionBy("run_id").saveAsTable(table)
-    return True
+    """Append one run's rows, partitioned by run; False when there were none.
+
+    The rows are counted while they are written, so the plan runs once.
+    """
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("append").partitionBy("run_id").saveAsTable(table)
+    return seen.get["rows"] > 0
 
 
 def materialize(df: DataFrame, layer: str, name: str, as_view: bool = False) -> DataFrame:

@@ -93,3 +93,12 @@ def test_backtest_of_a_baseline_matches_hand_computation(spark):
         "model_id string, model_name string, model_type string, horizon_hours int, parameters string")
     got = backtests.backtest_baselines(frame, ruled, rules, "run", F.lit(None).cast("timestamp"))
     assert rows(got, "model_id", "mae") == [("id-2", 24.0), ("id-2", 24.0)]
+
+    # any column of the frame may be a rule
+    wide = frame.withColumn("load_lag_1h", F.col("target_load_mw") - 1).withColumn("load_rolling_168h_avg", F.col("target_load_mw") + 2)
+    names = {"a": "load_lag_24h", "b": "load_lag_1h", "c": "load_rolling_168h_avg", "d": "no_column"}
+    ruled = spark.createDataFrame(
+        [(k, "own_name", "baseline", 1, f'{{"rule": "{v}"}}') for k, v in names.items()],
+        "model_id string, model_name string, model_type string, horizon_hours int, parameters string")
+    got = backtests.backtest_baselines(wide, ruled, rules, "run", F.lit(None).cast("timestamp"))
+    assert rows(got, "model_id", "mae") == [("a", 24.0), ("a", 24.0), ("b", 1.0), ("b", 1.0), ("c", 2.0), ("c", 2.0)]

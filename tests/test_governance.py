@@ -123,3 +123,23 @@ def test_registry_gains_governance_columns(spark):
 def test_rules_are_checked():
     with pytest.raises(ValueError):
         PromotionRules(primary_metric="mape")
+
+
+def test_two_promotions_of_a_horizon_apply_in_order(spark):
+    whole = registry(spark, ("champion", True), ("first", False), ("second", False))
+    decisions = spark.createDataFrame(
+        [("d1", 1, "promoted", "first", "2024-04-20 00:00:00"), ("d2", 1, "promoted", "second", "2024-04-21 00:00:00"),
+         ("d3", 1, "rejected", None, "2024-04-22 00:00:00"), ("d0", 1, "promoted", "second", "2024-04-01 00:00:00")],
+        "decision_id string, horizon_hours int, decision string, promoted_model_id string, evaluated_at string")
+    got = gov.apply_decisions(whole, decisions, now())
+    moment = datetime(2024, 5, 1)
+    assert {r.model_id: (r.is_preferred, r.retired_at, r.promotion_decision_id) for r in got.collect()} == {
+        "champion": (False, moment, None), "first": (False, moment, "d1"), "second": (True, None, "d2")}
+    assert got.count() == 3
+
+
+def test_candidates_without_a_horizon_get_no_decision(spark):
+    candidates = registry(spark, ("rival", False), ("lost", False)).withColumn(
+        "horizon_hours", F.when(F.col("model_id") == "rival", F.col("horizon_hours")))
+    got = decide(spark, registry(spark, ("champion", True)), candidates, {"champion": [100.0] * 3, "rival": [90.0] * 3, "lost": [1.0] * 3})
+    assert [r.challenger_model_id for r in got.collect()] == ["rival"]

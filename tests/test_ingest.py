@@ -5,6 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from gridcast.functions.coerce import to_number, to_utc_timestamp
 from gridcast.sources.feeds import GENERATION, INTERTIE, WEATHER, empty_feed, read_feed_csv, transform_feed
 from gridcast.sources.market import read_market_csv, require_rows, transform_market
 from tests.conftest import rows
@@ -92,3 +93,21 @@ def test_feed_keys_are_required_and_path_is_optional(spark, tmp_path):
     assert read_feed_csv(spark, "  ", WEATHER) is None
     (tmp_path / "w.csv").write_text("forecast_issue_utc,forecast_target_utc,region,source\n2024-01-01,2024-01-02, ,station\n")
     assert rows(read_feed_csv(spark, str(tmp_path / "w.csv"), WEATHER), "region", "source") == [("alberta", "station")]
+
+
+def test_numbers_have_no_type_suffix(spark):
+    texts = ["9467d", "1f", "1,234.5", " 7 ", "-.5", "1e3", "0x10", "", "1.", "--1", "2L", "+3"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", to_number("t").alias("n"))
+    assert {r["t"]: r["n"] for r in df.collect()} == {
+        "9467d": None, "1f": None, "1,234.5": 1234.5, " 7 ": 7.0, "-.5": -0.5, "1e3": 1000.0, "0x10": None, "": None, "1.": 1.0,
+        "--1": None, "2L": None, "+3": 3.0}
+
+
+def test_timestamps_with_half_days_and_month_names(spark):
+    texts = ["1/2/2020 1:00 PM", "01/02/2020 07:00:00 AM", "02-Jan-2020 07:00", "2 January 2020", "Jan 2, 2020 13:00", "January 2, 2020 7:05",
+             "1/2/2020 12:30 AM", "13/2/2020 1:00 PM", "soon"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", to_utc_timestamp("t").cast("string").alias("u"))
+    assert {r["t"]: r["u"] for r in df.collect()} == {
+        "1/2/2020 1:00 PM": "2020-01-02 13:00:00", "01/02/2020 07:00:00 AM": "2020-01-02 07:00:00", "02-Jan-2020 07:00": "2020-01-02 07:00:00",
+        "2 January 2020": "2020-01-02 00:00:00", "Jan 2, 2020 13:00": "2020-01-02 13:00:00", "January 2, 2020 7:05": "2020-01-02 07:05:00",
+        "1/2/2020 12:30 AM": "2020-01-02 00:30:00", "13/2/2020 1:00 PM": None, "soon": None}

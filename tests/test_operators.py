@@ -143,3 +143,12 @@ def test_running_counts_share_one_scan(spark):
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
     assert "ReusedExchange" in plan
+
+
+def test_means_of_doubles_keep_small_and_large_values(spark):
+    values = [2e-7, 4e-7, 1e17, 3e17, float("nan"), 5e17]
+    df = spark.createDataFrame([(h, v, 10**17 + h) for h, v in enumerate(values)], "h int, v double, n long").selectExpr(
+        "timestamp'2024-01-01' + make_dt_interval(0, h) as ts", "v", "n", "h")
+    got = lags_and_means(df, "ts", {}, {"mean": ("v", 2), "whole": ("n", 2)}).orderBy("h").collect()
+    assert [r["mean"] for r in got] == [2e-7, (2e-7 + 4e-7) / 2, (4e-7 + 1e17) / 2, 2e17, 3e17, 5e17]
+    assert got[1]["whole"] == 1e17
