@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from catalog import market
 from catalog.base import query
 from gridcast.plans import calendar as cal
@@ -105,6 +107,38 @@ def dq_grain(spark, folder):
     })
 
 
+def moved(training, column, hours):
+    """A training table with a fault: one of its times is some hours off."""
+    return training.withColumn(column, F.expr(f"{column} + make_dt_interval(0, {hours})"))
+
+
+@query("dq_issue_known_moved", TRAINING_KEYS, """
+select * from (select * replace (feature_as_of_timestamp_utc - interval 30 hour as feature_as_of_timestamp_utc) from train_set)
+where weather_forecast_issue_utc > feature_as_of_timestamp_utc or generation_availability_issue_utc > feature_as_of_timestamp_utc
+  or intertie_schedule_issue_utc > feature_as_of_timestamp_utc""")
+def dq_issue_known_moved(spark, folder):
+    """Snapshots issued after an as-of hour that is moved 30 hours back."""
+    return quality.issued_after_as_of(moved(market.training(spark, folder), "feature_as_of_timestamp_utc", -30))
+
+
+@query("dq_target_aligned_moved", TRAINING_KEYS, """
+select * from (select * replace (target_timestamp_utc + interval 1 hour as target_timestamp_utc) from train_set)
+where weather_forecast_target_utc <> target_timestamp_utc or generation_availability_target_utc <> target_timestamp_utc
+  or intertie_schedule_target_utc <> target_timestamp_utc""")
+def dq_target_aligned_moved(spark, folder):
+    """Rows with a snapshot for another hour than their target, which is moved by an hour."""
+    return quality.target_mismatch(moved(market.training(spark, folder), "target_timestamp_utc", 1))
+
+
+@query("dq_grain_doubled", "model_name:text issue_utc:ts target_utc:ts row_count:int", """
+select 'weather_features' as model_name, forecast_issue_utc as issue_utc, forecast_target_utc as target_utc, 2 * count(*) as row_count
+from weather_feat group by 2, 3""")
+def dq_grain_doubled(spark, folder):
+    """Every pair of a feature table that was loaded twice."""
+    weather, _, _ = market.snapshot_features(spark, folder)
+    return quality.repeated_grain({"weather_features": (weather.unionAll(weather), "forecast_issue_utc", "forecast_target_utc")})
+
+
 @query("dq_required_horizons", "horizon_hours:int", "select horizon_hours from (select unnest([1, 24, 48]) as horizon_hours) where horizon_hours not in (select horizon_hours from train_set)")
 def dq_required_horizons(spark, folder):
     """Expected horizons the training set lacks; 48 is expected here and not built."""

@@ -44,7 +44,7 @@ def snapshot_columns(prefix: str, issued: str, struct: str, columns: list[str])
     seconds = f"(unix_timestamp(feature_as_of_timestamp_utc) - unix_timestamp({issued}))"
     return [
         f"{issued} as {prefix}_issue_utc",
-        f"case when {issued} is not null then target_timestamp_utc end as {prefix}_target_utc",
+        f"{struct}.own_target_utc as {prefix}_target_utc",
         f"cast({seconds} / 3600 as decimal(10,2)) as {prefix}_age_hours",
         *[f"{struct}.{column}" for column in columns],
     ]
@@ -71,7 +71,7 @@ def target_hours(energy: DataFrame, horizons: list[int] = HORIZONS) -> DataFrame
 def feed_sides(weather: DataFrame, generation: DataFrame, intertie: DataFrame) -> list[Feed]:
     """The three snapshot tables as right sides keyed by target hour."""
     def side(name, df, issue, target, columns):
-        return Feed(name, df.selectExpr(f"{target} as target_timestamp_utc", issue, *columns), issue)
+        return Feed(name, df.selectExpr(f"{target} as target_timestamp_utc", issue, f"{target} as own_target_utc", *columns), issue)
 
     return [
         side("weather", weather, "forecast_issue_utc", "forecast_target_utc", _WEATHER),

@@ -56,6 +56,6 @@ def absent_horizons(training: DataFrame, expected: list[int] = HORIZONS) -> Data
 def wrong_holiday_flags(calendar: DataFrame, expected: DataFrame) -> DataFrame:
     """Calendar rows of the expected dates whose flags differ, nulls compared as values."""
     flags = [c for c in expected.columns if c != "local_date"]
-    wanted = F.broadcast(expected.select("local_date", *[F.col(c).alias(f"_{c}") for c in flags]))
+    wanted = expected.select("local_date", *[F.col(c).alias(f"_{c}") for c in flags])
     differs = " or ".join(f"not ({c} <=> _{c})" for c in flags)
     return calendar.join(wanted, "local_date").where(differs).select("local_date", *flags)
