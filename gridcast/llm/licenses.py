@@ -187,3 +187,41 @@ def scan_licenses(docs: DataFrame, idf: dict[str, float] | None = None) -> DataF
         F.coalesce(F.array_max("m.score"), F.lit(0.0)).alias("score"),
         F.size("m").cast("long").alias("n_matches"),
     )
+
+
+def oracle() -> str:
+    """The same rows from key phrases alone: every place of a key phrase, scored by its template."""
+    quote = lambda words: "[" + ", ".join(f"'{w}'" for w in words) + "]"
+    rows = ", ".join(
+        f"('{t.label}', {t.base}, {quote(t.words)}, {quote(t.key_words)}, {t.key_at})" for t in TEMPLATES
+    )
+    return rf"""
+with texts as (
+  select row_number() over () as r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents
+), templates(label, base, words, key, key_at) as (values {rows}),
+vocabulary as (select distinct unnest(words) as word from templates),
+spread as (select r, unnest(w) as word, unnest(range(len(w))) as i from texts),
+counts as (select word, count(distinct r) as n from spread semi join vocabulary using (word) group by 1),
+idf as (select word, ln((1 + (select count(*) from texts)) / (1.0::double + coalesce(n, 0))) + 1 as idf from vocabulary left join counts using (word)),
+places as (
+  select s.r, t.label, t.base, t.words, s.i - t.key_at as start, x.w
+  from spread s join templates t on s.word = t.key[1] join texts x using (r)
+  where x.w[s.i + 1:s.i + len(t.key)] = t.key and s.i >= t.key_at
+), parts as (
+  select r, label, base, start, word, w[start + j + 1] = word as same
+  from (select r, label, base, start, w, unnest(words) as word, unnest(range(len(words))) as j from places)
+), scored as (
+  select r, label, base, start, least(1.0, sum(case when same then idf else 0 end) / sum(idf)) as score
+  from parts join idf using (word) group by 1, 2, 3, 4
+), found as (
+  select r, count(*) filter (base) as n_base, min(start) filter (base) as first_word, max(start) filter (base) as last_word,
+         string_agg(distinct label, ',' order by label) filter (base) as base_labels, string_agg(distinct label, ',' order by label) as labels,
+         max(score) as score, count(*) as n_matches
+  from scored where score >= {LEAST_SCORE} group by 1
+)
+select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_base, 0) as bigint) as n_base, cast(first_word as bigint) as first_word,
+       cast(last_word as bigint) as last_word, coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels,
+       round(coalesce(score, 0.0::double), 6) as score, cast(coalesce(n_matches, 0) as bigint) as n_matches
+from texts left join found using (r)
+"""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gridcast.llm import counts, decontaminate, embeddings, language, licenses, lm, minhash, mixing, records, substrings
 from gridcast.llm.common import scratch, table
@@ -29,9 +30,9 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return str(public_tokenizers.path(name))
 
 
-@_query("op1_licenses")
+@_query("op1_licenses", licenses.oracle())
 def op1(spark: SparkSession, folder: str) -> DataFrame:
-    return licenses.scan_licenses(table(spark, folder, "documents"))
+    return licenses.scan_licenses(table(spark, folder, "documents")).withColumn("score", F.round("score", 6))
 
 
 @_query("op9_mixing", mixing.ORACLE)
