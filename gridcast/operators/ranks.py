@@ -2,7 +2,8 @@
 
 Equal values are counted first (map-side), so a value shared by a third of all
 rows is one row afterwards. The distinct values are then cut into spans by
-their leading digits and ranked span by span; only per-span totals meet in one
+their leading digits, more of them where many values are close together, and
+ranked span by span; only per-span totals meet in one
 place. The span is a pure function of the value, so a recomputed stage always
 cuts at the same points.
 """
@@ -15,27 +16,46 @@ from pyspark.sql import functions as F
 from gridcast.operators.series import row_index
 
 LEADING_DIGITS = 4
+FINE_DIGITS = 8
+HEAVY_ROWS = 20_000
 
 
 def value_span(value: str, leading_digits: int = LEADING_DIGITS) -> Column:
-    """Non-decreasing whole number from a value: its sign, magnitude and leading digits.
+    """Non-decreasing whole number from a value: its sign, decimal exponent and leading digits.
 
-    Uses only exactly rounded arithmetic, so every machine computes the same.
-    Never null: a nullable join key would add a filter to one of the two
-    branches that count the values and Spark could not share their shuffle.
+    The number counts in steps of FINE_DIGITS digits, so spans of fewer digits and
+    of more can stand side by side. Logarithm and power are those of the strict
+    library, so every machine computes the same. Never null: a nullable join key
+    would add a filter to one of the two branches that count the values and Spark
+    could not share their shuffle.
     """
-    size = F.abs(F.col(value).cast("double"))
-    digits = F.length(F.least(size, F.lit(9e17)).cast("bigint").cast("string"))
-    kept = F.least(F.floor(size * F.lit(10.0 ** (leading_digits - 1)) / F.pow(F.lit(10.0), digits - 1)), F.lit(10**18))
-    code = digits.cast("bigint") * F.lit(10 ** (leading_digits + 1)) + kept
+    size = F.least(F.abs(F.col(value).cast("double")), F.lit(1.7e308))
+    exponent = F.greatest(F.floor(F.log10(size)), F.lit(-300))
+    kept = F.floor(size / F.pow(F.lit(10.0), exponent) * F.lit(10.0 ** (leading_digits - 1)))
+    code = (exponent + 301) * F.lit(10 ** (FINE_DIGITS + 1)) + kept * F.lit(10 ** (FINE_DIGITS - leading_digits))
     signed = F.when(F.col(value) < 0, -code).otherwise(code)
-    return F.coalesce(signed, F.lit(0))
+    return F.when(size > 0, F.coalesce(signed, F.lit(0))).otherwise(F.lit(0)).cast("bigint")
+
+
+def _spanned(rows: DataFrame, value: str, keys: list[str]) -> DataFrame:
+    """Rows with the span of their value: of LEADING_DIGITS digits, or of FINE_DIGITS where such a span
+    holds more than HEAVY_ROWS rows of its key.
+
+    There is one heavy span per HEAVY_ROWS rows at most.
+    """
+    coarse = rows.withColumn("_coarse", value_span(value))
+    heavy = (
+        coarse.groupBy(*keys, "_coarse").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > HEAVY_ROWS)
+        .select(*keys, "_coarse", F.lit(True).alias("_heavy"))
+    )
+    fine = F.when(F.col("_heavy"), value_span(value, FINE_DIGITS)).otherwise(F.col("_coarse"))
+    return coarse.join(heavy, [*keys, "_coarse"], "left").withColumn("_span", F.coalesce(fine, F.lit(0).cast("bigint"))).drop("_coarse", "_heavy")
 
 
 def _known(df: DataFrame, value: str, keys: list[str]) -> DataFrame:
     """Rows with no null key or value, and the span of their value."""
     known = df.where(" and ".join(f"{c} is not null" for c in [*keys, value]))
-    return known.select(*keys, value).withColumn("_span", value_span(value))
+    return _spanned(known.select(*keys, value), value, keys)
 
 
 def _span_offsets(spanned: DataFrame, keys: list[str], rows: str) -> DataFrame:
@@ -64,7 +84,7 @@ def running_counts(df: DataFrame, value: str, keys: list[str] = ()) -> DataFrame
     """
     keys = list(keys)
     known = df.where(" and ".join(f"{c} is not null" for c in [*keys, value]))
-    counts = known.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("rows")).withColumn("_span", value_span(value))
+    counts = _spanned(known.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("rows")), value, keys)
     offsets = _span_offsets(counts, keys, "sum(rows)").drop("_rows")
     return counts.join(offsets, [*keys, "_span"]).select(
         *keys, value, "rows", _ranked(counts, value, keys).alias("rows_upto"), "rows_total"

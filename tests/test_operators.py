@@ -152,3 +152,32 @@ def test_means_of_doubles_keep_small_and_large_values(spark):
     got = lags_and_means(df, "ts", {}, {"mean": ("v", 2), "whole": ("n", 2)}).orderBy("h").collect()
     assert [r["mean"] for r in got] == [2e-7, (2e-7 + 4e-7) / 2, (4e-7 + 1e17) / 2, 2e17, 3e17, 5e17]
     assert got[1]["whole"] == 1e17
+
+
+def test_close_values_spread_over_many_spans(spark):
+    from gridcast.operators import ranks
+
+    close = spark.range(100_000).selectExpr("100000 + id / 10000 as v")
+    small = spark.range(100_000).selectExpr("(id + 1) / 1e8 as v")
+    for df in (close, small, close.unionAll(small).selectExpr("-v as v")):
+        spans = ranks._known(df, "v", []).groupBy("_span").count()
+        assert spans.count() > 50 and spans.agg(F.max("count")).first()[0] <= 20_000
+        # spans follow the order of the values
+        steps = ranks._known(df, "v", []).groupBy("_span").agg(F.min("v").alias("low"), F.max("v").alias("high"))
+        ends = [(r["low"], r["high"]) for r in steps.orderBy("_span").collect()]
+        assert all(a[1] < b[0] for a, b in zip(ends, ends[1:]))
+        values = sorted(r["v"] for r in df.collect())
+        got = ranks.exact_quantile(df, "v", 0.9).first()[0]
+        at = 0.9 * (len(values) - 1)
+        low = int(at)
+        assert got == values[low] + (values[low + 1] - values[low]) * (at - low)
+
+
+def test_spans_of_zero_signs_and_extremes(spark):
+    from gridcast.operators.ranks import value_span
+
+    values = [-1e300, -5.0, -0.25, -1e-310, 0.0, 1e-310, 1e-9, 0.25, 0.5, 9.999999999999999, 10.0, 12345.0, 1e300]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for digits in (4, 8):
+        spans = [r["s"] for r in df.select("v", value_span("v", digits).alias("s")).orderBy("v").collect()]
+        assert spans == sorted(spans) and len(set(spans)) >= 10
