@@ -90,6 +90,7 @@ def _judged(rows: DataFrame, rules: PromotionRules) -> DataFrame:
     under = "challenger_average_underprediction_rate"
     under_limit = f"(champion_average_underprediction_rate + {rules.max_underprediction_rate_regression!r}D)"
     needed = f"cast(ceil(valid_window_count * {rules.minimum_win_rate!r}D) as bigint)"
+    # fixed values: the texts of the reasons
     broken = [
         f"case when not _enough then format_string('only %d comparable backtest windows; {least} required', valid_window_count) end",
         f"case when _enough and ({ours} is null or {theirs} is null) then '{p} comparison is unavailable' end",
@@ -158,6 +159,7 @@ def decide_promotions(
     ], "model_name", "model_id")
     best = judged.where("passed").groupBy(_H).agg(F.min(better)["model_id"].alias("_best"))
     chosen = "passed and model_id = _best"
+    # fixed values: the texts of the reasons
     reason = f"""case
         when not passed then reason
         when champion_model_id is null and {chosen} then 'no existing champion; selected as initial champion after backtests'
