@@ -23,6 +23,7 @@ from gridcast.llm.tokens import PieceEncoder, text_bytes
 
 GROUP = ["source", "lang", "version"]
 ROW = "sign int, source string, lang string, version string, n_docs long, n_tokens long"
+BATCH_ROWS = 512
 WORDS, BPE = "words", "byte_bpe_50k"
 
 
@@ -58,7 +59,7 @@ def token_counts(docs: DataFrame, tokenizer: str) -> DataFrame:
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = PieceEncoder(tokenizer)
-        for batch in batches:
+        for batch in (whole.slice(i, BATCH_ROWS) for whole in batches for i in range(0, whole.num_rows, BATCH_ROWS)):
             texts = batch.column(2)
             n = batch.num_rows
             yield pa.RecordBatch.from_arrays([

@@ -31,6 +31,7 @@ from gridcast.llm.tokens import PieceEncoder
 
 END_ID = 2
 SHARD_BYTES = 32 << 20  # of text; ids take about half of it
+BATCH_ROWS = 512
 _LENGTH, _HEAD, _BODY, _CRC = "<Q", "<QI", "<BBq", "<I"
 _HEAD_SIZE, _BODY_SIZE, _CRC_SIZE = (struct.calcsize(f) for f in (_HEAD, _BODY, _CRC))
 _INDEX = ("path string, shard int, part int, record long, doc_id long, offset long, length long, n_tokens long, "
@@ -85,7 +86,7 @@ def write_records(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_
 
     def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = PieceEncoder(tokenizer)
-        for batch in batches:
+        for batch in (whole.slice(i, BATCH_ROWS) for whole in batches for i in range(0, whole.num_rows, BATCH_ROWS)):
             ids, counts = encoder.encode(batch.column(1))
             ends = np.cumsum(counts)
             made = [frame(doc_id, np.append(ids[b - n:b], np.uint32(end_id)), encoder.width)

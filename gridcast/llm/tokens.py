@@ -1,21 +1,37 @@
 """Byte-level BPE over whole Arrow batches of texts with the `tokenizers` library.
 
-A pre-token of this kind of tokenizer never reaches past a single space between
-two printable ASCII characters: the space can only begin the next pre-token. The
-texts of a batch are therefore cut there, every distinct piece is encoded once,
-and the ids of a text are the ids of its pieces in order. Pieces that begin with
-such a space are encoded many at a time, joined to longer strings, and told apart
-by the byte lengths of their tokens.
+The pre-tokens of this kind of tokenizer are runs of letters, of digits or of other
+signs, each with one space before it at most, and runs of white space. Between two
+bytes of known kind it is therefore certain where one pre-token ends and the next
+begins, whatever stands around them. Texts are cut at such places, every distinct
+piece is encoded once, and the ids of a text are the ids of its pieces in order.
+Where a byte is of no known kind nothing is cut, so a piece may be longer than a
+pre-token, up to a whole text. New pieces are encoded many at a time, joined to
+longer strings, and told apart by the byte lengths of their tokens.
 """
 
 from __future__ import annotations
 
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+
+from gridcast.llm.rolling import pieces
 
 _JOINED_BYTES = 1 << 15
+_AT_ONCE = 8
+_SLICE_BYTES = 1 << 20
+_KNOWN_PIECES = 1 << 18
+_SPACE, _WHITE, _LETTER, _DIGIT, _SIGN, _OTHER = range(6)
+_KIND = np.full(256, _OTHER, np.uint8)
+_KIND[33:127] = _SIGN
+_KIND[48:58] = _DIGIT
+_KIND[65:91] = _KIND[97:123] = _LETTER
+_KIND[9:14] = _WHITE
+_KIND[32] = _SPACE
 
 
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -37,73 +53,147 @@ def strings(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(kind, len(offsets) - 1, buffers)
 
 
-def _printable(b: np.ndarray) -> np.ndarray:
-    return (b > 32) & (b < 127)
+_EMPTY, _LINE = pa.scalar("", pa.large_string()), pa.scalar("\n", pa.large_string())
+
+
+def _kinds(data: np.ndarray) -> np.ndarray:
+    kind = _KIND[data]
+    lead = np.flatnonzero(data[:-1] == 0xC3)  # with the next byte: letters, but for the signs of times and division
+    lead = lead[(data[lead + 1] != 0x97) & (data[lead + 1] != 0xB7)]
+    kind[lead] = kind[lead + 1] = _LETTER
+    return kind
+
+
+def _cuts(data: np.ndarray) -> np.ndarray:
+    """Whether a pre-token surely begins at each byte; nothing is said of the first byte of a text."""
+    kind = _kinds(data)
+    plain = (kind >= _LETTER) & (kind <= _SIGN)
+    blank = kind <= _WHITE
+    before, here = slice(None, -1), slice(1, None)
+    cut = np.zeros(len(data), bool)
+    cut[here] = plain[before] & blank[here]
+    cut[here] |= (kind[before] == _WHITE) & plain[here]
+    cut[here] |= plain[before] & plain[here] & (kind[before] != kind[here]) & ~((data[before] == 39) & (kind[here] == _LETTER))
+    # the last blank before a word stands apart from the blanks before it
+    last = blank[before] & plain[here]
+    cut[before] |= last & (kind[before] == _SPACE)
+    cut[1:-1] |= last[1:] & blank[:-2]
+    return cut
 
 
 class PieceEncoder:
-    """Encodes batches with the byte-level BPE tokenizer in the JSON file at `path`."""
+    """Encodes batches with the byte-level BPE tokenizer in the JSON file at `path`.
+
+    Pieces stay known for later batches, up to _KNOWN_PIECES of them.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        if hasattr(self.tokenizer.model, "_resize_cache"):
+            self.tokenizer.model._resize_cache(0)  # every piece is new to it
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         # the characters of a byte-level token stand for one byte each
         self.token_bytes = np.array([len(self.tokenizer.id_to_token(i)) for i in range(size)], np.int64)
         self.width = 2 if size <= 1 << 16 else 4
+        marks = sorted((t.content for t in self.tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
+        self.added = re.compile(b"|".join(re.escape(m.encode()) for m in marks)) if marks else None
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known = pa.array([], pa.large_string())
+        self.first = self.size = np.zeros(0, np.int64)
+        self.pool = np.zeros(0, np.uint32)
 
     def _ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        sizes = np.array([len(ids) for ids in found], np.int64)
-        return np.array([i for ids in found for i in ids], np.uint32), sizes
+        # few at a time: an encoding takes far more memory than its ids
+        found = [np.zeros(0, np.uint32)]
+        for start in range(0, len(texts), _AT_ONCE):
+            some = self.tokenizer.encode_batch_fast(texts[start:start + _AT_ONCE], add_special_tokens=False)
+            found += [np.array(e.ids, np.uint32) for e in some]
+        return np.concatenate(found), np.array([len(ids) for ids in found[1:]], np.int64)
 
     def _joined(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of pieces that begin with a space before printable ASCII, and their numbers."""
+        """Ids of pieces that each begin with a pre-token when joined, and the number of ids of each."""
         data, offsets = text_bytes(pieces)
         if not len(pieces):
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
         steps = np.searchsorted(offsets, np.arange(0, offsets[-1], _JOINED_BYTES))
-        edges = np.unique(np.append(offsets[steps], offsets[-1]))
-        edges = edges if edges[0] == 0 else np.append(0, edges)
+        edges = np.unique(np.concatenate([[0], offsets[steps], [offsets[-1]]]))
         raw = data.tobytes()
         ids, _ = self._ids([raw[a:b].decode() for a, b in zip(edges[:-1], edges[1:])])
         reached = np.cumsum(self.token_bytes[ids])
         last = np.searchsorted(reached, offsets[1:])
         if reached[-1] != offsets[-1] or (reached[last] != offsets[1:]).any():
-            raise ValueError("a token of this tokenizer crosses the space between two words")
+            raise ValueError("a token of this tokenizer crosses the border of two pre-tokens")
         return ids, np.diff(np.append(0, last + 1))
 
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts in one array, and the number of ids of each text."""
-        data, offsets = text_bytes(texts)
+    def _learn(self, pieces: pa.Array) -> None:
+        raw, at = text_bytes(pieces)
+        kind = _KIND[raw]
+        start, second = at[:-1], np.minimum(at[:-1] + 1, len(raw) - 1)
+        plain = (kind >= _LETTER) & (kind <= _SIGN)
+        spaced = (np.diff(at) > 1) & (kind[start] == _SPACE) & plain[second]
+        bare = plain[start]
+        groups = []
+        ids, sizes = self._joined(pieces.filter(pa.array(spaced)))
+        groups.append((spaced, ids, np.cumsum(sizes) - sizes, sizes))
+        # a line end before a word is a token of its own
+        ids, sizes = self._joined(pc.binary_join_element_wise(_EMPTY, pieces.filter(pa.array(bare)), _LINE))
+        groups.append((bare, ids, np.cumsum(sizes) - sizes + 1, sizes - 1))
+        rest = ~(spaced | bare)
+        ids, sizes = self._ids(pieces.filter(pa.array(rest)).to_pylist())
+        groups.append((rest, ids, np.cumsum(sizes) - sizes, sizes))
+        first, size = np.empty(len(pieces), np.int64), np.empty(len(pieces), np.int64)
+        for mine, ids, begin, sizes in groups:
+            first[mine], size[mine] = begin + len(self.pool), sizes
+            self.pool = np.concatenate([self.pool, ids])
+        self.known = pa.concat_arrays([self.known, pieces])
+        self.first, self.size = np.append(self.first, first), np.append(self.size, size)
+
+    def _slice(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not len(data):
-            return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
-        begin, end = offsets[:-1], offsets[1:]
+            return np.zeros(0, np.uint32), np.zeros(len(offsets) - 1, np.int64)
+        # an added token is a text of its own between the texts before and after it
+        added = [m.span() for m in self.added.finditer(data.tobytes())] if self.added else []
+        edges = np.unique(np.concatenate([offsets, np.array(added, np.int64).reshape(-1)]))
+        begin, end = edges[:-1], edges[1:]
         filled = end > begin
-        cut = np.zeros(len(data) + 1, bool)
-        space = np.flatnonzero(data[1:-1] == 32) + 1
-        cut[space[_printable(data[space - 1]) & _printable(data[space + 1])]] = True
-        cut[end[filled] - 1] = False
+        cut = np.append(_cuts(data), True)
+        # what a cut looked at may lie in another text: the ends of texts are judged alone
+        last = end[filled] - 1
+        single = last == begin[filled]
+        cut[last] = False
+        body = last[~single]
+        kind, before = _KIND[data[body]], _KIND[data[body - 1]]
+        plain = lambda k: (k >= _LETTER) & (k <= _SIGN)
+        cut[body] = plain(before) & (kind <= _WHITE) | (before == _WHITE) & plain(kind)
+        for a, b in added:
+            cut[a:b] = False
         cut[begin[filled]] = True
-        cut[len(data)] = True
         bounds = np.flatnonzero(cut)
         coded = strings(data, bounds).dictionary_encode()
-        codes, pieces = coded.indices.to_numpy(), coded.dictionary
-        raw, at = text_bytes(pieces)
-        second = np.minimum(at[:-1] + 1, len(raw) - 1)
-        joinable = (np.diff(at) > 1) & (raw[at[:-1]] == 32) & _printable(raw[second])
-        ids, sizes = self._joined(pieces.filter(pa.array(joinable)))
-        other_ids, other_sizes = self._ids(pieces.filter(pa.array(~joinable)).to_pylist())
-        pool = np.concatenate([ids, other_ids])
-        size = np.empty(len(pieces), np.int64)
-        size[joinable], size[~joinable] = sizes, other_sizes
-        first = np.empty(len(pieces), np.int64)
-        first[joinable] = np.cumsum(sizes) - sizes
-        first[~joinable] = len(ids) + np.cumsum(other_sizes) - other_sizes
-        taken = size[codes]
+        pieces = coded.dictionary.cast(pa.large_string())
+        place = pc.index_in(pieces, self.known)
+        if place.null_count:
+            self._learn(pieces.filter(place.is_null()))
+            place = pc.index_in(pieces, self.known)
+        which = place.to_numpy()[coded.indices.to_numpy()]
+        taken = self.size[which]
         upto = np.append(0, np.cumsum(taken))
-        flat = pool[np.repeat(first[codes] - upto[:-1], taken) + np.arange(upto[-1])]
-        counts = upto[np.searchsorted(bounds, end)] - upto[np.searchsorted(bounds, begin)]
-        return flat, counts
+        flat = self.pool[np.repeat(self.first[which] - upto[:-1], taken) + np.arange(upto[-1])]
+        return flat, np.diff(upto[np.searchsorted(bounds, offsets)])
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in one array, and the number of ids of each text."""
+        data, offsets = text_bytes(texts)
+        ids, counts = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for a, b in pieces(offsets, _SLICE_BYTES):
+            if len(self.known) > _KNOWN_PIECES:
+                self._forget()
+            flat, n = self._slice(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
+            ids.append(flat)
+            counts.append(n)
+        return np.concatenate(ids), np.concatenate(counts)

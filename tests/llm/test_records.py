@@ -27,8 +27,19 @@ def plain(text):
     return PLAIN.encode(text or "", add_special_tokens=False).ids
 
 
+MARKS = st.lists(st.sampled_from(["<|endoftext|>", " ", "\n", "a", ".", " b", "  ", "<", "|>"]), max_size=8).map("".join)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(MARKS, min_size=1, max_size=4))
+def test_added_tokens(texts):
+    ids, counts = PIECES.encode(pa.array(texts))
+    assert ids.tolist() == [i for t in texts for i in plain(t)]
+    assert counts.tolist() == [len(plain(t)) for t in texts]
+
+
 @settings(max_examples=150, deadline=None)
-@given(st.lists(st.text(alphabet=st.sampled_from(list("ab '\n\t1.,-é  日🙂s")), max_size=40), min_size=1, max_size=6))
+@given(st.lists(st.text(alphabet=st.sampled_from(list("aB '\n\t1.,-é×à  日🙂s\u00a0\x0b\x1c")), max_size=40), min_size=1, max_size=6))
 def test_pieces_give_the_ids_of_whole_texts(texts):
     ids, counts = PIECES.encode(pa.array(texts))
     assert ids.tolist() == [i for t in texts for i in plain(t)]
