@@ -49,28 +49,37 @@ def row_key(doc_id: Column, text: Column) -> Column:
     return F.coalesce(doc_id.cast("long"), F.lit(NO_ID) + F.shiftrightunsigned(F.xxhash64(F.coalesce(text, F.lit(""))), 2))
 
 
+def _scrambled(c: Column) -> Column:
+    """A one-to-one map of longs that breaks up the order of ids."""
+    for _ in range(3):
+        c = c.bitwiseXOR(F.shiftleft(c, 13))
+        c = c.bitwiseXOR(F.shiftrightunsigned(c, 7))
+        c = c.bitwiseXOR(F.shiftleft(c, 17))
+    return c
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of `edges(a long, b long)`: one row (node, component) for each
     node of an edge, component being the smallest node.
 
-    Each round sends every node to the smallest of itself and its neighbours and
-    contracts the edges, so that chains and stars shrink fast; hubs are combined
-    before the shuffle. Loops, repeated edges and nulls are harmless. The steps
-    are written to the shared folder, so a lost executor costs no earlier round.
+    Each round sends every node to the first of itself and its neighbours in a
+    scrambled order, twice, and contracts the edges; in that order stars need two rounds and
+    even a chain of ascending ids loses a good part of its nodes in each. Hubs are
+    combined before the shuffle. Loops, repeated edges and nulls are harmless. The
+    steps are written to the shared folder, so a lost executor costs no earlier round.
     """
+    real = edges.where("a is not null and b is not null and a != b")
+    named = real.select(F.col("a").alias("node")).union(real.select("b")).distinct()
     live = written(
-        edges.where("a is not null and b is not null and a != b")
-        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
-        "edges",
+        real.select(_scrambled(F.col("a")).alias("a"), _scrambled(F.col("b")).alias("b"))
+        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges",
     )
     maps = []
     while not live.isEmpty():
         both = live.unionByName(live.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        step = written(
-            both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low"))
-            .select("node", F.least("node", "low").alias("to")),
-            "hook",
-        )
+        hook = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low")).select("node", F.least("node", "low").alias("via"))
+        onward = hook.select(F.col("node").alias("via"), F.col("via").alias("to"))
+        step = written(hook.join(onward, "via").select("node", "to"), "hook")  # two steps at once
         maps.append(step)
         left = step.select(F.col("node").alias("a"), F.col("to").alias("ta"))
         right = step.select(F.col("node").alias("b"), F.col("to").alias("tb"))
@@ -79,15 +88,17 @@ def components(edges: DataFrame) -> DataFrame:
             moved.select(F.greatest("ta", "tb").alias("a"), F.least("ta", "tb").alias("b")).distinct(), "edges"
         )
     if not maps:
-        return live.select(F.col("a").alias("node"), F.col("b").alias("component"))
+        return named.select("node", F.col("node").alias("component"))
 
     def follow(done: DataFrame, step: DataFrame) -> DataFrame:
         # `to` of an earlier round is the node of the next one, or has no edge left
-        later = step.select(F.col("node").alias("component"), F.col("to").alias("next"))
-        return done.join(later, "component", "left").select("node", F.coalesce("next", "component").alias("component"))
+        later = step.select(F.col("node").alias("at"), F.col("to").alias("next"))
+        return done.join(later, "at", "left").select("key", F.coalesce("next", "at").alias("at"))
 
-    first = maps[0].select("node", F.col("to").alias("component"))
-    return reduce(follow, maps[1:], first)
+    first = maps[0].select(F.col("node").alias("key"), F.col("to").alias("at"))
+    placed = written(named.withColumn("key", _scrambled(F.col("node"))).join(reduce(follow, maps[1:], first), "key").select("node", "at"), "placed")
+    smallest = placed.groupBy("at").agg(F.min("node").alias("component"))
+    return placed.join(smallest, "at").select("node", "component")
 
 
 def linked_rows(linked: np.ndarray) -> np.ndarray:
