@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gridcast.contracts import BASELINES
 from gridcast.functions.coerce import finite
+from gridcast.operators.groups import join_small_groups
 from gridcast.operators.ranks import exact_quantile, values_at
 
 # fixed values: shares of the distinct timestamps, and where peaks begin
@@ -35,7 +36,7 @@ def time_splits(df: DataFrame, keys: list[str] = ("horizon_hours",)) -> DataFram
     )
     micros = f"unix_micros({_TS})"
     split = f"case when {micros} <= _train then 'train' when {micros} <= _validation then 'validation' else 'test' end"
-    return df.join(cuts, keys).selectExpr(*df.columns, f"{split} as evaluation_split")
+    return join_small_groups(df, cuts, keys).selectExpr(*df.columns, f"{split} as evaluation_split")
 
 
 def model_id(run_id: str) -> str:
@@ -79,7 +80,7 @@ def with_peak_flag(rows: DataFrame, thresholds: DataFrame, keys: list[str], grou
     effective = reached.join(own, group, "left").selectExpr(
         *group, "coalesce(_own, peak_threshold_mw) as peak_threshold_mw"
     )
-    return rows.join(effective, group).withColumn("is_peak_period", F.expr(f"{_ACTUAL} >= peak_threshold_mw"))
+    return join_small_groups(rows, effective, group).withColumn("is_peak_period", F.expr(f"{_ACTUAL} >= peak_threshold_mw"))
 
 
 def forecast_results(predictions: DataFrame, thresholds: DataFrame) -> DataFrame:
@@ -123,7 +124,7 @@ def forecast_metrics(
     )
     medians = exact_quantile(usable, "_size", 0.5, keys, "median_absolute_error")
     if threshold is None:
-        usable = usable.join(exact_quantile(usable, "_actual", PEAK_SHARE, keys, "_peak"), keys)
+        usable = join_small_groups(usable, exact_quantile(usable, "_actual", PEAK_SHARE, keys, "_peak"), keys)
     averages = usable.groupBy(*keys).agg(
         F.expr("avg(_size)").alias("mae"),
         F.expr("sqrt(avg(_error * _error))").alias("rmse"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gridcast.contracts import ACCURACY_METRICS, HOLIDAY_FLAGS
 from gridcast.functions.coerce import TRUE_WORDS, TRUE_WORDS_REPORTS, truthy
+from gridcast.operators.groups import join_small_groups
 from gridcast.plans.calendar import hourly_spine, time_bounds
 from gridcast.plans.governance import current_champions
 
@@ -131,7 +132,7 @@ def residual_histogram(results: DataFrame, bins: int = 40) -> DataFrame:
     ranges = results.groupBy(*_SLICE).agg(F.min("error_mw").alias("_low"), F.max("error_mw").alias("_high"))
     place = f"if(_high = _low, 0, least(cast(floor((error_mw - _low) / nullif(_high - _low, 0) * {bins}) as int), {bins - 1}))"
     return (
-        results.join(ranges, _SLICE).selectExpr(*_SLICE, f"{place} as bin")
+        join_small_groups(results, ranges, _SLICE).selectExpr(*_SLICE, f"{place} as bin")
         .groupBy(*_SLICE, "bin").agg(F.count(F.lit(1)).alias("row_count"))
     )
 
