@@ -98,10 +98,13 @@ def _merged(key: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndar
 
 
 class _Kept:
-    """Rows (short, full, key, low, high) of a task, without those whose full name it has seen at an earlier place."""
+    """Rows (short, full, key, low, more) of a task, without those whose full name it has seen at an earlier place.
 
-    def __init__(self):
-        self.parts, self.size = [], 0
+    With `alone` there is one name, which goes out as the short one.
+    """
+
+    def __init__(self, alone: bool):
+        self.alone, self.parts, self.size = alone, [], 0
 
     def add(self, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
         self.parts.append(columns)
@@ -117,25 +120,27 @@ class _Kept:
         order = np.lexsort((low, key, full))
         short, full, key, low, high = (c[order] for c in (short, full, key, low, high))
         fresh = np.append(True, full[1:] != full[:-1])
+        if self.alone:
+            full = np.zeros(len(full), np.uint64)
         again = _merged(key[~fresh], low[~fresh], high[~fresh])
         yield _batch(False, short[fresh], full[fresh], key[fresh], low[fresh], high[fresh])
         # repeated stretches only pass the shuffle: any name will do
         yield _batch(True, mix(again[1].astype(np.uint64)), np.zeros(len(again[0]), np.uint64), *again)
 
 
-_ROW = "again boolean, short long, full long, key long, low long, high long"
+_ROW = "again boolean, short long, full long, key long, low long, more long"  # more: windows after the first
 
 
 def _batch(again: bool, short, full, key, low, high) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([
         pa.array(np.full(len(key), again)), pa.array(short.astype(np.int64)), pa.array(full.astype(np.int64)),
-        pa.array(key.astype(np.int64)), pa.array(low.astype(np.int64)), pa.array(high.astype(np.int64)),
+        pa.array(key.astype(np.int64)), pa.array(low.astype(np.int64)), pa.array((high - low).astype(np.int64)),
     ], [f.split()[0] for f in _ROW.split(", ")])
 
 
 def _anchors(rows: DataFrame) -> DataFrame:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, kept = Hasher(lower=False), _Kept()
+        hasher, kept = Hasher(lower=False), _Kept(alone=False)
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
             keys = batch.column(0).to_numpy()
@@ -150,7 +155,7 @@ def _anchors(rows: DataFrame) -> DataFrame:
 def _windows(ranged: DataFrame) -> DataFrame:
     """The same rows for the single windows of `ranged(key, text, ranges)`; short and full are one name."""
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, kept = Hasher(lower=False), _Kept()
+        hasher, kept = Hasher(lower=False), _Kept(alone=True)
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
             keys, lists = batch.column(0).to_numpy(), batch.column(2)
@@ -180,7 +185,8 @@ def _ranked(rows: DataFrame) -> DataFrame:
     whole = same.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return rows.select(
         (F.col("again") | (F.lag("full").over(same) == F.col("full"))).alias("again"),
-        (F.first("full").over(whole) != F.last("full").over(whole)).alias("open"), "key", "low", "high",
+        (F.first("full").over(whole) != F.last("full").over(whole)).alias("open"), "key", "low",
+        (F.col("low") + F.col("more")).alias("high"),
     ).select(F.coalesce("again", F.lit(False)).alias("again"), "open", "key", "low", "high").where("again or open")
 
 
