@@ -19,6 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridcast.llm.common import arrow_batches
 from gridcast.llm.tokens import PieceEncoder, text_bytes
 
 GROUP = ["source", "lang", "version"]
@@ -59,7 +60,7 @@ def token_counts(docs: DataFrame, tokenizer: str) -> DataFrame:
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = PieceEncoder(tokenizer)
-        for batch in (whole.slice(i, BATCH_ROWS) for whole in batches for i in range(0, whole.num_rows, BATCH_ROWS)):
+        for batch in batches:
             texts = batch.column(2)
             n = batch.num_rows
             yield pa.RecordBatch.from_arrays([
@@ -133,5 +134,6 @@ def roll_up(docs: DataFrame, tokenizer: str, path: str) -> DataFrame:
     steps = [("load", lambda: signed(guess, 1)), ("exact", lambda: revised(guess, exact)), ("empty", lambda: signed(empty, -1)),
              ("load", lambda: signed(guess, 1))]  # the last is a replay, as after a lost answer
     for batch, changes in steps:
-        rollup.commit(batch, changes())
+        with arrow_batches(docs.sparkSession, BATCH_ROWS):
+            rollup.commit(batch, changes())
     return rollup.totals()

@@ -71,35 +71,36 @@ def has_letter(text: str | None) -> bool:
     return text is not None and any(c.isalpha() for c in text)
 
 
-def linear_svm(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Weights (bias last) of the hinge-loss SVM of rows x and signs y, by dual coordinate descent."""
-    x = np.hstack([x, np.ones((len(x), 1), x.dtype)]).astype(np.float64)
-    weights, alpha, square = np.zeros(x.shape[1]), np.zeros(len(x)), (x * x).sum(1)
+def linear_svm(x: np.ndarray, rows: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Weights (bias last) of the hinge-loss SVM of the given rows of x and their signs y, by dual
+    coordinate descent; x is not copied."""
+    weights, bias = np.zeros(x.shape[1], np.float32), 0.0
+    alpha, square = np.zeros(len(rows)), np.einsum("ij,ij->i", x, x)[rows] + 1.0
     order = np.random.default_rng(5)
     for _ in range(ROUNDS):
         most = 0.0
-        for i in order.permutation(len(x)):
-            gradient = y[i] * (x[i] @ weights) - 1
+        for i in order.permutation(len(rows)):
+            row = x[rows[i]]
+            gradient = y[i] * (float(row @ weights) + bias) - 1
             new = min(max(alpha[i] - gradient / square[i], 0.0), COST)
             if new != alpha[i]:
-                weights += (new - alpha[i]) * y[i] * x[i]
+                step = (new - alpha[i]) * y[i]
+                weights += np.float32(step) * row
+                bias += step
                 most = max(most, abs(new - alpha[i]))
                 alpha[i] = new
         if most < 1e-3:
             break
-    return weights.astype(np.float32)
+    return np.append(weights, np.float32(bias))
 
 
 class Voters:
-    """One machine for each pair of classes; `classes` maps a sorted name to its rows."""
+    """The machines of all pairs of some classes."""
 
-    def __init__(self, rows: dict[str, np.ndarray]):
-        self.names = sorted(rows)
-        self.machines = {}
-        for a, b in combinations(range(len(self.names)), 2):
-            left, right = rows[self.names[a]], rows[self.names[b]]
-            signs = np.concatenate([np.ones(len(left)), -np.ones(len(right))])
-            self.machines[a, b] = linear_svm(np.concatenate([left, right]), signs)
+    def __init__(self, names: list[str], machines: dict[tuple[str, str], np.ndarray]):
+        self.names = sorted(names)
+        at = {name: i for i, name in enumerate(self.names)}
+        self.machines = {(at[a], at[b]): w for (a, b), w in machines.items()}
 
     def vote(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Number of the winner of each row, by wins and then by margins, and its confidence from 0 to 1."""
@@ -115,14 +116,26 @@ class Voters:
         return best, 1 / (1 + np.exp(-2 * np.minimum(tightest[np.arange(len(x)), best], 30)))
 
 
+def pairs(langs: list[str]) -> list[tuple[str | None, str, str]]:
+    """The pairs of classes that have a machine: (None, family, family) and (family, language, language)."""
+    members = by_family(langs)
+    found = [(None, a, b) for a, b in combinations(sorted(members), 2)]
+    return found + [(name, a, b) for name, own in sorted(members.items()) for a, b in combinations(sorted(own), 2)]
+
+
+def by_family(langs: list[str]) -> dict[str, list[str]]:
+    members: dict[str, list[str]] = {}
+    for lang in sorted(set(langs)):
+        members.setdefault(family(lang), []).append(lang)
+    return members
+
+
 class LanguageModel:
-    def __init__(self, langs: list[str], x: np.ndarray):
-        rows = {lang: x[[i for i, l in enumerate(langs) if l == lang]] for lang in sorted(set(langs))}
-        members: dict[str, list[str]] = {}
-        for lang in rows:
-            members.setdefault(family(lang), []).append(lang)
-        self.families = Voters({name: np.concatenate([rows[lang] for lang in own]) for name, own in members.items()})
-        self.within = {name: Voters({lang: rows[lang] for lang in own}) for name, own in members.items()}
+    def __init__(self, langs: list[str], machines: dict[tuple[str | None, str, str], np.ndarray]):
+        members = by_family(langs)
+        of = lambda level: {(a, b): w for (name, a, b), w in machines.items() if name == level}
+        self.families = Voters(list(members), of(None))
+        self.within = {name: Voters(own, of(name)) for name, own in members.items()}
 
     def predict(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
         """Language and score of each text; UNKNOWN and 0 without a letter or without any learned language."""
@@ -145,28 +158,44 @@ def train(docs: DataFrame, lang: str = "lang", per_language: int = PER_LANGUAGE,
     """Fit on rows of `docs(doc_id, text, lang)` that have a language and a text.
 
     At most about `per_language` rows of each language are taken, those of the
-    smallest hash of doc_id and text; that sample is what comes to the driver, as
-    profiles of a fixed size. The number of languages is taken to be small.
+    smallest hash of doc_id and text. That sample meets in one task, as profiles of a
+    fixed size, and only the machines come to the driver. The number of languages is
+    taken to be small.
     """
     share = 1 << 30
     rows = docs.where(F.col(lang).isNotNull() & F.col("text").isNotNull()).select(F.col(lang).alias("lang"), "doc_id", "text")
     counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     if not counts:
-        return LanguageModel([], np.zeros((0, BUCKETS), np.float32))
+        return LanguageModel([], {})
     limit = F.create_map(*[
         c for name, n in sorted(counts.items()) for c in (F.lit(name), F.lit(min(share, int(share * per_language / n) + 1)))
     ])
     drawn = rows.where(F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(share)) < F.element_at(limit, F.col("lang")))
+    wanted = pairs(list(counts))
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             vectors = [v.astype("<f2").tobytes() for v in profiles(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(vectors, pa.binary())], ["lang", "profile"])
 
-    got = drawn.select("lang", "text").mapInArrow(sample, "lang string, profile binary").toArrow()
-    order = sorted(zip(got.column("lang").to_pylist(), got.column("profile").to_pylist()))
-    x = np.stack([np.frombuffer(v, "<f2") for _, v in order]).astype(np.float32) if order else np.zeros((0, BUCKETS), np.float32)
-    return LanguageModel([name for name, _ in order], x)
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = sorted((lang, v) for batch in batches for lang, v in zip(*(batch.column(i).to_pylist() for i in range(2))))
+        names, x = np.array([lang for lang, _ in known]), np.empty((len(known), BUCKETS), np.float32)
+        for i, (_, vector) in enumerate(known):
+            x[i] = np.frombuffer(vector, "<f2")
+        del known
+        families = np.array([family(lang) for lang in names])
+        for level, a, b in wanted:
+            classes = families if level is None else names
+            left, right = np.flatnonzero(classes == a), np.flatnonzero(classes == b)
+            signs = np.concatenate([np.ones(len(left)), -np.ones(len(right))])
+            w = linear_svm(x, np.concatenate([left, right]), signs)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([level], pa.string()), pa.array([a]), pa.array([b]), pa.array([w.tobytes()], pa.binary())], ["level", "a", "b", "w"])
+
+    gathered = drawn.select("lang", "text").mapInArrow(sample, "lang string, profile binary").repartition(1)
+    fitted = gathered.mapInArrow(fit, "level string, a string, b string, w binary").collect() if wanted else []
+    return LanguageModel(list(counts), {(r["level"], r["a"], r["b"]): np.frombuffer(r["w"], np.float32) for r in fitted})
 
 
 def identify(

@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from gridcast.llm.common import arrow_batches
 from gridcast.llm.tokens import PieceEncoder
 
 END_ID = 2
@@ -86,14 +87,16 @@ def write_records(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_
 
     def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = PieceEncoder(tokenizer)
-        for batch in (whole.slice(i, BATCH_ROWS) for whole in batches for i in range(0, whole.num_rows, BATCH_ROWS)):
+        for batch in batches:
             ids, counts = encoder.encode(batch.column(1))
             ends = np.cumsum(counts)
             made = [frame(doc_id, np.append(ids[b - n:b], np.uint32(end_id)), encoder.width)
                     for doc_id, n, b in zip(batch.column(0).to_pylist(), counts.tolist(), ends.tolist())]
             yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], ["value"])
 
-    ordered.mapInArrow(frames, "value binary").select(F.col("value").cast("string")).write.option("lineSep", "\n").text(f"{path}/shards")
+    framed = ordered.mapInArrow(frames, "value binary").select(F.col("value").cast("string"))
+    with arrow_batches(spark, BATCH_ROWS):
+        framed.write.option("lineSep", "\n").text(f"{path}/shards")
     walk_shards(spark, path).write.parquet(f"{path}/index")
 
 

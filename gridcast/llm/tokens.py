@@ -23,8 +23,8 @@ from gridcast.llm.rolling import pieces
 
 _JOINED_BYTES = 1 << 15
 _AT_ONCE = 8
-_SLICE_BYTES = 1 << 20
-_KNOWN_PIECES = 1 << 18
+_SLICE_BYTES = 1 << 19
+_KNOWN_PIECES = 1 << 17
 _SPACE, _WHITE, _LETTER, _DIGIT, _SIGN, _OTHER = range(6)
 _KIND = np.full(256, _OTHER, np.uint8)
 _KIND[33:127] = _SIGN
