@@ -3,10 +3,14 @@
 A mask says which words of a window count; the others may be anything, so a
 substituted word spoils only the masks that look at it. Seeds of the test items
 are looked up for every window of every document; a hit gives a document, an item
-and the shift between them. Along that shift the words are compared one by one,
-and the best stretch in which at most a fifth of the words differ is kept. A
-document is contaminated by an item if that stretch has at least LEAST_WORDS
-words, or all the words of a shorter item.
+and the shift between them. Along that shift the words are compared one by one. A
+document is contaminated by an item if some stretch in which at most a fifth of the
+words differ has at least LEAST_WORDS words, or all the words of a shorter item.
+
+No such stretch is missed. One of 26 words or more has a half of at least 13 words in
+which at most a fifth differ, so there is one of 13 to 25 words; MASKS have a window
+without a differing word in each of those, wherever the differing words are. Shorter
+items have masks for each place of their differing words.
 
 The items are taken in blocks of a bounded number of words. The seeds of a block
 go to every task; the documents are read once per block and never shuffled.
@@ -16,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +31,8 @@ from gridcast.llm.common import written
 from gridcast.llm.rolling import ALNUM, Hasher, mix, numbers, pieces, words
 from gridcast.llm.tokens import text_bytes
 
-# fixed values: masks of weight 7; the last one catches short exact runs
-MASKS = ("11011000111", "1110010100011", "101100110011", "1111111")
+# fixed values: masks of weight 6 that together find every stretch of 13 to 25 words
+MASKS = ("1101111", "11010001011", "1110001000101")
 LEAST_WORDS = 13
 SHORTEST = 5  # items of fewer words can't be told from chance and are left out
 PENALTY = 4  # a differing word costs as much as four equal ones: one in five at most
@@ -46,12 +51,32 @@ def seeds(hashes: np.ndarray, mask: str, number: int) -> np.ndarray:
     return mix(total)
 
 
-def best_stretch(same: np.ndarray) -> tuple[int, int]:
-    """Begin and end of the run with the largest sum of 1 for equal and -PENALTY for differing words."""
-    upto = np.append(0, np.cumsum(np.where(same, 1, -PENALTY)))
-    lowest = np.minimum.accumulate(upto)
-    end = int(np.argmax(upto - lowest))
-    begin = int(np.flatnonzero(upto[:end + 1] == lowest[end])[-1])
+def short_masks(n: int) -> list[str]:
+    """Masks for an item of n < LEAST_WORDS words: one of them leaves out any n // 5 differing words."""
+    parts = np.array_split(np.arange(n), n if n < 10 else 4)
+    out = []
+    for left_out in combinations(range(len(parts)), n // (PENALTY + 1)):
+        free = {i for k in left_out for i in parts[k].tolist()}
+        out.append("".join("0" if i in free else "1" for i in range(n)))
+    return out
+
+
+def best_stretch(same: np.ndarray, least: int) -> tuple[int, int] | None:
+    """Begin and end of the run of at least `least` words with the most equal words, then the first, in
+    which the sum of 1 for equal and -PENALTY for differing words is not negative; None if there is none."""
+    equal = np.append(0, np.cumsum(same))
+    place = np.arange(len(equal))
+    upto = equal - PENALTY * (place - equal)
+    # the earliest begin for each end: the first sum that is not above the one there
+    begins = np.searchsorted(-np.minimum.accumulate(upto), -upto)
+    ends = place[place - begins >= least]
+    if not len(ends):
+        return None
+    begins = begins[ends]
+    k = np.lexsort((ends, begins, equal[begins] - equal[ends]))[0]
+    begin, end = int(begins[k]), int(ends[k])
+    while end - begin > least and not same[begin]:
+        begin += 1
     return begin, end
 
 
@@ -66,13 +91,14 @@ class Seeds:
             if len(hashes) >= SHORTEST:
                 self.items.append(item_id)
                 self.words.append(hashes)
-        lengths = sorted({len(w) for w in self.words if len(w) < max(map(len, MASKS))})
-        # an item that a mask does not fit has its whole length as a mask
-        self.masks = [*MASKS, *("1" * n for n in lengths if n < len(MASKS[-1]))]
+        lengths = sorted({len(w) for w in self.words if len(w) < LEAST_WORDS})
+        # a shorter item counts as a whole only, so its masks have its length
+        self.masks = [*MASKS, *(m for n in lengths for m in short_masks(n))]
         self.tables = []
         for number, mask in enumerate(self.masks):
             short = number >= len(MASKS)
-            found = [(seeds(w, mask, number), i) for i, w in enumerate(self.words) if not short or len(w) == len(mask)]
+            found = [(seeds(w, mask, number), i) for i, w in enumerate(self.words)
+                     if (len(w) == len(mask) if short else len(w) >= LEAST_WORDS)]
             keys = np.concatenate([s for s, _ in found]) if found else np.zeros(0, np.uint64)
             item = np.concatenate([np.full(len(s), i) for s, i in found]) if found else np.zeros(0, int)
             place = np.concatenate([np.arange(len(s)) for s, _ in found]) if found else np.zeros(0, int)
@@ -104,8 +130,8 @@ class Seeds:
             item, own = self.words[i], hashes[upto[d]:upto[d + 1]]
             first, last = max(0, -shift), min(len(item), len(own) - shift)
             same = item[first:last] == own[first + shift:last + shift]
-            begin, end = best_stretch(same)
-            if end - begin >= min(LEAST_WORDS, len(item)):
+            if stretch := best_stretch(same, min(LEAST_WORDS, len(item))):
+                begin, end = stretch
                 row = (int(same[begin:end].sum()), end - begin, first + begin + shift, first + begin)
                 best[d, i] = max(best.get((d, i), row), row, key=lambda r: (r[0], -r[2]))
         return best

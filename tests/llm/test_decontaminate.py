@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import random
+from itertools import combinations
 
+import numpy as np
 import pytest
 
 from gridcast.llm import decontaminate
-from gridcast.llm.decontaminate import find_overlaps
+from gridcast.llm.decontaminate import Seeds, find_overlaps
 
 draw = random.Random(3)
 WORDS = ["".join(draw.choice("abcdefghijkl") for _ in range(5)) for _ in range(5000)]
@@ -56,3 +58,39 @@ def test_repeated_rows(spark):
     docs = spark.createDataFrame([(None, around(ITEMS[1]))] * 2, "doc_id long, text string")
     items = spark.createDataFrame([(1, " ".join(ITEMS[1]))], "item_id long, text string")
     assert [(r["doc_id"], r["item_id"]) for r in find_overlaps(docs, items).collect()] == [(None, 1)] * 2
+
+
+def test_substitutions_at_every_place():
+    """Items of 5 to 25 words with every choice of a fifth of their words changed (400 choices drawn of
+    more), found as the rule says: also one word too many for the whole, where a part may still do."""
+    for n in range(5, 26):
+        item = prose(n)
+        block = Seeds([(1, " ".join(item).encode())])
+        for k in (n // 5, n // 5 + 1):
+            choices = list(combinations(range(n), k))
+            for places in choices if len(choices) <= 400 else draw.sample(choices, 400):
+                same = np.array([i not in places for i in range(n)])
+                need = min(13, n)
+                want = max((int(same[a:b].sum()) for a in range(n) for b in range(a + need, n + 1) if 5 * (~same[a:b]).sum() <= b - a), default=None)
+                text = " ".join(["yyy"] * 3 + [w if s else "zzz" for w, s in zip(item, same)] + ["yyy"] * 3).encode()
+                hashes, upto = decontaminate.words(
+                    np.frombuffer(text, np.uint8), np.array([0, len(text)]), decontaminate.ALNUM, decontaminate.Hasher(lower=True))
+                got = block.overlaps(hashes, upto)
+                assert (got[0, 0][0] if got else None) == want, (n, places)
+
+
+def test_long_stretches_hold_a_window_of_a_mask():
+    """Every stretch of 13 to 25 words of which a fifth differ holds a mask, so none is missed."""
+    for n, k in ((13, 2), (15, 3), (20, 4), (25, 5)):  # the lengths between them hold one of these
+        same = np.ones((len(places := list(combinations(range(n), k))), n), bool)
+        np.put_along_axis(same, np.array(places), False, 1)
+        seen = np.zeros(len(same), bool)
+        for mask in decontaminate.MASKS:
+            used = [i for i, c in enumerate(mask) if c == "1"]
+            for at in range(n - len(mask) + 1):
+                seen |= same[:, [at + i for i in used]].all(1)
+        # what no mask finds at once must hold a shorter stretch that counts, which is found
+        for row in same[~seen]:
+            assert any(5 * (~row[a:b]).sum() <= b - a and any(
+                row[[at + i for i, c in enumerate(m) if c == "1"]].all() for m in decontaminate.MASKS for at in range(a, b - len(m) + 1))
+                for a in range(n) for b in range(a + 13, n + 1))
