@@ -4,10 +4,10 @@ Equal vectors are one node. Every node has a home cell, the one of the nearest
 centre, and visits the cells whose border with its own is close: two vectors of
 cosine >= t lie at most 2 sin(arccos(t) / 2) apart, so along the line between two
 centres one of them is at most half of that from the border. Visiting all cells
-within that margin loses no link. Directions in d dimensions spread the distance
-over d axes, so the margin can be cut to `spread` standard deviations of a random
-direction; the default keeps all but about one link in ten thousand, and
-spread=None keeps the margin whole.
+within that margin loses no link; that is the default. Where the differences of
+linked vectors are known to spread over all d axes alike, `spread` cuts the margin to
+that many standard deviations of a random direction; on vectors of fewer directions
+such a cut loses links.
 
 Cells are compared in blocks of a bounded number of rows. A block gives, for each
 of its rows, the number of its links and one edge to a representative of its
@@ -31,7 +31,7 @@ SAMPLE = 8192  # distinct vectors that the centres are fitted on, about
 MOST_CELLS = 1024
 ROUNDS = 8
 BLOCK = 1024
-SPREAD = 4.0
+SENT = 1 << 21  # numbers in a batch of visits, about
 
 
 def matrix(column: pa.Array) -> np.ndarray:
@@ -137,11 +137,14 @@ def link_rows(nodes: DataFrame, cells: Cells, least: float = COSINE) -> DataFram
             for start in range(0, batch.num_rows, 2048):
                 part = batch.slice(start, 2048)
                 home, visits = known.near(unit(matrix(part.column(2))))
-                row, cell = np.nonzero(visits)
-                yield pa.RecordBatch.from_arrays([
-                    part.column(0).take(pa.array(row)), part.column(1).take(pa.array(row)), part.column(2).take(pa.array(row)),
-                    pa.array(cell.astype(np.int32)), pa.array(cell == home[row]),
-                ], ["node", "copies", "v", "cell", "home"])
+                rows, cells_of = np.nonzero(visits)
+                step = max(1, SENT // known.centres.shape[1])
+                for a in range(0, len(rows), step):
+                    row, cell = rows[a:a + step], cells_of[a:a + step]
+                    yield pa.RecordBatch.from_arrays([
+                        part.column(0).take(pa.array(row)), part.column(1).take(pa.array(row)), part.column(2).take(pa.array(row)),
+                        pa.array(cell.astype(np.int32)), pa.array(cell == home[row]),
+                    ], ["node", "copies", "v", "cell", "home"])
 
     placed = nodes.select("node", "copies", "v").mapInArrow(
         place, "node long, copies long, v array<double>, cell int, home boolean")
@@ -179,7 +182,7 @@ def link_rows(nodes: DataFrame, cells: Cells, least: float = COSINE) -> DataFram
     return tasks.groupBy("cell", "block", "other").applyInArrow(compare, "node long, n long, other long")
 
 
-def near_vectors(vectors: DataFrame, least: float = COSINE, spread: float | None = SPREAD) -> DataFrame:
+def near_vectors(vectors: DataFrame, least: float = COSINE, spread: float | None = None) -> DataFrame:
     """One row per row of `vectors(vec_id, embedding)`: vec_id, n_links, component_id, kept.
 
     n_links counts the other rows linked directly (cosine >= `least` in double

@@ -57,6 +57,20 @@ def test_all_pairs(spark, monkeypatch, seed, d, block):
     assert all(got[i][0] <= want[i][0] for i in want)
 
 
+def test_few_directions(spark):
+    """768 columns whose variance lies in 8 directions, pairs planted close to the least cosine."""
+    draw = np.random.default_rng(7)
+    axes = np.linalg.qr(draw.normal(size=(768, 8)))[0].T
+    bases = draw.normal(size=(400, 8))
+    other = draw.normal(size=bases.shape)
+    unit = lambda x: x / np.linalg.norm(x, axis=1)[:, None]
+    bases, other = unit(bases), unit(other - (other * unit(bases)).sum(1)[:, None] * unit(bases))
+    close = draw.uniform(0.9, 0.93, (400, 1))
+    x = np.concatenate([bases, close * bases + np.sqrt(1 - close ** 2) * other]) @ axes
+    rows = [(i, [float(np.float32(e)) for e in v]) for i, v in enumerate(x)]
+    assert got_of(near_vectors(vectors_of(spark, rows))) == brute(rows)
+
+
 def test_table(spark):
     vectors = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     rows = [(r["vec_id"], r["embedding"]) for r in vectors.collect()]
