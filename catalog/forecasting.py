@@ -16,7 +16,6 @@ HORIZONS = [1, 24]
 DAILY_RULES = BacktestRules(min_train_days=90, min_test_days=7, min_train_rows=60, min_test_rows=20, max_windows=6)
 DAILY_ROLLING = BacktestRules(mode="rolling", rolling_train_days=180, min_train_days=90, min_test_days=7,
                               min_train_rows=60, min_test_rows=20, max_windows=None)
-SMALL_TREES = trees.TreeSettings(rounds=3, depth=3)
 
 
 def evaluated_at():
@@ -318,17 +317,17 @@ query("backtest_baselines", BACKTESTS, "backtest_rows")(baseline_backtests)
 
 @query("gbt_forecast", "horizon_hours:int evaluation_split:text target_timestamp_utc:ts target_load_mw:num model_id:text model_name:text predicted_load_mw:num")
 def gbt_forecast(spark, folder):
-    predictions, _ = trees.tree_forecasts(split_frame(spark, folder), RUN, SMALL_TREES)
+    predictions, _ = trees.tree_forecasts(split_frame(spark, folder), RUN)
     return predictions
 
 
 @query("gbt_importance", "horizon_hours:int model_id:text model_name:text feature_name:text importance:num created_at:ts")
 def gbt_importance(spark, folder):
-    _, fitted = trees.tree_forecasts(split_frame(spark, folder), RUN, SMALL_TREES)
+    _, fitted = trees.tree_forecasts(split_frame(spark, folder), RUN)
     return trees.importance_table(spark, fitted, RUN, evaluated_at())
 
 
 @query("gbt_backtest", BACKTESTS)
 def gbt_backtest(spark, folder):
-    two = BacktestRules(min_train_rows=60, min_test_rows=20, max_windows=2)
-    return trees.backtest_trees(frame(spark, folder), two, RUN, evaluated_at(), SMALL_TREES)
+    rules = BacktestRules(min_train_rows=60, min_test_rows=20)
+    return trees.backtest_trees(frame(spark, folder), rules, RUN, evaluated_at())

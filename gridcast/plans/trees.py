@@ -2,20 +2,27 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridcast.contracts import FEATURES, BacktestRules
 from gridcast.plans.backtests import _in_window, backtest_windows, evaluate_windows
 from gridcast.plans.forecasting import model_id
+from gridcast.plans.governance import registry_rows
 from gridcast.session import settle
 
 MODEL_NAME = "gbt_regressor"
+MODEL_TYPE = "gbt"
+FITS = 4  # fits that run side by side
 
 
 @dataclass(frozen=True)
@@ -34,6 +41,16 @@ class TreeSettings:
         return {"maxIter": self.rounds, "maxDepth": self.depth, "stepSize": self.step,
                 "subsamplingRate": self.row_share, "featureSubsetStrategy": str(self.column_share), "seed": self.seed}
 
+    @staticmethod
+    def registered(feature_names: str, parameters: str) -> TreeSettings:
+        """Settings from the JSON texts of a registry row; what they leave out has its default."""
+        names = {"maxIter": "rounds", "maxDepth": "depth", "stepSize": "step", "subsamplingRate": "row_share",
+                 "featureSubsetStrategy": "column_share", "seed": "seed"}
+        kinds = {"rounds": int, "depth": int, "seed": int}
+        given = {names[k]: v for k, v in json.loads(parameters or "{}").items() if k in names and v is not None}
+        features = json.loads(feature_names or "[]") or list(FEATURES)
+        return TreeSettings(**{k: kinds.get(k, float)(v) for k, v in given.items()}, features=features)
+
 
 @dataclass(frozen=True)
 class FittedTrees:
@@ -57,6 +74,20 @@ class FittedTrees:
             sums[name] = sums.get(name, 0.0) + float(value)
         return list(sums.items())
 
+    def save(self, path: str) -> None:
+        """Write the model and its medians under `path`, in a folder that driver and executors share."""
+        self.model.write().save(f"{path}/model")
+        spark = SparkSession.active()
+        spark.createDataFrame(list(self.medians.items()), "feature string, median double").coalesce(1).write.parquet(f"{path}/medians")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> FittedTrees:
+        model = PipelineModel.load(f"{path}/model")
+        columns = model.stages[0].getInputCols()
+        found = dict(map(tuple, spark.read.parquet(f"{path}/medians").collect()))  # one row per feature
+        medians = {c.removeprefix("_known_"): found[c.removeprefix("_known_")] for c in columns if c.startswith("_known_")}
+        return FittedTrees(model, medians, columns)
+
 
 def _prepared(rows: DataFrame, medians: dict[str, float]) -> DataFrame:
     """Features as doubles: unknown values take the training median and set a flag."""
@@ -85,13 +116,20 @@ def horizons_of(df: DataFrame) -> list[int]:
     return sorted(row[0] for row in df.select("horizon_hours").distinct().collect())
 
 
+def _side_by_side(fit: Callable, jobs: list) -> list:
+    """Results of `fit` for each job, FITS at a time: the jobs of one fit leave most cores idle."""
+    with ThreadPoolExecutor(FITS) as pool:
+        return list(pool.map(inheritable_thread_target(SparkSession.active())(fit), jobs))
+
+
 def tree_forecasts(split: DataFrame, run_id: str, settings: TreeSettings = TreeSettings()) -> tuple[DataFrame, dict[int, FittedTrees]]:
     """Validation and test predictions of one model per horizon, and the models."""
     split = settle(split)
-    fitted, predictions = {}, None
-    for horizon in horizons_of(split):
+    horizons, predictions = horizons_of(split), None
+    train = split.where("evaluation_split = 'train'")
+    fitted = dict(zip(horizons, _side_by_side(lambda h: fit_trees(train.where(F.col("horizon_hours") == h), settings), horizons)))
+    for horizon in horizons:
         rows = split.where(F.col("horizon_hours") == horizon)
-        fitted[horizon] = fit_trees(rows.where("evaluation_split = 'train'"), settings)
         one = fitted[horizon].predict(rows.where("evaluation_split in ('validation', 'test')"))
         predictions = one if predictions is None else predictions.unionByName(one)
     named = predictions.withColumn("model_name", F.lit(MODEL_NAME)).withColumn("model_id", F.expr(model_id(run_id)))
@@ -104,26 +142,55 @@ def importance_table(spark, fitted: dict[int, FittedTrees], run_id: str, created
     return table.withColumn("model_id", F.expr(model_id(run_id))).withColumn("created_at", created_at)
 
 
+def register_trees(
+    split: DataFrame, fitted: dict[int, FittedTrees], run_id: str, trained_at: Column, folder: str,
+    settings: TreeSettings = TreeSettings(),
+) -> DataFrame:
+    """Save the models under `folder`, which driver and executors share, and return their registry rows."""
+    paths = {h: f"{folder}/{run_id}/{MODEL_NAME}-{h}" for h in fitted}
+    for horizon, model in fitted.items():
+        model.save(paths[horizon])
+    spec = {"type": MODEL_TYPE, "features": settings.features, "parameters": settings.parameters()}
+    rows = registry_rows(split, {MODEL_NAME: spec}, run_id, trained_at)
+    saved = F.create_map(*[F.lit(x) for pair in paths.items() for x in pair])
+    return rows.withColumn("artifact_path", saved[F.col("horizon_hours")])
+
+
 def backtest_trees(
-    frame: DataFrame, rules: BacktestRules, run_id: str, evaluated_at: Column, settings: TreeSettings = TreeSettings()
+    frame: DataFrame, rules: BacktestRules, run_id: str, evaluated_at: Column, settings: TreeSettings = TreeSettings(),
+    registry: DataFrame | None = None,
 ) -> DataFrame:
-    """Refit and score the trees on every window. The loop is over windows, a bounded
-    handful set by `max_windows`; each fit and prediction is distributed."""
+    """Refit and score the trees on every window: those of `registry` on the windows of their horizon, each
+    with its own features and parameters, or without a registry one model of `settings` per horizon. The
+    loop is over models and windows, a bounded handful set by `max_windows`; each fit and prediction is distributed."""
     frame = settle(frame)
     windows = settle(backtest_windows(frame, rules))
     predictions = None
-    for window in windows.select("horizon_hours", "window_id").orderBy("horizon_hours", "window_id").collect():
+    spans = windows.select("horizon_hours", "window_id").orderBy("horizon_hours", "window_id").collect()
+    if registry is None:
+        named = windows.select("horizon_hours").distinct().withColumn("model_name", F.lit(MODEL_NAME))
+        models = [(*r, settings) for r in named.select("horizon_hours", F.expr(model_id(run_id)), "model_name").collect()]
+    else:
+        rows = registry.where(F.col("model_type") == MODEL_TYPE).select(
+            "horizon_hours", "model_id", "model_name", "feature_names", "parameters").distinct().collect()
+        models = sorted(((*r[:3], TreeSettings.registered(*r[3:])) for r in rows), key=lambda m: m[:3])
+    jobs = [(w, m) for w in spans for m in models if m[0] == w.horizon_hours]
+
+    def score(job) -> DataFrame:
+        window, (_, key, name, own) = job
         one = windows.where((F.col("window_id") == window.window_id) & (F.col("horizon_hours") == window.horizon_hours))
-        model = fit_trees(_in_window(frame, one, "train"), settings)
-        scored = model.predict(_in_window(frame, one, "test")).select(
-            "horizon_hours", "window_id", "target_load_mw", "predicted_load_mw"
+        model = fit_trees(_in_window(frame, one, "train"), own)
+        return model.predict(_in_window(frame, one, "test")).select(
+            "horizon_hours", "window_id", "target_load_mw", "predicted_load_mw",
+            F.lit(name).alias("model_name"), F.lit(key).alias("model_id"),
         )
+
+    for scored in _side_by_side(score, jobs):
         predictions = scored if predictions is None else predictions.unionByName(scored)
     if predictions is None:
         predictions = _in_window(frame, windows, "test").selectExpr(
-            "horizon_hours", "window_id", "target_load_mw", "cast(null as double) as predicted_load_mw"
-        )
-    named = predictions.selectExpr(
-        "*", f"'{MODEL_NAME}' as model_name", "'gbt' as model_type"
-    ).withColumn("model_id", F.expr(model_id(run_id)))
+            "horizon_hours", "window_id", "target_load_mw", "cast(null as double) as predicted_load_mw",
+            f"'{MODEL_NAME}' as model_name"
+        ).withColumn("model_id", F.expr(model_id(run_id)))
+    named = predictions.withColumn("model_type", F.lit(MODEL_TYPE))
     return evaluate_windows(frame, named, windows, run_id, evaluated_at)

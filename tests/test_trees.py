@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from catalog import forecasting as catalog
 from gridcast.contracts import BacktestRules
 from gridcast.plans import trees
 from gridcast.plans.forecasting import time_splits
@@ -40,3 +41,42 @@ def test_default_size():
     assert trees.TreeSettings().parameters() == {
         "maxIter": 300, "maxDepth": 4, "stepSize": 0.05, "subsamplingRate": 0.9, "featureSubsetStrategy": "0.9", "seed": 42}
     assert len(trees.TreeSettings().features) == 47
+
+
+def test_queries_fit_the_stated_size(monkeypatch):
+    called = []
+
+    def record(frame, *args, **named):
+        called.append((args, named))
+        return None, {}
+
+    for name in ("split_frame", "frame"):
+        monkeypatch.setattr(catalog, name, lambda *_: None)
+    for name in ("tree_forecasts", "backtest_trees"):
+        monkeypatch.setattr(trees, name, record)
+    monkeypatch.setattr(trees, "importance_table", lambda *_: None)
+    monkeypatch.setattr(catalog, "evaluated_at", lambda: None)
+    for build in (catalog.gbt_forecast, catalog.gbt_importance, catalog.gbt_backtest):
+        build(None, None)
+    settings = [x for args, named in called for x in (*args, *named.values()) if isinstance(x, trees.TreeSettings)]
+    assert len(called) == 3 and all(s == trees.TreeSettings() for s in settings)
+    assert [x.max_windows for x in called[2][0] if isinstance(x, BacktestRules)] == [6]
+
+
+def test_saved_and_refitted_from_the_registry(spark, tmp_path):
+    long = frame(spark, 24 * 120)
+    split = time_splits(long)
+    predictions, fitted = trees.tree_forecasts(split, "run", SETTINGS)
+    registry = trees.register_trees(split, fitted, "run", F.lit(None).cast("timestamp"), str(tmp_path), SETTINGS)
+    row = registry.first()
+    assert row.model_type == "gbt" and trees.TreeSettings.registered(row.feature_names, row.parameters) == SETTINGS
+    again = trees.FittedTrees.load(spark, row.artifact_path)
+    rows = split.where("evaluation_split = 'test'")
+    key = lambda df: sorted((r.target_timestamp_utc, r.predicted_load_mw) for r in df.collect())
+    assert key(again.predict(rows)) == key(predictions.where("evaluation_split = 'test'"))
+    older = registry.withColumn("model_id", F.lit("older")).withColumn("model_name", F.lit("small_trees")).withColumn(
+        "parameters", F.lit('{"maxIter": 2, "maxDepth": 1}')).withColumn("feature_names", F.lit('["hour"]'))
+    rules = BacktestRules(min_train_days=30, max_windows=2)
+    got = trees.backtest_trees(long, rules, "next", F.lit(None).cast("timestamp"), registry=registry.unionByName(older)).collect()
+    assert {(r.model_id, r.model_name) for r in got} == {(row.model_id, trees.MODEL_NAME), ("older", "small_trees")}
+    assert len(got) == 4 and len({(r.model_name, r.mae) for r in got}) == 4
