@@ -2,7 +2,8 @@
 
 Every source has a word budget. Whole passes over a source come first; what is
 left of the budget takes documents in the order of the exponential key
--ln(u) / w, where u is a hash of the document's id and w its quality weight:
+-ln(u) / w, where u is a hash of the document's id (and of its text, where the id is
+null or stands for several texts) and w its quality weight:
 the documents of the smallest keys are a weighted sample without replacement.
 
 Prefix sums are cut in two levels. The keys of a source fall into `bins` bins by
@@ -66,22 +67,27 @@ def mix(docs: DataFrame, quality: DataFrame | None = None, also: tuple[str, ...]
 
     quality: rows (doc_id, quality); repeated ids count by their mean, ids that
     are null or unknown weigh UNKNOWN. A null or empty text has size 0 and takes
-    nothing. Rows of equal key (the same id twice) follow one another in any
-    order, which gives the same rows. Other columns of `docs` are ignored. An
+    nothing. Rows without an id, and rows of one id with different texts, have a key
+    of their text; rows of equal key follow one another by a hash of the text, so only
+    rows of equal texts are in any order, which gives the same rows. Other columns of `docs` are ignored. An
     empty table gives no rows. The whole-document epochs end at the document
     whose middle passes the budget, so each source is within one document of it.
     """
-    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), *also)
+    tie = F.xxhash64(F.coalesce("text", F.lit("")))
+    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), tie.alias("_tie"), *also)
+    several = sized.where("doc_id is not null").groupBy("doc_id").agg(F.min("_tie").alias("_a"), F.max("_tie").alias("_b"))
+    sized = sized.join(several.where("_a != _b").select("doc_id", F.lit(True).alias("_several")), "doc_id", "left")
     if quality is None:
         weight = F.lit(UNKNOWN)
     else:
         known = quality.where("doc_id is not null").groupBy("doc_id").agg(F.avg("quality").alias("_q"))
         sized = sized.join(known, "doc_id", "left")
         weight = F.coalesce(F.lit(POOR) + F.lit(GOOD - POOR) * F.col("_q"), F.lit(UNKNOWN))
-    digits = F.md5(F.concat(F.lit(SEED), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
+    by_text = F.when(F.col("doc_id").isNull() | F.col("_several"), F.concat(F.lit(":"), F.col("_tie").cast("string"))).otherwise("")
+    digits = F.md5(F.concat(F.lit(SEED), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), by_text).cast("binary"))
     uniform = (F.conv(F.substring(digits, 1, 13), 16, 10).cast("double") + 1) / F.lit(float(2**52 + 1))
     rows = written(
-        sized.select("doc_id", "source", "size", *also, (-F.log(uniform) / weight).alias("key"))
+        sized.select("doc_id", "source", "size", "_tie", *also, (-F.log(uniform) / weight).alias("key"))
         .withColumn("bin", F.floor(F.lit(BINS) * (1 - F.exp(-F.col("key"))))),
         "mix-sizes",
     )
@@ -93,7 +99,7 @@ def mix(docs: DataFrame, quality: DataFrame | None = None, also: tuple[str, ...]
         "part", "bin",
         (F.sum("bin_size").over(Window.partitionBy("part").orderBy("bin")) - F.col("bin_size")).alias("start"),
     )
-    inside = Window.partitionBy("part", "bin").orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("part", "bin").orderBy("key", "doc_id", "_tie").rowsBetween(Window.unboundedPreceding, 0)
     placed = (
         rows.withColumn("within", F.sum("size").over(inside))
         .join(starts, ["part", "bin"]).join(targets, "part")

@@ -81,3 +81,14 @@ def test_odd_rows(spark):
     assert mix(docs_of(spark, [])).count() == 0
     only_empty = mix(docs_of(spark, [(1, None, "s", ""), (2, "", None, "")])).collect()
     assert [(r["target"], r["taken"]) for r in only_empty] == [(0.0, 0), (0.0, 0)]
+
+
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_rows_of_one_id_spread_and_rerun_alike(spark, doc_id):
+    rows = [(doc_id, f"w{i} " * (1 + i % 30), "a", "x") for i in range(300)] + [(1000 + i, "v " * 5, "b", "x") for i in range(300)]
+    docs = docs_of(spark, rows).selectExpr("*", "text as note")
+    chosen = [sorted((r["note"], r["epochs"]) for r in mix(d, also=("note",)).where("source = 'a'").collect())
+              for d in (docs, docs.repartition(7, "note"), docs.orderBy("note", ascending=False))]
+    assert chosen[0] == chosen[1] == chosen[2]
+    # part of the source is taken once more
+    assert {e for _, e in chosen[0]} == {1, 2}
