@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridcast.llm import counts, decontaminate, embeddings, language, licenses, lm, minhash, mixing, records, substrings
+from gridcast.llm import counts, decontaminate, embeddings, fim, language, licenses, lm, minhash, mixing, records, substrings
 from gridcast.llm.common import scratch, table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,6 +82,11 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, folder, "documents"))
 
 
+@_query("op11_fill_in_middle", fim.oracle())
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return fim.digests(table(spark, folder, "documents"))
+
+
 @_query("pipeline")
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
