@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridcast.llm import counts, decontaminate, embeddings, fim, language, licenses, lm, minhash, mixing, negatives, records, substrings
+from gridcast.llm import counts, decontaminate, embeddings, fim, language, licenses, lm, minhash, mixing, negatives, pii, records, substrings
 from gridcast.llm.common import scratch, table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,6 +92,11 @@ def op12(spark: SparkSession, folder: str) -> DataFrame:
     return negatives.hard_negatives(table(spark, folder, "embeddings"))
 
 
+@_query("op13_personal_data")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.digests(table(spark, folder, "documents"))
+
+
 @_query("pipeline")
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
