@@ -1,4 +1,4 @@
-"""Queries over horizon frames, splits, baselines, forecast errors, backtest windows and trees."""
+"""Queries over horizon frames, splits, baselines, forecast errors and backtest windows."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from catalog.base import query
 from catalog.parts import part
 from gridcast.contracts import BASELINES, BacktestRules
-from gridcast.plans import backtests, forecasting, governance, horizon, reports, trees
+from gridcast.plans import backtests, forecasting, governance, horizon, reports
 from gridcast.session import settle
 from gridcast.sources import stand_ins as raw
 
@@ -311,23 +311,3 @@ def baseline_backtests(spark, folder):
 
 
 query("backtest_baselines", BACKTESTS, "backtest_rows")(baseline_backtests)
-
-
-# --- trees: not expressible in SQL --------------------------------------------------
-
-@query("gbt_forecast", "horizon_hours:int evaluation_split:text target_timestamp_utc:ts target_load_mw:num model_id:text model_name:text predicted_load_mw:num")
-def gbt_forecast(spark, folder):
-    predictions, _ = trees.tree_forecasts(split_frame(spark, folder), RUN)
-    return predictions
-
-
-@query("gbt_importance", "horizon_hours:int model_id:text model_name:text feature_name:text importance:num created_at:ts")
-def gbt_importance(spark, folder):
-    _, fitted = trees.tree_forecasts(split_frame(spark, folder), RUN)
-    return trees.importance_table(spark, fitted, RUN, evaluated_at())
-
-
-@query("gbt_backtest", BACKTESTS)
-def gbt_backtest(spark, folder):
-    rules = BacktestRules(min_train_rows=60, min_test_rows=20)
-    return trees.backtest_trees(frame(spark, folder), rules, RUN, evaluated_at())

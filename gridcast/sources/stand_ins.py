@@ -91,6 +91,37 @@ def daily_series(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def long_feeds(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """Raw tables of more than six years: order totals by day as load and price, line items as snapshots that
+    are issued one to four days before the day of shipping. Amounts are whole cents."""
+    daily = daily_series(spark, folder)
+    days = lambda n: f"make_dt_interval(cast({n} as int))"
+    target = "date_trunc('day', cast(l_shipdate as timestamp))"
+    tail = ["'lineitem' as source", f"{target} as ingested_at", "l_orderkey * 10 + l_linenumber as event_id"]
+    lines = table(spark, folder, "lineitem")
+    times = lambda issue, wanted, ahead: [f"{target} - {days(ahead)} as {issue}", f"{target} as {wanted}"]
+    amount = "cast(l_quantity as decimal(12,2))"
+    own = ["'orders' as source", "timestamp_utc as ingested_at"]
+    return {
+        "load": daily.selectExpr("timestamp_utc as interval_start_utc", "load_mw as alberta_internal_load_mw", *own),
+        "price": daily.selectExpr("timestamp_utc as interval_start_utc", "pool_price_cad_mwh", *own),
+        "weather": lines.selectExpr(
+            *times("forecast_issue_utc", "forecast_target_utc", "1 + l_orderkey % 3"),
+            _pick("l_suppkey", "Calgary", " edmonton ", "NORTH", "south", "") + " as region",
+            f"{amount} - 20 as temperature_c", f"{amount} % 15 as wind_speed_mps",
+            f"case when l_orderkey % 11 <> 0 then {amount} * 2 end as relative_humidity_pct", f"{amount} * 0.1 as precipitation_mm", *tail),
+        "generation": lines.selectExpr(
+            *times("availability_issue_utc", "availability_target_utc", "1 + l_orderkey % 4"),
+            _pick("l_suppkey", "Gas", "natural_gas", "natural gas", "coal", "hydro", "wind", "solar", "storage", "nuclear") + " as fuel_type",
+            _pick("l_linenumber", "", "u1", "u2", "u3") + " as unit_id", f"{amount} * 10 as available_capacity_mw",
+            f"{amount} as derated_capacity_mw", f"{amount} * 0.5 as outage_capacity_mw", *tail),
+        "intertie": lines.selectExpr(
+            *times("schedule_issue_utc", "schedule_target_utc", "1 + l_orderkey % 2"), _pick("l_suppkey", "BC", "sk", "MT") + " as intertie_id",
+            f"{amount} as scheduled_import_mw", f"{amount} * 0.5 as scheduled_export_mw", "500 as transfer_limit_import_mw",
+            "400 as transfer_limit_export_mw", f"case when l_orderkey % 7 <> 0 then {amount} * 0.25 end as constraint_mw", *tail),
+    }
+
+
 def model_registry(spark: SparkSession, folder: str) -> DataFrame:
     """Customers as registered models; flags, times and JSON come as untidy text."""
     key = F.col("c_custkey")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,13 +39,31 @@ def replace_table(df: DataFrame, table: str) -> None:
     df.write.mode("overwrite").saveAsTable(table)
 
 
+@contextmanager
+def _own_partitions(spark: SparkSession) -> Iterator[None]:
+    """While it lasts, an overwrite replaces the partitions that it writes and no others."""
+    name = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def append_run(df: DataFrame, table: str) -> bool:
-    """Append one run's rows, partitioned by run; False when there were none.
+    """Store one run's rows, partitioned by run; False when there were none.
 
+    Rows of other runs stay. A run that is stored again, as after a lost answer, replaces its own rows.
     The rows are counted while they are written, so the plan runs once.
     """
-    seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("append").partitionBy("run_id").saveAsTable(table)
+    seen, spark = Observation(), df.sparkSession
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    if spark.catalog.tableExists(table):
+        with _own_partitions(spark):
+            counted.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+    else:
+        counted.write.partitionBy("run_id").saveAsTable(table)
     return seen.get["rows"] > 0
 
 
