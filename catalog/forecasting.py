@@ -10,6 +10,7 @@ from gridcast.contracts import BASELINES, BacktestRules
 from gridcast.plans import backtests, forecasting, governance, horizon, reports
 from gridcast.session import settle
 from gridcast.sources import stand_ins as raw
+from gridcast.sources import tables
 
 RUN = "run-1"
 HORIZONS = [1, 24]
@@ -91,6 +92,24 @@ def time_lags(spark, folder):
     return horizon.time_lags(staged, "timestamp_utc", {"lag_24h": ("load_mw", 24), "lag_168h": ("load_mw", 168)})
 
 
+part("first_view", """
+select date_trunc('hour', ts) as h, arg_min(cast(value as decimal(12,2)), event_id) as load_mw, arg_min(user_id, event_id) as user_id
+from events where event_type = 'view' group by 1""")
+
+
+@query("horizon_first_kept", "horizon_hours:int target_timestamp_utc:ts target_load_mw:num actual_pool_price_cad_mwh:num load_lag_24h:num price_lag_24h:num load_lag_168h:num load_rolling_24h_avg:num", """
+select 24 as horizon_hours, t.h as target_timestamp_utc, t.load_mw as target_load_mw, t.user_id as actual_pool_price_cad_mwh, a.load_mw as load_lag_24h,
+  a.user_id as price_lag_24h, b.load_mw as load_lag_168h, a.mean as load_rolling_24h_avg
+from first_view t
+left join (select *, cast(sum(load_mw) over w as double) / count(load_mw) over w as mean from first_view window w as (order by h rows between 23 preceding and current row)) a on a.h = t.h - interval 24 hour
+left join first_view b on b.h = t.h - interval 168 hour""")
+def horizon_first_kept(spark, folder):
+    """The horizon frame of events that repeat their hour: the first of each hour in the file is kept (ids follow the file)."""
+    events = tables.in_file_order(spark, f"{folder}/events.parquet").where("event_type = 'view'").selectExpr(
+        "cast(date_trunc('hour', ts) as timestamp) as timestamp_utc", "cast(value as decimal(12,2)) as load_mw", "user_id as pool_price_cad_mwh", *tables.FILE_ORDER)
+    return horizon.horizon_frame(events, 24, order=tables.FILE_ORDER)
+
+
 @query("time_splits", "horizon_hours:int target_timestamp_utc:ts target_load_mw:num evaluation_split:text", "hsplit")
 def time_splits(spark, folder):
     return split_frame(spark, folder)

@@ -312,3 +312,22 @@ def raw_quality(spark, folder):
 @query("missing_hours", "missing_hour_count:int", "select count(*) as missing_hour_count from ev_spine s where s.timestamp_utc not in (select interval_start_utc from raw_load)")
 def missing_hours(spark, folder):
     return reports.missing_hours(raw.raw_load(spark, folder))
+
+
+@query("asof_hot_key", "event_id:int place:text at_utc:ts known_event:int known_at:ts known_value:num", """
+select * from (with moved as (
+  select event_id, value, event_type, case when event_id % 3 = 0 then 'hot' else 'k' || (user_id % 50) end as place,
+    case when event_id % 3 = 0 then timestamp '2024-01-10 07:00:00' + to_seconds(cast(event_id % 3600 as int)) else ts end as at_utc from events),
+  known as (select * from moved where event_type in ('click', 'purchase') qualify row_number() over (partition by place, at_utc order by event_id desc) = 1)
+select q.event_id, q.place, q.at_utc, f.event_id as known_event, f.at_utc as known_at, f.value as known_value
+from (select * from moved where event_type not in ('click', 'purchase')) q asof left join known f on f.place = q.place and f.at_utc <= q.at_utc)""")
+def asof_hot_key(spark, folder):
+    """As-of over events of which a third share one key and one hour; cuts are chosen from the rows."""
+    moved = raw.table(spark, folder, "events").selectExpr(
+        "event_id", "value", "event_type", "if(event_id % 3 = 0, 'hot', concat('k', user_id % 50)) as place",
+        "if(event_id % 3 = 0, timestamp'2024-01-10 07:00:00' + make_dt_interval(0, 0, 0, cast(event_id % 3600 as int)), cast(ts as timestamp)) as at_utc")
+    offered = moved.where("event_type in ('click', 'purchase')")
+    known = dedup_latest(offered, ["place", "at_utc"], "event_id").selectExpr("place", "at_utc as known_at", "event_id", "value")
+    asked = moved.where("event_type not in ('click', 'purchase')").select("event_id", "place", "at_utc")
+    joined = asof_latest(asked, [Feed("known", known, "known_at")], ["place"], F.col("at_utc"), hot_rows=500)
+    return joined.selectExpr("event_id", "place", "at_utc", "known.event_id as known_event", "known.known_at", "known.value as known_value")

@@ -9,6 +9,10 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridcast.operators.groups import FEW_GROUPS, join_small_groups
+from gridcast.operators.ranks import running_counts
+from gridcast.session import settle
+
 
 @dataclass(frozen=True)
 class Feed:
@@ -25,6 +29,7 @@ def asof_latest(
     on: list[str],
     left_at: Column,
     span: str | None = None,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Add one struct column per feed holding its latest row with `at <= left_at`.
 
@@ -33,7 +38,15 @@ def asof_latest(
     the rows. With `span` (a date_trunc unit) each key is further cut into time
     spans and the newest row of every span is handed to the next one that has
     rows, so a hot key is spread over as many tasks as it has spans.
+
+    With `hot_rows` the cuts are chosen from the rows: a key with more rows than that, of all
+    sides, is cut into spans of about `hot_rows` by the counts of its times, and a span
+    that stays larger because many left rows share one time is dealt over several tasks. The
+    sides are then read twice; settle them when they are costly to produce. Left rows with a null
+    key or time find nothing and stay out of the pass.
     """
+    if hot_rows is not None:
+        return _asof_hot(left, feeds, on, left_at, hot_rows)
     fields = {"_left": [c for c in left.columns if c not in on]}
     types = {"_left": _struct_type(left, fields["_left"])}
     for feed in feeds:
@@ -72,6 +85,58 @@ def asof_latest(
     )
 
 
+def _asof_hot(left: DataFrame, feeds: list[Feed], on: list[str], left_at: Column, hot_rows: int) -> DataFrame:
+    at = "_asof_at"
+    placed = left.withColumn(at, left_at.cast("timestamp"))
+    usable = " and ".join(f"{c} is not null" for c in [*on, at])
+    known, lost = placed.where(usable), placed.where(f"not ({usable})")
+    sides = {feed.name: feed.df.withColumn(at, F.col(feed.at).cast("timestamp")).where(usable) for feed in feeds}
+    times = reduce(DataFrame.unionByName, [df.select(*on, F.unix_micros(at).alias("_micros")) for df in (known, *sides.values())])
+    hot = times.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).drop("_n")
+    counts = running_counts(join_small_groups(times, hot, on), "_micros", on)
+    cut = counts.groupBy(*on, F.floor((F.col("rows_upto") - F.col("rows")) / hot_rows).alias("_part")).agg(
+        F.min("_micros").alias("from"), F.ceil(F.sum("rows") / hot_rows).cast("int").alias("deals"))
+    # one row per hot key: as many cuts as it has times `hot_rows`
+    cuts = settle(cut.groupBy(*on).agg(F.array_sort(F.collect_list(F.struct("from", "deals"))).alias("_cuts")))
+    few = cuts.count() <= FEW_GROUPS
+
+    def spanned(df: DataFrame) -> DataFrame:
+        """Rows with the number of cuts at or before their time, by halving, and the number of tasks of that span."""
+        middle = "cast((s.low + s.high) / 2 as int)"
+        halve = (f"if(s.low >= s.high, s, if(get(_cuts, {middle}).from <= unix_micros({at}),"
+                 f" named_struct('low', {middle} + 1, 'high', s.high), named_struct('low', s.low, 'high', {middle})))")
+        search = f"aggregate(sequence(0, cast(ceil(log2(size(_cuts) + 1)) as int)), named_struct('low', 0, 'high', size(_cuts)), (s, i) -> {halve}).low"
+        joined = df.join(F.broadcast(cuts) if few else cuts, on, "left")
+        return joined.withColumn("_span", F.expr(f"if(_cuts is null, 0, {search})")).withColumn(
+            "_deals", F.expr("coalesce(get(_cuts, _span - 1).deals, 1)")).drop("_cuts")
+
+    own_columns = {name: [c for c in df.columns if c not in on and c != at] for name, df in {"_left": known, **sides}.items()}
+    types = {name: _struct_type(df, own_columns[name]) for name, df in {"_left": known, **sides}.items()}
+
+    def stacked(df: DataFrame, name: str, side: int) -> DataFrame:
+        parts = [f"struct({', '.join(f'`{c}`' for c in own_columns[name])}) as {name}" if name == own else f"cast(null as {types[own]}) as {own}" for own in types]
+        return df.selectExpr(*on, f"{at} as _at", f"{side} as _side", "_span", "_deals", *parts)
+
+    asked = stacked(spanned(known), "_left", len(feeds))
+    offered = reduce(DataFrame.unionByName, [stacked(spanned(df), name, i) for i, (name, df) in enumerate(sides.items())])
+    spread = asked.groupBy(*on, "_span", "_deals").agg(F.min("_at").alias("_at")).where("_span > 0")
+    carried = _carried_over(offered.drop("_deals").unionByName(spread.selectExpr(
+        *on, "_at", "-1 as _side", "_span", *[f"cast(null as {kind}) as {name}" for name, kind in types.items()])), on, feeds)
+    starts = carried.join(spread.select(*on, "_span", "_deals"), [*on, "_span"], "left").withColumn("_deals", F.coalesce("_deals", F.lit(1)))
+    # what is known is given to each task of a span; a row that asks goes to one, by its content, so that a retry deals alike
+    everywhere = offered.unionByName(starts.withColumn("_at", F.lit("0001-01-01").cast("timestamp"))).withColumn(
+        "_deal", F.explode(F.sequence(F.lit(0), F.col("_deals") - 1)))
+    dealt = asked.withColumn("_deal", F.pmod(F.xxhash64("_left"), F.col("_deals")).cast("int"))
+    so_far = Window.partitionBy(*on, "_span", "_deal").orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = (
+        everywhere.unionByName(dealt)
+        .select(*on, "_left", *[F.last(f.name, ignorenulls=True).over(so_far).alias(f.name) for f in feeds])
+        .where("_left is not null")
+        .selectExpr(*[c if c in on else f"_left.`{c}` as `{c}`" for c in left.columns], *[f.name for f in feeds])
+    )
+    return found.unionByName(lost.selectExpr(*[f"`{c}`" for c in left.columns], *[f"cast(null as {types[f.name]}) as {f.name}" for f in feeds]))
+
+
 def _struct_type(df: DataFrame, columns: list[str]) -> str:
     types = dict(df.dtypes)
     return f"struct<{', '.join(f'`{c}`: {types[c]}' for c in columns)}>"

@@ -1,4 +1,4 @@
-"""Keep the newest copy of each key."""
+"""Keep one copy of each key: the newest, or the first."""
 
 from __future__ import annotations
 
@@ -14,3 +14,9 @@ def dedup_latest(df: DataFrame, keys: list[str], order_by: str, tiebreak: list[s
     """
     newest = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in [order_by, *tiebreak]])
     return df.withColumn("_copy", F.row_number().over(newest)).where("_copy = 1").drop("_copy")
+
+
+def dedup_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """One row per `keys`: the first by `order`, nulls last. One row per key and input partition is shuffled."""
+    first = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in order])
+    return df.withColumn("_copy", F.row_number().over(first)).where("_copy = 1").drop("_copy")

@@ -1,10 +1,12 @@
 """Exact ranks and quantiles of values, spread over many tasks.
 
 Equal values are counted first (map-side), so a value shared by a third of all
-rows is one row afterwards. The distinct values are then cut into spans by
-their leading digits, more of them where many values are close together, and
-ranked span by span; only per-span totals meet in one
-place. The span is a pure function of the value, so a recomputed stage always
+rows is one row afterwards. Values hang in a tree of spans: coarse spans of
+LEADING_DIGITS digits, inside each of them at most 10,000 fine spans of FINE_DIGITS
+digits, and in those the values. Prefix sums are taken level by level: of the
+coarse spans of a key, of the fine spans inside a coarse one, of the values inside a
+fine one, so that no task adds up more than one such level however many rows there
+are. The spans are a pure function of the value, so a recomputed stage always
 cuts at the same points.
 """
 
@@ -13,11 +15,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridcast.operators.groups import join_small_groups
 from gridcast.operators.series import row_index
 
 LEADING_DIGITS = 4
 FINE_DIGITS = 8
-HEAVY_ROWS = 20_000
 
 
 def value_span(value: str, leading_digits: int = LEADING_DIGITS) -> Column:
@@ -37,44 +39,28 @@ def value_span(value: str, leading_digits: int = LEADING_DIGITS) -> Column:
     return F.when(size > 0, F.coalesce(signed, F.lit(0))).otherwise(F.lit(0)).cast("bigint")
 
 
-def _spanned(rows: DataFrame, value: str, keys: list[str]) -> DataFrame:
-    """Rows with the span of their value: of LEADING_DIGITS digits, or of FINE_DIGITS where such a span
-    holds more than HEAVY_ROWS rows of its key.
-
-    There is one heavy span per HEAVY_ROWS rows at most.
-    """
-    coarse = rows.withColumn("_coarse", value_span(value))
-    heavy = (
-        coarse.groupBy(*keys, "_coarse").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > HEAVY_ROWS)
-        .select(*keys, "_coarse", F.lit(True).alias("_heavy"))
-    )
-    fine = F.when(F.col("_heavy"), value_span(value, FINE_DIGITS)).otherwise(F.col("_coarse"))
-    return coarse.join(heavy, [*keys, "_coarse"], "left").withColumn("_span", F.coalesce(fine, F.lit(0).cast("bigint"))).drop("_coarse", "_heavy")
-
-
 def _known(df: DataFrame, value: str, keys: list[str]) -> DataFrame:
-    """Rows with no null key or value, and the span of their value."""
-    known = df.where(" and ".join(f"{c} is not null" for c in [*keys, value]))
-    return _spanned(known.select(*keys, value), value, keys)
+    """Key and value columns of the rows with no null among them."""
+    return df.where(" and ".join(f"{c} is not null" for c in [*keys, value])).select(*keys, value)
 
 
-def _span_offsets(spanned: DataFrame, keys: list[str], rows: str) -> DataFrame:
-    """Per `keys` and span: `_rows`, `_before` (rows in lower spans) and `rows_total`.
+def _offsets(counts: DataFrame, group: list[str], span: str, rows: str, prefix: str) -> DataFrame:
+    """Per `group` and span: `_rows`, the rows of lower spans of the group as `prefix`, and `_all` of its rows.
 
-    A key has a few thousand spans per decimal magnitude at most, so the windows
-    over them are small whatever the number of rows.
+    A group is a key, which has a few thousand coarse spans per decimal magnitude, or a coarse
+    span, which has at most 10,000 fine ones: the windows are small whatever the number of rows.
     """
-    per_key = f"partition by {', '.join(keys)}" if keys else ""
-    return spanned.groupBy(*keys, "_span").agg(F.expr(f"{rows} as _rows")).selectExpr(
-        *keys, "_span", "_rows",
-        f"coalesce(sum(_rows) over ({per_key} order by _span rows between unbounded preceding and 1 preceding), 0) as _before",
-        f"sum(_rows) over ({per_key}) as rows_total",
+    per_group = f"partition by {', '.join(group)}" if group else ""
+    return counts.groupBy(*group, span).agg(F.expr(f"{rows} as _rows")).selectExpr(
+        *group, span, "_rows",
+        f"coalesce(sum(_rows) over ({per_group} order by {span} rows between unbounded preceding and 1 preceding), 0) as {prefix}",
+        f"sum(_rows) over ({per_group}) as _all",
     )
 
 
-def _ranked(counts: DataFrame, value: str, keys: list[str]) -> Column:
-    upto = Window.partitionBy(*keys, "_span").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    return F.col("_before") + F.sum("rows").over(upto)
+def _upto(value: str, spans: list[str]) -> Column:
+    """The rows of the values up to this one inside its fine span."""
+    return F.sum("rows").over(Window.partitionBy(*spans).orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
 
 
 def running_counts(df: DataFrame, value: str, keys: list[str] = ()) -> DataFrame:
@@ -83,32 +69,35 @@ def running_counts(df: DataFrame, value: str, keys: list[str] = ()) -> DataFrame
     Rows with a null key or value are left out.
     """
     keys = list(keys)
-    known = df.where(" and ".join(f"{c} is not null" for c in [*keys, value]))
-    counts = _spanned(known.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("rows")), value, keys)
-    offsets = _span_offsets(counts, keys, "sum(rows)").drop("_rows")
-    return counts.join(offsets, [*keys, "_span"]).select(
-        *keys, value, "rows", _ranked(counts, value, keys).alias("rows_upto"), "rows_total"
-    )
+    counts = _known(df, value, keys).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("rows")).withColumns(
+        {"_coarse": value_span(value), "_fine": value_span(value, FINE_DIGITS)})
+    spans = [*keys, "_coarse", "_fine"]
+    coarse = _offsets(counts, keys, "_coarse", "sum(rows)", "_below").withColumnRenamed("_all", "rows_total").drop("_rows")
+    fine = _offsets(counts, spans[:-1], "_fine", "sum(rows)", "_before").drop("_rows", "_all")
+    offsets = fine.join(coarse, spans[:-1]).selectExpr(*spans, "_below + _before as _before", "rows_total")
+    return counts.join(offsets, spans).select(
+        *keys, value, "rows", (F.col("_before") + _upto(value, spans)).alias("rows_upto"), "rows_total")
 
 
 def values_at(df: DataFrame, value: str, positions: dict[str, str], keys: list[str] = ()) -> DataFrame:
     """Per `keys` the values at 0-based positions in ascending order, and `rows_total`.
 
-    `positions` maps a column name to SQL over `rows_total`. Two passes: the
-    first counts rows per span (combined before the shuffle) and finds the spans
-    that hold the wanted positions; the second ranks only the values of those
-    spans. `df` is read twice, so settle it when it is costly to produce. The
-    join side has at most one row per key and position.
+    `positions` maps a column name to SQL over `rows_total`. The first pass counts rows per
+    coarse span (combined before the shuffle) and finds those that hold a wanted position, at most one
+    per key and position; the second counts the values of these alone, and goes on into the fine spans. `df`
+    is read twice, so settle it when it is costly to produce; its rows are not shuffled.
     """
     keys = list(keys)
-    spanned = _known(df, value, keys)
-    wanted = " or ".join(f"(_before <= {at} and {at} < _before + _rows)" for at in positions.values())
-    spans = _span_offsets(spanned, keys, "count(*)").where(wanted).drop("_rows")
-    inside = spanned.join(spans, [*keys, "_span"]).groupBy(*keys, "_span", "_before", "rows_total", value).agg(
-        F.count(F.lit(1)).alias("rows")
-    )
+    known = _known(df, value, keys).withColumn("_coarse", value_span(value))
+    wanted = lambda before: " or ".join(f"({before} <= {at} and {at} < {before} + _rows)" for at in positions.values())
+    coarse = _offsets(known, keys, "_coarse", "count(*)", "_below").withColumnRenamed("_all", "rows_total").where(wanted("_below")).drop("_rows")
+    kept = [*keys, "_coarse", "_below", "rows_total"]
+    counts = join_small_groups(known, coarse, [*keys, "_coarse"]).groupBy(*kept, value).agg(
+        F.count(F.lit(1)).alias("rows")).withColumn("_fine", value_span(value, FINE_DIGITS))
+    fine = _offsets(counts, kept, "_fine", "sum(rows)", "_before").where(wanted("(_below + _before)")).drop("_rows", "_all")
+    inside = counts.join(fine, [*kept, "_fine"]).withColumn("_upto", F.col("_below") + F.col("_before") + _upto(value, [*kept, "_fine"]))
     found = "max(case when _upto > {at} and _upto - rows <= {at} then {value} end) as {name}"
-    return inside.withColumn("_upto", _ranked(inside, value, keys)).groupBy(*keys).agg(
+    return inside.groupBy(*keys).agg(
         F.expr("max(rows_total) as rows_total"),
         *[F.expr(found.format(at=at, value=value, name=name)) for name, at in positions.items()],
     )

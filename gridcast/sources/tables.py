@@ -25,6 +25,14 @@ def read_optional_table(
     return df.orderBy(*present) if present else df
 
 
+FILE_ORDER = ["file_path", "row_index"]
+
+
+def in_file_order(spark: SparkSession, *paths: str) -> DataFrame:
+    """Parquet files with the place of each row, by which "the first" of equal rows is defined."""
+    return spark.read.parquet(*paths).selectExpr("*", *[f"_metadata.{name} as {name}" for name in FILE_ORDER])
+
+
 def overwrite_table(df: DataFrame, table: str) -> None:
     """Replace the rows and keep the table's schema; creates the table when absent."""
     if df.sparkSession.catalog.tableExists(table):

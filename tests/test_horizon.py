@@ -1,9 +1,12 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from gridcast.contracts import FEATURES, OPTIONAL_FEATURES
-from gridcast.plans.horizon import horizon_frame
+from gridcast.plans.horizon import horizon_frame, time_lags
+from gridcast.sources import tables
+from tests.conftest import same
 
 
 def ramp(spark, hours=240):
@@ -57,3 +60,15 @@ def test_bad_arguments(spark):
         horizon_frame(ramp(spark), 0)
     with pytest.raises(ValueError, match="load_mw"):
         horizon_frame(ramp(spark).drop("load_mw"), 1)
+
+
+def test_the_first_row_of_an_hour_is_kept(spark, tmp_path):
+    """Rows repeat their hours with other loads; the place in the file decides, not the value."""
+    first = ramp(spark).withColumn("copy", F.lit(0))
+    later = ramp(spark).selectExpr("timestamp_utc", "load_mw + if(load_mw % 2 = 0, 1000, -1000) as load_mw", "pool_price_cad_mwh", "1 as copy")
+    first.unionByName(later).orderBy("copy", "timestamp_utc").coalesce(1).write.parquet(str(tmp_path / "hours"))
+    hours = tables.in_file_order(spark, str(tmp_path / "hours")).drop("copy")
+    both = horizon_frame(hours, [1, 24], order=tables.FILE_ORDER)
+    same(both, horizon_frame(ramp(spark), [1, 24]))
+    lags = time_lags(hours.drop("pool_price_cad_mwh"), "timestamp_utc", {"lag": ("load_mw", 5)}, order=tables.FILE_ORDER)
+    assert {r.load_mw - r.lag for r in lags.where("lag is not null").collect()} == {5} and lags.count() == 240

@@ -100,6 +100,20 @@ def test_asof_takes_several_feeds_at_once_and_ignores_null_keys(spark):
     assert rows(got, "k", "t", "a.v", "b.v") == [(1, 10, "a10", None), (1, 20, "a11", "b19"), (2, 5, None, None), (None, 9, None, None)]
 
 
+@pytest.mark.parametrize("hot_rows", [7, 60, 10_000])
+def test_asof_with_chosen_cuts(spark, hot_rows):
+    """Key 0 holds a third of the rows, most of its left rows at one moment; tasks stay near the wanted size."""
+    left, right = _sides(spark)
+    left = left.withColumn("at", F.expr("if(k = 0 and id % 4 > 0, timestamp'2024-05-05 05:00:00', at)"))
+    lost = left.where("id < 9").withColumn("k", F.lit(None).cast("long")).unionByName(left.where("id < 5").withColumn("at", F.lit(None).cast("timestamp")))
+    got = asof_latest(left.unionByName(lost), [Feed("r", right, "at"), Feed("none", right.where("false"), "at")], ["k"], F.col("at"), hot_rows=hot_rows)
+    pairs = left.alias("l").join(right.alias("r"), F.expr("l.k = r.k and r.at <= l.at"), "left")
+    brute = pairs.groupBy("l.id", "l.k").agg(F.max("r.at").alias("found"), F.max_by("r.v", "r.at").alias("v"))
+    alone = lost.selectExpr("id", "k", "cast(null as timestamp) as found", "cast(null as long) as v")
+    same(got.selectExpr("id", "k", "r.at as found", "r.v"), brute.unionByName(alone))
+    assert got.where("none is not null").count() == 0
+
+
 def values(spark):
     """A third of all rows share one value; the rest are spread over many magnitudes, both signs."""
     return spark.range(5000).selectExpr(
@@ -160,12 +174,14 @@ def test_close_values_spread_over_many_spans(spark):
     close = spark.range(100_000).selectExpr("100000 + id / 10000 as v")
     small = spark.range(100_000).selectExpr("(id + 1) / 1e8 as v")
     for df in (close, small, close.unionAll(small).selectExpr("-v as v")):
-        spans = ranks._known(df, "v", []).groupBy("_span").count()
-        assert spans.count() > 50 and spans.agg(F.max("count")).first()[0] <= 20_000
-        # spans follow the order of the values
-        steps = ranks._known(df, "v", []).groupBy("_span").agg(F.min("v").alias("low"), F.max("v").alias("high"))
-        ends = [(r["low"], r["high"]) for r in steps.orderBy("_span").collect()]
-        assert all(a[1] < b[0] for a, b in zip(ends, ends[1:]))
+        spanned = df.select("v", ranks.value_span("v").alias("coarse"), ranks.value_span("v", ranks.FINE_DIGITS).alias("fine"))
+        assert spanned.select("fine").distinct().count() > 50
+        # fine spans lie inside their coarse one, and both follow the order of the values
+        assert spanned.groupBy("fine").agg(F.count_distinct("coarse").alias("n")).where("n > 1").count() == 0
+        for span in ("coarse", "fine"):
+            steps = spanned.groupBy(span).agg(F.min("v").alias("low"), F.max("v").alias("high"))
+            ends = [(r["low"], r["high"]) for r in steps.orderBy(span).collect()]
+            assert all(a[1] < b[0] for a, b in zip(ends, ends[1:]))
         values = sorted(r["v"] for r in df.collect())
         got = ranks.exact_quantile(df, "v", 0.9).first()[0]
         at = 0.9 * (len(values) - 1)
@@ -181,3 +197,27 @@ def test_spans_of_zero_signs_and_extremes(spark):
     for digits in (4, 8):
         spans = [r["s"] for r in df.select("v", value_span("v", digits).alias("s")).orderBy("v").collect()]
         assert spans == sorted(spans) and len(set(spans)) >= 10
+
+
+@pytest.mark.parametrize("value", ["1000000 + id / 1e7"])
+def test_no_task_adds_up_more_than_one_level(spark, value):
+    """Of 24 million rows, the spans that meet in one window."""
+    from gridcast.operators import ranks
+
+    spanned = spark.range(24_000_000).selectExpr(f"cast({value} as double) as v").select(
+        ranks.value_span("v").alias("coarse"), ranks.value_span("v", ranks.FINE_DIGITS).alias("fine")).distinct()
+    per_coarse = spanned.groupBy("coarse").agg(F.count("*").alias("n")).agg(F.count("*").alias("coarse"), F.max("n").alias("fine")).first()
+    assert per_coarse["coarse"] < 100_000 and per_coarse["fine"] <= 10_000
+
+
+def test_quantiles_leave_the_rows_in_place(spark):
+    """The spans wanted are sent to the rows."""
+    df = spark.range(50_000).selectExpr("id % 3 as k", "cast(hash(id) as double) as v")
+    got = exact_quantile(df, "v", 0.5, ["k"])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [k" in plan
+    want = {k: sorted(r["v"] for r in df.where(f"k = {k}").collect()) for k in range(3)}
+    for r in got.collect():
+        values = want[r["k"]]
+        at = 0.5 * (len(values) - 1)
+        assert r["quantile"] == values[int(at)] + (values[min(int(at) + 1, len(values) - 1)] - values[int(at)]) * (at - int(at))
