@@ -10,7 +10,7 @@ from gridcast.session import settle
 FEW_GROUPS = 50_000
 
 
-def join_small_groups(rows: DataFrame, groups: DataFrame, keys: list[str], few: int = FEW_GROUPS) -> DataFrame:
+def join_small_groups(rows: DataFrame, groups: DataFrame, keys: list[str], few: int = FEW_GROUPS, how: str = "inner") -> DataFrame:
     """`rows` with the columns of `groups`, one row per key at most.
 
     `groups` is settled and counted. Up to `few` groups are sent to every task,
@@ -18,4 +18,4 @@ def join_small_groups(rows: DataFrame, groups: DataFrame, keys: list[str], few:
     more groups than that spread the rows well enough for an ordinary join.
     """
     groups = settle(groups)
-    return rows.join(F.broadcast(groups) if groups.count() <= few else groups, list(keys))
+    return rows.join(F.broadcast(groups) if groups.count() <= few else groups, list(keys), how)
