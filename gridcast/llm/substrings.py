@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from gridcast.llm.common import row_key, written
 from gridcast.llm.rolling import CHUNK_BYTES, Hasher, mix, pieces
 from gridcast.llm.tokens import text_bytes
+from gridcast.operators.groups import join_small_groups
 
 LENGTH, SHORT = 100, 32
 _SPAN = LENGTH - SHORT + 1
@@ -83,24 +84,24 @@ def anchor_rows(data: np.ndarray, offsets: np.ndarray, hasher: Hasher) -> tuple[
     return text[low], low - offsets[text[low]], high - offsets[text[low]], names[anchor], stretch
 
 
-def _merged(key: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of windows joined where their bytes touch or overlap: key, first and last window."""
+def _merged(key: np.ndarray, part: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Runs of windows of a text joined where their bytes touch or overlap: key, part, first and last window."""
     if not len(key):
-        return key, low, high
-    order = np.lexsort((low, key))
-    key, low, high = key[order], low[order], high[order]
-    # number the keys, so that one running maximum serves all of them
-    base = np.cumsum(np.append(0, key[1:] != key[:-1])) << 40
+        return key, part, low, high
+    order = np.lexsort((low, part, key))
+    key, part, low, high = key[order], part[order], low[order], high[order]
+    # number the texts, so that one running maximum serves all of them
+    base = np.cumsum(np.append(0, (key[1:] != key[:-1]) | (part[1:] != part[:-1]))) << 40
     reach = np.maximum.accumulate(base + high + LENGTH)
     fresh = np.append(True, base[1:] + low[1:] > reach[:-1])
     first = np.flatnonzero(fresh)
-    return key[first], low[first], np.maximum.reduceat(high, first)
+    return key[first], part[first], low[first], np.maximum.reduceat(high, first)
 
 
 class _Kept:
-    """Rows (short, full, key, low, more) of a task, without those whose full name it has seen at an earlier place.
+    """Rows (short, full, key, part, low, more) of a task, without those whose full name it has seen at an earlier place.
 
-    With `alone` there is one name, which goes out as the short one.
+    A place is the id and where the window starts; at one place there may be texts of several rows, of which none is earlier. With `alone` there is one name, which goes out as the short one.
     """
 
     def __init__(self, alone: bool):
@@ -115,26 +116,30 @@ class _Kept:
     def rows(self) -> Iterator[pa.RecordBatch]:
         if not self.size:
             return
-        short, full, key, low, high = (np.concatenate(c) for c in zip(*self.parts))
+        short, full, key, part, low, high = (np.concatenate(c) for c in zip(*self.parts))
         self.parts, self.size = [], 0
-        order = np.lexsort((low, key, full))
-        short, full, key, low, high = (c[order] for c in (short, full, key, low, high))
-        fresh = np.append(True, full[1:] != full[:-1])
+        order = np.lexsort((part, low, key, full))
+        short, full, key, part, low, high = (c[order] for c in (short, full, key, part, low, high))
+        named = np.append(True, full[1:] != full[:-1])
+        begin = np.flatnonzero(named)[np.cumsum(named) - 1]  # the first row of the same name
+        again = (key != key[begin]) | (low != low[begin])
+        # rows that are equal in all are one text, stored several times
+        fresh = ~again & (named | np.append(True, part[1:] != part[:-1]))
         if self.alone:
             full = np.zeros(len(full), np.uint64)
-        again = _merged(key[~fresh], low[~fresh], high[~fresh])
-        yield _batch(False, short[fresh], full[fresh], key[fresh], low[fresh], high[fresh])
-        # repeated stretches only pass the shuffle: any name will do
-        yield _batch(True, mix(again[1].astype(np.uint64)), np.zeros(len(again[0]), np.uint64), *again)
+        later = _merged(key[again], part[again], low[again], high[again])
+        yield _batch(False, short[fresh], full[fresh], key[fresh], part[fresh], low[fresh], high[fresh])
+        # repeated stretches only pass the shuffle: any name will do that spreads them
+        yield _batch(True, mix(later[0].astype(np.uint64) ^ mix(later[2].astype(np.uint64))), np.zeros(len(later[0]), np.uint64), *later)
 
 
-_ROW = "again boolean, short long, full long, key long, low long, more long"  # more: windows after the first
+_ROW = "again boolean, short long, full long, key long, part long, low long, more long"  # more: windows after the first
 
 
-def _batch(again: bool, short, full, key, low, high) -> pa.RecordBatch:
+def _batch(again: bool, short, full, key, part, low, high) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([
         pa.array(np.full(len(key), again)), pa.array(short.astype(np.int64)), pa.array(full.astype(np.int64)),
-        pa.array(key.astype(np.int64)), pa.array(low.astype(np.int64)), pa.array((high - low).astype(np.int64)),
+        pa.array(key.astype(np.int64)), pa.array(part.astype(np.int64)), pa.array(low.astype(np.int64)), pa.array((high - low).astype(np.int64)),
     ], [f.split()[0] for f in _ROW.split(", ")])
 
 
@@ -142,80 +147,94 @@ def _anchors(rows: DataFrame) -> DataFrame:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, kept = Hasher(lower=False), _Kept(alone=False)
         for batch in batches:
-            data, offsets = text_bytes(batch.column(1))
-            keys = batch.column(0).to_numpy()
-            for first, part, bounds, skipped in slices(data, offsets):
-                text, low, high, short, full = anchor_rows(part, bounds, hasher)
-                yield from kept.add(short, full, keys[first + text], low + skipped, high + skipped)
+            data, offsets = text_bytes(batch.column(2))
+            keys, parts = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for first, piece, bounds, skipped in slices(data, offsets):
+                text, low, high, short, full = anchor_rows(piece, bounds, hasher)
+                yield from kept.add(short, full, keys[first + text], parts[first + text], low + skipped, high + skipped)
         yield from kept.rows()
 
     return rows.mapInArrow(find, _ROW)
 
 
 def _windows(ranged: DataFrame) -> DataFrame:
-    """The same rows for the single windows of `ranged(key, text, ranges)`; short and full are one name."""
+    """The same rows for the single windows of `ranged(key, part, text, ranges)`; short and full are one name."""
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, kept = Hasher(lower=False), _Kept(alone=True)
         for batch in batches:
-            data, offsets = text_bytes(batch.column(1))
-            keys, lists = batch.column(0).to_numpy(), batch.column(2)
+            data, offsets = text_bytes(batch.column(2))
+            keys, parts, lists = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(3)
             of = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
             low, high = (lists.flatten().field(i).to_numpy() for i in range(2))
-            for first, part, bounds, skipped in slices(data, offsets):
+            for first, piece, bounds, skipped in slices(data, offsets):
                 if skipped or len(bounds) == 2:
                     mine = np.flatnonzero((of == first) & (high >= skipped) & (low < skipped + CHUNK_BYTES))
                 else:
                     mine = np.arange(*np.searchsorted(of, [first, first + len(bounds) - 1]))
                 begin = np.maximum(low[mine] - skipped, 0)
-                count = np.minimum(high[mine] - skipped, len(part) - LENGTH if len(bounds) == 2 else len(data)) - begin + 1
+                count = np.minimum(high[mine] - skipped, len(piece) - LENGTH if len(bounds) == 2 else len(data)) - begin + 1
                 text = np.repeat(of[mine] - first, count)
                 place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(begin, count)
                 at = bounds[text] + place
-                name = hasher.between(hasher.prefix(part), at, at + LENGTH)
-                yield from kept.add(name, name, keys[first + text], place + skipped, place + skipped)
+                name = hasher.between(hasher.prefix(piece), at, at + LENGTH)
+                yield from kept.add(name, name, keys[first + text], parts[first + text], place + skipped, place + skipped)
         yield from kept.rows()
 
     return ranged.mapInArrow(find, _ROW)
 
 
 def _ranked(rows: DataFrame) -> DataFrame:
-    """Sort by name and place: (again, open, key, low, high), again for what occurs earlier, open for the
-    first of its full name whose short name has other full names too."""
+    """Sort by name and place: (again, open, key, part, low, high), again for what occurs at an earlier place, open for
+    what is at the first place of its full name while its short name has other full names too."""
     same = Window.partitionBy("again", "short").orderBy("full", "key", "low")
     whole = same.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    # sorted as the window above
+    named = Window.partitionBy("again", "short", "full").orderBy("key", "low").rowsBetween(Window.unboundedPreceding, 0)
     return rows.select(
-        (F.col("again") | (F.lag("full").over(same) == F.col("full"))).alias("again"),
-        (F.first("full").over(whole) != F.last("full").over(whole)).alias("open"), "key", "low",
+        (F.col("again") | (F.first("key").over(named) != F.col("key")) | (F.first("low").over(named) != F.col("low"))).alias("again"),
+        (F.first("full").over(whole) != F.last("full").over(whole)).alias("open"), "key", "part", "low",
         (F.col("low") + F.col("more")).alias("high"),
-    ).select(F.coalesce("again", F.lit(False)).alias("again"), "open", "key", "low", "high").where("again or open")
+    ).where("again or open")
 
 
 def _listed(rows: DataFrame, name: str) -> DataFrame:
-    """The ranges of each key in one array; a text has fewer than its bytes."""
-    return rows.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("low", "high"))).alias(name))
+    """The ranges of each text in one array; a text has fewer than its bytes."""
+    return rows.groupBy("key", "part").agg(F.sort_array(F.collect_list(F.struct("low", "high"))).alias(name))
 
 
 def repeated_runs(rows: DataFrame) -> DataFrame:
-    """(key, low, high) for `rows(key, text)`: runs of first bytes of windows that occur at an earlier (key, place)."""
+    """(key, part, low, high) for `rows(key, part, text)`: runs of first bytes of windows that occur at an earlier (key, place)."""
     first = written(_ranked(_anchors(rows)), "anchors")
     ranges = _listed(first.where("open and not again"), "ranges")
-    second = written(_ranked(_windows(rows.join(ranges, "key").select("key", "text", "ranges"))).where("again"), "windows")
-    return first.where("again").select("key", "low", "high").unionByName(second.select("key", "low", "high"))
+    second = written(_ranked(_windows(rows.join(ranges, ["key", "part"]).select("key", "part", "text", "ranges"))).where("again"), "windows")
+    return first.where("again").select("key", "part", "low", "high").unionByName(second.select("key", "part", "low", "high"))
+
+
+def _parted(rows: DataFrame) -> DataFrame:
+    """`rows(key, text)` with `part`: 0, or a name of the text where rows of one key differ in their texts."""
+    hashed = F.xxhash64(F.coalesce("text", F.lit("")))
+    several = written(
+        rows.select("key", hashed.alias("h")).groupBy("key").agg(F.min("h").alias("a"), F.max("h").alias("b")).where("a != b").select("key"), "several")
+    if several.isEmpty():
+        return rows.withColumn("part", F.lit(0).cast("long"))
+    marked = join_small_groups(rows, several.withColumn("_several", F.lit(True)), ["key"], how="left")
+    return marked.withColumn("part", F.when(F.col("_several"), hashed).otherwise(F.lit(0)).cast("long")).drop("_several")
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """One row per row of `docs(doc_id, text)`: doc_id, n_bytes, n_removed, n_spans, kept_sha256.
 
     A byte is removed if a LENGTH-byte string over it also starts earlier: in a row of
-    smaller doc_id, or earlier in the same one; removed or not, all strings count. A
-    null text has no bytes, and a text of fewer than LENGTH bytes keeps all. Rows
-    that repeat an id are one document. Rows without an id come after all others,
-    in an order set by their texts. Other columns are ignored; an empty table gives
-    no rows.
+    smaller doc_id, or earlier in a row of the same one; removed or not, all strings count. A
+    null text has no bytes, and a text of fewer than LENGTH bytes keeps all. Of rows
+    that repeat an id, with equal or other texts, none is earlier than the others: only where a string
+    starts decides among them, so equal rows keep what is new in them, each. Rows without an id come after all
+    others, in an order set by their texts, and behave alike. Other columns are ignored; an empty
+    table gives no rows.
     """
-    rows = docs.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("key"), "text")
-    runs = _listed(repeated_runs(rows.select("key", "text")), "runs")
-    marked = rows.join(runs, "key", "left").select(F.col("doc_id").cast("long").alias("doc_id"), "text", "runs")
+    rows = _parted(docs.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("key"), "text"))
+    runs = _listed(repeated_runs(rows.select("key", "part", "text")), "runs")
+    marked = rows.join(runs, ["key", "part"], "left").select(F.col("doc_id").cast("long").alias("doc_id"), "text", "runs")
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,7 +246,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             out = []
             for i, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
                 own = slice(edge[i], edge[i + 1]) if lists[i].is_valid else slice(0, 0)
-                _, begin, end = _merged(np.zeros(len(low[own]), np.int64), low[own], high[own])
+                none = np.zeros(len(low[own]), np.int64)
+                *_, begin, end = _merged(none, none, low[own], high[own])
                 kept, at, removed = hashlib.sha256(), a, 0
                 for s, e in zip(begin.tolist(), end.tolist()):
                     kept.update(data[at:a + s])

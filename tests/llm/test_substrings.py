@@ -12,15 +12,19 @@ from gridcast.llm.substrings import LENGTH, remove_repeats
 
 
 def brute(rows):
-    seen, found = {}, []
-    for doc_id, text in sorted(rows):
+    """Each window's first place, an id and a start; then the bytes of all windows at a later one."""
+    first, found = {}, []
+    for doc_id, text in rows:
+        data = (text or "").encode()
+        for p in range(len(data) - LENGTH + 1):
+            window = data[p:p + LENGTH]
+            first[window] = min(first.get(window, (doc_id, p)), (doc_id, p))
+    for doc_id, text in sorted(rows, key=lambda r: (r[0], r[1] or "")):
         data = (text or "").encode()
         gone = bytearray(len(data))
         for p in range(len(data) - LENGTH + 1):
-            if data[p:p + LENGTH] in seen:
+            if first[data[p:p + LENGTH]] < (doc_id, p):
                 gone[p:p + LENGTH] = b"\1" * LENGTH
-            else:
-                seen[data[p:p + LENGTH]] = doc_id
         kept = bytes(b for b, g in zip(data, gone) if not g)
         spans = sum(g and not (i and gone[i - 1]) for i, g in enumerate(gone))
         found.append((doc_id, len(data), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
@@ -59,10 +63,25 @@ def test_all_windows(spark, monkeypatch, seed, chunk):
     assert got == brute(rows)
 
 
+def test_repeated_ids(spark, monkeypatch):
+    """Rows that repeat an id, with equal texts, with others, and many of them; nothing is lost that occurs nowhere earlier."""
+    draw = random.Random(6)
+    rows = corpus(7)
+    rows += [(draw.choice(rows)[0], t) for _, t in rows[:25]] + rows[:15] + [(11, t) for _, t in rows[30:45]]
+    got = sorted(map(tuple, remove_repeats(docs_of(spark, rows)).collect()))
+    assert got == sorted(brute(rows))
+
+
 def test_odd_rows(spark):
     text = "".join(chr(97 + i % 26) + str(i) for i in range(60))
-    rows = [(None, text), (4, text), (4, text), (2, "x" + text), (None, None)]
-    got = sorted(map(tuple, remove_repeats(docs_of(spark, rows)).select("doc_id", "n_bytes", "n_removed", "n_spans").collect()), key=repr)
     n = len(text)
-    assert got == sorted([(None, n, n, 1), (4, n, n, 1), (4, n, n, 1), (2, n + 1, 0, 0), (None, 0, 0, 0)], key=repr)
+    sizes = lambda rows: sorted(map(tuple, remove_repeats(docs_of(spark, rows)).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans").collect()), key=repr)
+    rows = [(None, text), (4, text), (4, text), (2, "x" + text), (None, None)]
+    assert sizes(rows) == sorted([(None, n, n, 1), (4, n, n, 1), (4, n, n, 1), (2, n + 1, 0, 0), (None, 0, 0, 0)], key=repr)
+    # content that occurs nowhere earlier stays, in each of the rows
+    assert sizes([(4, text), (4, text)]) == [(4, n, 0, 0)] * 2
+    assert sizes([(None, text), (None, text)]) == [(None, n, 0, 0)] * 2
+    other = "".join(str(i * 7) + "q" for i in range(60))
+    assert sizes([(3, text), (5, other + text), (5, "short")]) == sorted([(3, n, 0, 0), (5, n + len(other), n, 1), (5, 5, 0, 0)], key=repr)
     assert remove_repeats(docs_of(spark, [(1, "a")]).where("doc_id > 1")).count() == 0
