@@ -8,9 +8,11 @@ from contextlib import contextmanager
 from functools import reduce
 
 import numpy as np
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridcast.operators.groups import join_small_groups
 from gridcast.session import shared_folder
 
 
@@ -50,6 +52,26 @@ def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+class Sent:
+    """An object sent to every task once, of a size that its maker bounds; `value` is the object.
+
+    It travels as bytes that hold its class too, so executors need no copy of the package.
+    """
+
+    def __init__(self, spark: SparkSession, value: object):
+        self.bytes = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+        self.found: list = []
+
+    def __getstate__(self) -> dict:
+        return {"bytes": self.bytes, "found": []}
+
+    @property
+    def value(self) -> object:
+        if not self.found:
+            self.found.append(cloudpickle.loads(self.bytes.value))
+        return self.found[0]
+
+
 def fold(doc_id: Column, parts: int) -> Column:
     """crc32 of the id as text, modulo `parts`; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % parts
@@ -63,6 +85,21 @@ def row_key(doc_id: Column, text: Column) -> Column:
     return F.coalesce(doc_id.cast("long"), F.lit(NO_ID) + F.shiftrightunsigned(F.xxhash64(F.coalesce(text, F.lit(""))), 2))
 
 
+def with_text_key(docs: DataFrame, name: str) -> DataFrame:
+    """`docs(doc_id, text, ...)` with a key that rows share only if they are equal in id and text: as `row_key`,
+    but a number made from both where an id has several texts."""
+    key, hashed = row_key(F.col("doc_id"), F.col("text")), F.xxhash64(F.coalesce("text", F.lit("")))
+    several = docs.select(key.alias(name), hashed.alias("h")).groupBy(name).agg(
+        F.min("h").alias("a"), F.max("h").alias("b")).where("a != b").select(name)
+    keyed = docs.withColumn(name, key)
+    if several.isEmpty():
+        return keyed
+    mark = fresh(keyed, "_several")
+    own = F.lit(NO_ID) + F.shiftrightunsigned(F.xxhash64(F.col("doc_id").cast("long"), F.coalesce("text", F.lit(""))), 2)
+    marked = join_small_groups(keyed, several.withColumn(mark, F.lit(True)), [name], how="left")
+    return marked.withColumn(name, F.when(F.col(mark), own).otherwise(F.col(name))).select(*docs.columns, name)
+
+
 def _scrambled(c: Column) -> Column:
     """A one-to-one map of longs that breaks up the order of ids."""
     for _ in range(3):

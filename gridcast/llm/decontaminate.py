@@ -27,14 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridcast.llm.common import written
+from gridcast.llm.common import Sent, written
 from gridcast.llm.rolling import ALNUM, Hasher, mix, numbers, pieces, words
 from gridcast.llm.tokens import text_bytes
 
 # fixed values: masks of weight 6 that together find every stretch of 13 to 25 words
 MASKS = ("1101111", "11010001011", "1110001000101")
 LEAST_WORDS = 13
-SHORTEST = 5  # items of fewer words can't be told from chance and are left out
 PENALTY = 4  # a differing word costs as much as four equal ones: one in five at most
 BLOCK_WORDS = 1 << 20
 _BITS = 22
@@ -83,12 +82,12 @@ def best_stretch(same: np.ndarray, least: int) -> tuple[int, int] | None:
 class Seeds:
     """The seeds of a block of items, sorted, behind a bitmap that turns most windows away."""
 
-    def __init__(self, items: list[tuple[int, bytes]]):
+    def __init__(self, items: list[tuple[int, bytes]], shortest: int = 1):
         hasher = Hasher(lower=True)
         self.items, self.words = [], []
         for item_id, text in items:
             hashes, _ = words(np.frombuffer(text, np.uint8), np.array([0, len(text)]), ALNUM, hasher)
-            if len(hashes) >= SHORTEST:
+            if len(hashes) >= shortest:
                 self.items.append(item_id)
                 self.words.append(hashes)
         lengths = sorted({len(w) for w in self.words if len(w) < LEAST_WORDS})
@@ -137,7 +136,7 @@ class Seeds:
         return best
 
 
-def _blocks(items: DataFrame) -> Iterator[Seeds]:
+def _blocks(items: DataFrame, shortest: int) -> Iterator[Seeds]:
     """Blocks of about BLOCK_WORDS words, each brought to the driver alone."""
     sized = written(
         items.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
@@ -147,28 +146,29 @@ def _blocks(items: DataFrame) -> Iterator[Seeds]:
     count = int(total // BLOCK_WORDS) + 1
     for k in range(count):
         part = sized.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == k).select("item_id", "text").toArrow()
-        block = Seeds(sorted((i, t.encode()) for i, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist())))
+        block = Seeds(sorted((i, t.encode()) for i, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist())), shortest)
         if block.items:
             yield block
 
 
-def find_overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
+def find_overlaps(docs: DataFrame, items: DataFrame, shortest: int = 1) -> DataFrame:
     """One row per contaminated row of `docs(doc_id, text)` and item of `items(item_id, text)`: doc_id,
     item_id, n_equal, n_words, doc_word, item_word (where the stretch begins).
 
     Words are runs of letters, digits and bytes outside ASCII, A-Z lowered. Of
     several stretches of a pair the one of most equal words is given, then the
-    first. Null or empty texts match nothing, items of null id, null text or fewer
-    than SHORTEST words are left out. Rows that repeat are each reported. Other
+    first. Items of fewer than five words match as a whole and exactly; `shortest` leaves out items of
+    fewer words than that, by default none. Null or empty texts match nothing, items of null id, null
+    text or no word are left out. Rows that repeat are each reported. Other
     columns are ignored; an empty table on either side gives no rows.
     """
     spark = docs.sparkSession
     schema = "doc_id long, item_id long, n_equal long, n_words long, doc_word long, item_word long"
     parts = [spark.createDataFrame([], schema)]
-    for block in _blocks(items):
-        shared = spark.sparkContext.broadcast(block)
+    for block in _blocks(items, shortest):
+        shared = Sent(spark, block)
 
-        def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+        def scan(batches: Iterator[pa.RecordBatch], shared: Sent = shared) -> Iterator[pa.RecordBatch]:
             known, hasher = shared.value, Hasher(lower=True)
             names = [f.split()[0] for f in schema.split(", ")]
             for batch in batches:

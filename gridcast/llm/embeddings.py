@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridcast.llm.common import components, linked_rows, written
+from gridcast.llm.common import Sent, components, linked_rows, written
 
 COSINE = 0.9
 SAMPLE = 8192  # distinct vectors that the centres are fitted on, about
@@ -129,7 +129,7 @@ def link_rows(nodes: DataFrame, cells: Cells, least: float = COSINE) -> DataFram
     parts of the same size; each block meets each part, and each block before it, once.
     """
     spark = nodes.sparkSession
-    shared = spark.sparkContext.broadcast(cells)  # at most MOST_CELLS centres
+    shared = Sent(spark, cells)  # at most MOST_CELLS centres
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value

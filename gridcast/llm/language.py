@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridcast.llm.common import fold
+from gridcast.llm.common import Sent, fold
 from gridcast.llm.tokens import text_bytes
 
 # fixed values: families of language codes; a code that is not listed is a family of its own
@@ -157,20 +157,22 @@ class LanguageModel:
 def train(docs: DataFrame, lang: str = "lang", per_language: int = PER_LANGUAGE, seed: int = 1) -> LanguageModel:
     """Fit on rows of `docs(doc_id, text, lang)` that have a language and a text.
 
-    At most about `per_language` rows of each language are taken, those of the
-    smallest hash of doc_id and text. That sample meets in one task, as profiles of a
+    At most about `per_language` distinct rows of each language are taken, those of the
+    smallest hash of doc_id and text; their number is estimated within a few percent. That sample meets in one task, as profiles of a
     fixed size, and only the machines come to the driver. The number of languages is
     taken to be small.
     """
     share = 1 << 30
     rows = docs.where(F.col(lang).isNotNull() & F.col("text").isNotNull()).select(F.col(lang).alias("lang"), "doc_id", "text")
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    # rows that repeat an id and a text count once, and are drawn once
+    rows = rows.withColumn("h", F.xxhash64(F.lit(seed), "doc_id", "text"))
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.approx_count_distinct("h", 0.02).alias("n")).collect()}
     if not counts:
         return LanguageModel([], {})
     limit = F.create_map(*[
-        c for name, n in sorted(counts.items()) for c in (F.lit(name), F.lit(min(share, int(share * per_language / n) + 1)))
+        c for name, n in sorted(counts.items()) for c in (F.lit(name), F.lit(min(share, int(share * per_language / max(1, n)) + 1)))
     ])
-    drawn = rows.where(F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(share)) < F.element_at(limit, F.col("lang")))
+    drawn = rows.where(F.pmod("h", F.lit(share)) < F.element_at(limit, F.col("lang"))).groupBy("lang", "h").agg(F.min("text").alias("text"))
     wanted = pairs(list(counts))
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,7 +210,7 @@ def identify(
     """
     schema = T.StructType([*docs.schema.fields]).add(names[0], "string").add(names[1], "double")
     at = docs.columns.index(text)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # of a size set by the languages and BUCKETS
+    shared = Sent(docs.sparkSession, model)  # of a size set by the languages and BUCKETS
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = shared.value

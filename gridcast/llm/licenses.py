@@ -69,6 +69,7 @@ LEAST_SCORE = 0.5
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _START_BITS = 40  # a candidate is one long: template number, then its start
+_AHEAD = 1 << 16  # added to a start: a template may begin before the text
 
 
 def license_words(text: Column) -> Column:
@@ -111,13 +112,13 @@ def _map(pairs: list[tuple]) -> Column:
 
 
 def _starts(hits: Column, postings: dict[str, list[tuple[int, int]]]) -> Column:
-    """Candidates `template << 40 | start` of all hits; a start before the text is none."""
+    """Candidates `template << 40 | start + _AHEAD` of all hits."""
     index = _map([(word, F.array(*[F.struct(F.lit(t).cast("long").alias("t"), F.lit(at).alias("at")) for t, at in found]))
                   for word, found in sorted(postings.items())])
     each = F.transform(hits, lambda hit: F.transform(
         F.coalesce(F.try_element_at(index, hit["word"]), F.array().cast("array<struct<t:bigint,at:int>>")),
-        lambda p: F.when(hit["pos"] >= p["at"], F.shiftleft(p["t"], _START_BITS) + hit["pos"] - p["at"])))
-    return F.array_compact(F.flatten(each))
+        lambda p: F.shiftleft(p["t"], _START_BITS) + hit["pos"] - p["at"] + F.lit(_AHEAD)))
+    return F.flatten(each)
 
 
 def scan_licenses(docs: DataFrame, idf: dict[str, float] | None = None) -> DataFrame:
@@ -125,7 +126,8 @@ def scan_licenses(docs: DataFrame, idf: dict[str, float] | None = None) -> DataF
     base_labels, labels, score, n_matches (places of all labels).
 
     A null text counts as empty: no words, no labels, score 0, null places. Text
-    outside ASCII belongs to words. Overlapping and repeated places all count.
+    outside ASCII belongs to words. Overlapping and repeated places all count. A notice may begin
+    before the text, if its key phrase is in the text; it is then measured by the words that have a place in it.
     Other columns of `docs` are ignored; an empty table gives no rows. `idf`
     defaults to the frequencies over `docs`.
     """
@@ -157,16 +159,19 @@ def scan_licenses(docs: DataFrame, idf: dict[str, float] | None = None) -> DataF
         return F.shiftright(c, _START_BITS).cast("int")
 
     def start(c: Column) -> Column:
-        return c.bitwiseAND(F.lit(mask))
+        return c.bitwiseAND(F.lit(mask)) - F.lit(_AHEAD)
 
     def verified(c: Column) -> Column:
         at = (start(c) + F.get(key_at, number(c)) + 1).cast("int")
-        return F.slice(F.col("w"), at, F.get(key_size, number(c)).cast("int")) == F.element_at(keys, number(c))
+        inside = F.slice(F.col("w"), F.greatest(at, F.lit(1)), F.get(key_size, number(c)).cast("int")) == F.element_at(keys, number(c))
+        return (at >= 1) & inside  # the key phrase itself stands in the text
 
     def score(c: Column) -> Column:
         found = F.aggregate(F.element_at(parts, number(c)), F.lit(0.0), lambda total, p: total + F.when(
-            F.get(F.col("w"), (start(c) + p["at"]).cast("int")) == p["word"], p["idf"]).otherwise(F.lit(0.0)))
-        return F.least(F.lit(1.0), found / F.get(totals, number(c)))
+            F.get(F.col("w"), (start(c) + p["at"]).cast("int")).eqNullSafe(p["word"]), p["idf"]).otherwise(F.lit(0.0)))
+        inside = F.aggregate(F.element_at(parts, number(c)), F.lit(0.0), lambda total, p: total + F.when(
+            start(c) + p["at"] >= 0, p["idf"]).otherwise(F.lit(0.0)))
+        return F.least(F.lit(1.0), found / F.when(start(c) >= 0, F.get(totals, number(c))).otherwise(inside))
 
     base = [n for n, t in enumerate(TEMPLATES) if t.base]
     labels = F.array(*[F.lit(t.label) for t in TEMPLATES])
@@ -207,12 +212,12 @@ idf as (select word, ln((1 + (select count(*) from texts)) / (1.0::double + coal
 places as (
   select s.r, t.label, t.base, t.words, s.i - t.key_at as start, x.w
   from spread s join templates t on s.word = t.key[1] join texts x using (r)
-  where x.w[s.i + 1:s.i + len(t.key)] = t.key and s.i >= t.key_at
+  where x.w[s.i + 1:s.i + len(t.key)] = t.key
 ), parts as (
-  select r, label, base, start, word, w[start + j + 1] = word as same
+  select r, label, base, start, word, start + j >= 0 as inside, start + j >= 0 and w[greatest(start + j, 0) + 1] = word as same
   from (select r, label, base, start, w, unnest(words) as word, unnest(range(len(words))) as j from places)
 ), scored as (
-  select r, label, base, start, least(1.0, sum(case when same then idf else 0 end) / sum(idf)) as score
+  select r, label, base, start, least(1.0, sum(case when same then idf else 0 end) / sum(case when inside then idf end)) as score
   from parts join idf using (word) group by 1, 2, 3, 4
 ), found as (
   select r, count(*) filter (base) as n_base, min(start) filter (base) as first_word, max(start) filter (base) as last_word,

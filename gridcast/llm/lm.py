@@ -26,11 +26,11 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridcast.llm.common import fold, written
+from gridcast.llm.common import Sent, fold, written
 from gridcast.llm.rolling import SOLID, Hasher, pieces, words
 from gridcast.llm.tokens import text_bytes
 
-DEPTH = 4
+DEPTH = 6  # bytes of context; 7 at most, since a run and its byte are one number of 64 bits
 HEAD = 1 << 20
 GRAM, WORD = 0, 1
 _FLUSH = 1 << 21
@@ -227,7 +227,7 @@ def _head(scores: DataFrame, head: int) -> tuple[Lookup, DataFrame]:
 
 def _score(docs: DataFrame, grams: Lookup, known_words: Lookup) -> DataFrame:
     """Per row of `docs(doc_id, text, train)` the sums over what the look-ups know, and the keys they do not."""
-    shared = docs.sparkSession.sparkContext.broadcast((grams, known_words))
+    shared = Sent(docs.sparkSession, (grams, known_words))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(lower=True)

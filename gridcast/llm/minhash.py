@@ -26,14 +26,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridcast.llm.common import NO_ID, components, fresh, linked_rows, row_key, written
+from gridcast.llm.common import components, fresh, linked_rows, with_text_key, written
 from gridcast.llm.rolling import ALNUM, Hasher, mix, numbers, pieces, runs, words
 from gridcast.llm.tokens import text_bytes
+from gridcast.operators.groups import join_small_groups
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 32, 5  # a pair of similarity 0.8 shares no band with probability 3e-6
 BLOCK = 256  # nodes of a family that are compared with as many others at a time
 SALT_ROWS = 256  # members that are verified against one copy of their centre
+LARGE_CLASS = 1000  # rows of a class that is brought to its rows
 BROADCAST_IDS = 4_000_000  # ids of 8 bytes that may be sent to every task
 _COLUMNS = 4096
 _HASH_BITS = 52
@@ -298,6 +300,21 @@ def near_classes(rows: DataFrame) -> DataFrame:
     return signed.select("key", "digest").join(classes, "digest", "left").select("key", F.coalesce("class", "key").alias("class"))
 
 
+def _classes(docs: DataFrame) -> DataFrame:
+    """(key, doc_id, copies, class) for each different (id, text) of `docs(doc_id, text)`, and the keys of its rows."""
+    keyed = with_text_key(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "key")
+    found = near_classes(keyed.select("key", "text")).distinct()
+    counted = keyed.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
+    return written(counted.join(found, "key"), "classes")
+
+
+def _stand_ins(classes: DataFrame) -> DataFrame:
+    """Per class its rows, its smallest id, and the key that stands for it: of that id, then the smallest."""
+    return written(classes.groupBy("class").agg(
+        F.sum("copies").alias("n_class"), F.min("doc_id").alias("class_id"),
+        F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key"))["key"].alias("stands")), "sizes")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per row of `docs(doc_id, text)`: doc_id, class_id, n_class (rows of the class), kept.
 
@@ -305,31 +322,38 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     Jaccard similarity >= 0.8; kept says that the row is that document. Texts of
     equal words (A-Z lowered, punctuation left out) are always linked. A null
     text, an empty one and one without words link with nothing. Texts of one to
-    four words link with texts of the same words. Rows that repeat an id are one
-    document and share a class, whatever their texts. A row without an id links
+    four words link with texts of the same words. A class is one of texts: rows that
+    repeat an id and its text are all kept or not, rows of one id with different texts each have the class of
+    their own text, and of several such rows that could stand for a class one text does. A row without an id links
     like any other but is never named: its class_id is the smallest id of its
     class, or null, and it is kept only in the latter case. Other columns of
     `docs` are ignored; an empty table gives no rows.
     """
-    rows = docs.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("key"), "text")
-    classes = written(near_classes(rows.select("key", "text")), "classes")
-    sizes = classes.groupBy("class").agg(F.count("*").alias("n_class"))
-    return classes.join(sizes, "class").select(
-        F.when(F.col("key") < NO_ID, F.col("key")).alias("doc_id"),
-        F.when(F.col("class") < NO_ID, F.col("class")).alias("class_id"),
-        "n_class", (F.col("key") == F.col("class")).alias("kept"),
-    )
+    classes = _classes(docs)
+    sizes = _stand_ins(classes)
+    # a class of many texts is brought to them where they are; the others are joined
+    large = F.col("n_class") > LARGE_CLASS
+    small = classes.join(sizes.where(~large), "class")
+    whole = small.unionByName(join_small_groups(classes, sizes.where(large), ["class"]))
+    return whole.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(
+        "doc_id", "class_id", "n_class", (F.col("key") == F.col("stands")).alias("kept"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of `docs` that stand for their class, one each; its columns stay as they are."""
-    key = fresh(docs, "_key")
-    keyed = docs.withColumn(key, row_key(F.col("doc_id"), F.col("text")))
-    classes = written(near_classes(keyed.select(F.col(key).alias("key"), "text")), "classes")
-    named = classes.where("key = class").groupBy(F.col("key").alias(key)).count()
-    single = named.where("count = 1").select(key)
+    """The rows of `docs` that stand for their class, one each; its columns stay as they are.
+
+    A class is one of texts, as in `near_duplicates`. Of its rows the one of the smallest id stays, a null id
+    coming last, and of several of that id one text by its hash; of rows equal in id and text the one whose
+    other columns come first as JSON text, so that reruns agree.
+    """
+    key, rest = fresh(docs, "_key"), fresh(docs, "_rest")
+    keyed = with_text_key(docs, key)
+    single = written(_stand_ins(_classes(docs)).select(F.col("stands").alias(key)), "kept")
     kept = keyed.join(single, key, "left_semi")
-    repeated = named.where("count > 1").select(key)
-    if not repeated.isEmpty():  # rows that repeat an id
-        kept = kept.unionByName(keyed.join(repeated, key, "left_semi").dropDuplicates([key]))
-    return kept.select(*docs.columns)
+    repeated = keyed.groupBy(key).count().where("count > 1").join(single, key, "left_semi").select(key)
+    if repeated.isEmpty():
+        return kept.select(*docs.columns)
+    # rows that repeat an id and its text
+    row = F.struct(*[F.col(c) for c in docs.columns])
+    first = keyed.join(repeated, key, "left_semi").groupBy(key).agg(F.min_by(row, F.to_json(row)).alias(rest)).select(f"{rest}.*")
+    return kept.join(repeated, key, "left_anti").select(*docs.columns).unionByName(first)

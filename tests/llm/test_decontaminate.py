@@ -29,7 +29,7 @@ def changed(words, every):
 CASES = [
     (around(ITEMS[0]), {0}), (around(ITEMS[0]).upper(), {0}), (around(changed(ITEMS[0], 8)), {0}),
     (around(changed(ITEMS[6], 6)), {6}), (around(ITEMS[6][10:30]), {6}), (around(ITEMS[1] + ITEMS[2]), {1, 2}),
-    (" ".join(ITEMS[3]), {3}), (around(ITEMS[4]), {4}), (around(ITEMS[5]), set()), (around(ITEMS[0][:7]), set()),
+    (" ".join(ITEMS[3]), {3}), (around(ITEMS[4]), {4}), (around(ITEMS[5]), {5}), (around(ITEMS[5][:2]), set()), (around([ITEMS[5][0], 'zzz', ITEMS[5][2]]), set()), (around(ITEMS[0][:7]), set()),
     (around(changed(ITEMS[0], 2)), set()), (around([]), set()), (None, set()), ("", set()), (" ".join(ITEMS[2] * 50), {2}),
     ("\n".join(ITEMS[1]).replace("\n", ", "), {1}), (" ".join(prose(40000) + ITEMS[1]), {1}),
 ]

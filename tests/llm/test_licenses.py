@@ -55,3 +55,10 @@ def test_whole_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     got = licenses.scan_licenses(docs).join(docs.select("doc_id", "text"), "doc_id").collect()
     assert all((r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"]) == brute(r["text"]) for r in got)
+
+
+def test_notices_that_begin_before_the_text(spark):
+    texts = ["MIT License Copyright", "Apache License Version 2.0", "Mozilla Public License Version 2.0 text", "License MIT", "x"]
+    rows = licenses.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    got = {r["doc_id"]: r["labels"] for r in rows}
+    assert "mit" in got[0] and "apache-2.0" in got[1] and "mpl-2.0" in got[2] and got[3] == got[4] == ""

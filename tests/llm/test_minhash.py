@@ -83,6 +83,30 @@ def test_odd_rows(spark):
     assert minhash.near_duplicates(docs_of(spark, [])).count() == 0
 
 
+def test_one_id_with_several_texts(spark):
+    x, y, z = "a b c d e f g h i j", "k l m n o p q r", "s t u v w x y z"
+    rows = [(5, x), (3, y), (5, y), (9, x), (5, x), (2, None), (2, z), (None, z), (7, z + " "), (7, z)]
+    got = sorted(map(tuple, minhash.near_duplicates(docs_of(spark, rows)).collect()), key=repr)
+    assert Counter((a, b, n) for a, b, n, _ in got) == Counter({
+        (5, 5, 3): 2, (9, 5, 3): 1, (3, 3, 2): 1, (5, 3, 2): 1, (2, 2, 1): 1, (2, 2, 4): 1, (None, 2, 4): 1, (7, 2, 4): 2})
+    assert sum(kept for *_, kept in got) == 5  # the text of id 5 twice, since its rows are equal
+    kept = minhash.keep_one(docs_of(spark, rows)).collect()
+    assert sorted((r["doc_id"], r["text"] or "") for r in kept) == sorted([(5, x), (3, y), (2, ""), (2, z)])
+    assert all(set(r.asDict()) == {"doc_id", "text", "key", "class"} for r in kept)
+
+
+def test_rows_of_one_id_and_nothing_in_common_all_stay(spark):
+    rows = [(6, "a b c d e f"), (6, "u v w x y z"), (6, ""), (6, None)]
+    assert sorted(r["text"] or "" for r in minhash.keep_one(docs_of(spark, rows)).collect()) == ["", "a b c d e f", "u v w x y z"]
+
+
+def test_a_large_class(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "LARGE_CLASS", 5)
+    rows = [(i, "a b c d e f g") for i in range(30)] + [(i, f"{i} one two three four five") for i in range(30, 40)]
+    got = minhash.near_duplicates(docs_of(spark, rows)).collect()
+    assert {(r["doc_id"], r["class_id"], r["n_class"]) for r in got} == {(i, 0, 30) for i in range(30)} | {(i, i, 1) for i in range(30, 40)}
+
+
 def test_signatures_estimate_weighted_similarity():
     shared = np.arange(1, 61, dtype=np.uint64) * np.uint64(7919)
     own = lambda k: np.arange(1, 21, dtype=np.uint64) * np.uint64(104729 + k)
