@@ -349,7 +349,8 @@ def keep_one(docs: DataFrame) -> DataFrame:
     key, rest = fresh(docs, "_key"), fresh(docs, "_rest")
     keyed = with_text_key(docs, key)
     single = written(_stand_ins(_classes(docs)).select(F.col("stands").alias(key)), "kept")
-    kept = keyed.join(single, key, "left_semi")
+    # one id for each class; as in the comparisons, texts stay where they are while the ids are few enough to send
+    kept = keyed.join(F.broadcast(single) if single.count() <= BROADCAST_IDS else single, key, "left_semi")
     repeated = keyed.groupBy(key).count().where("count > 1").join(single, key, "left_semi").select(key)
     if repeated.isEmpty():
         return kept.select(*docs.columns)
