@@ -30,7 +30,7 @@ from gridcast.llm.common import Sent, fold, written
 from gridcast.llm.rolling import SOLID, Hasher, pieces, words
 from gridcast.llm.tokens import text_bytes
 
-DEPTH = 5  # bytes of context; 7 at most, since a run and its byte are one number of 64 bits
+DEPTH = 4  # bytes of context; up to 7 work, since a run and its byte are one number of 64 bits, at more disk (README)
 HEAD = 1 << 20
 GRAM, WORD = 0, 1
 _FLUSH = 1 << 21
