@@ -12,7 +12,7 @@ from gridcast.session import shared_folder
 from gridcast.sources import stand_ins as raw
 from gridcast.sources import tables
 from gridcast.sources.feeds import WEATHER, read_feed_csv
-from gridcast.sources.market import read_market_csv, transform_market
+from gridcast.sources.market import LOAD, PRICE, TIME, read_market_csv, read_market_parts, refused_market, transform_market
 
 
 def _new_folder(spark, name):
@@ -32,6 +32,29 @@ def csv_market(spark, folder):
     return pick(load, "load", "alberta_internal_load_mw").unionByName(pick(price, "price", "pool_price_cad_mwh"))
 
 
+_TIME = "case when event_id % 13 = 0 then 'not-a-date' when event_id % 2 = 0 then strftime(ts, '%Y-%m-%d %-H:%M') else strftime(ts, '%-m/%-d/%Y %-H:%M') end"
+_LOAD = """case when event_id % 11 = 0 then '' when event_id % 17 = 0 then 'bad-load' else '"9,' || lpad(cast(event_id % 1000 as varchar), 3, '0') || '"' end"""
+_PRICE = "case when event_id % 19 = 0 or value is null then '' else cast(cast(value as decimal(12,2)) as varchar) end"
+
+
+@query("csv_market_refused", "layout:text line:text reason:text", f"""
+select * from (select case when event_id % 3 = 0 then 'b' else 'a' end as layout,
+  case when event_id % 3 = 0 then concat({_PRICE}, ',kept,', {_TIME}, ',', {_LOAD}) else concat({_TIME}, ',', {_LOAD}, ',', {_PRICE}) end as line,
+  concat_ws(', ', case when event_id % 13 = 0 then 'unreadable Date_Begin_GMT' end,
+    case when event_id % 11 = 0 then 'no ACTUAL_AIL' when event_id % 17 = 0 then 'unreadable ACTUAL_AIL' end,
+    case when event_id % 19 = 0 or value is null then 'no ACTUAL_POOL_PRICE' end) as reason from events) where reason <> ''""")
+def csv_market_refused(spark, folder):
+    """Refused lines of untidy market files in two column orders, with the reason for each."""
+    text = raw.untidy_market(spark, folder, "event_id")
+    orders = {"a": ("event_id % 3 <> 0", [TIME, LOAD, PRICE]), "b": ("event_id % 3 = 0", [PRICE, "note", TIME, LOAD])}
+    paths = []
+    for name, (chosen, columns) in orders.items():
+        paths.append(_new_folder(spark, f"market-{name}"))
+        text.where(chosen).withColumn("note", F.lit("kept")).select(*columns).write.option("header", True).csv(paths[-1])
+    refused = refused_market(read_market_parts(spark, paths))
+    return refused.withColumn("layout", F.regexp_extract("file", "/market-([ab])-", 1))
+
+
 @query("csv_weather", "forecast_issue_utc:ts forecast_target_utc:ts region:text temperature_c:num wind_speed_mps:num relative_humidity_pct:num precipitation_mm:num source:text",
        ingest._feed_sql("text_weather", "forecast_issue_utc", "forecast_target_utc", "region", "alberta", None,
                         {"temperature_c": 1, "wind_speed_mps": 1, "relative_humidity_pct": 0, "precipitation_mm": 0}, "'external_weather_forecast_csv'"))

@@ -7,29 +7,29 @@ from pyspark.sql import functions as F
 
 from gridcast.contracts import require_columns
 from gridcast.functions.coerce import to_number, to_utc_timestamp
+from gridcast.sources.csv_parts import read_csv_parts, refused_rows
 
 # fixed values: the export's column names
 TIME, LOAD, PRICE = "Date_Begin_GMT", "ACTUAL_AIL", "ACTUAL_POOL_PRICE"
 
 
+def read_market_parts(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """The three used columns as text, with the file and the line they come from."""
+    return read_csv_parts(spark, paths, [TIME, LOAD, PRICE], "Market CSV")
+
+
 def read_market_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """The three used columns of one or many CSV exports, as text.
 
     Files may hold further columns and order theirs differently, so each is
-    read by its own header; only the used columns leave the scan.
+    read by its own header.
     """
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    if not paths:
-        raise ValueError("no market CSV paths were given")
-    parts = []
-    for path in paths:
-        part = spark.read.csv(path, header=True)
-        require_columns(part, [TIME, LOAD, PRICE], "Market CSV")
-        parts.append(part.select(TIME, LOAD, PRICE))
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    return whole
+    return read_market_parts(spark, paths).select(TIME, LOAD, PRICE)
+
+
+def refused_market(parts: DataFrame) -> DataFrame:
+    """The rows of `read_market_parts` that transform_market leaves out: file, line, reason."""
+    return refused_rows(parts, {TIME: to_utc_timestamp, LOAD: to_number, PRICE: to_number})
 
 
 def transform_market(

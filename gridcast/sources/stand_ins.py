@@ -170,8 +170,8 @@ def backtest_trials(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def untidy_market(spark: SparkSession, folder: str) -> DataFrame:
-    """Events as the text of a market CSV: two time spellings, thousands commas, bad and blank values."""
+def untidy_market(spark: SparkSession, folder: str, *also: str) -> DataFrame:
+    """Events as the text of a market CSV: two time spellings, thousands commas, bad and blank values; `also` names columns of events to keep."""
     i, amount = F.col("event_id"), F.col("value").cast("decimal(12,2)")
     return table(spark, folder, "events").select(
         F.when(i % 13 == 0, "not-a-date").when(i % 2 == 0, F.date_format("ts", "yyyy-MM-dd H:mm"))
@@ -179,6 +179,7 @@ def untidy_market(spark: SparkSession, folder: str) -> DataFrame:
         F.when(i % 11 == 0, None).when(i % 17 == 0, "bad-load")
         .otherwise(F.concat(F.lit("9,"), F.lpad((i % 1000).cast("string"), 3, "0"))).alias("ACTUAL_AIL"),
         F.when(i % 19 == 0, None).otherwise(amount.cast("string")).alias("ACTUAL_POOL_PRICE"),
+        *also,
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gridcast.functions.coerce import to_number, to_utc_timestamp
 from gridcast.sources.feeds import GENERATION, INTERTIE, WEATHER, empty_feed, read_feed_csv, transform_feed
-from gridcast.sources.market import read_market_csv, require_rows, transform_market
+from gridcast.sources.market import read_market_csv, read_market_parts, refused_market, require_rows, transform_market
 from tests.conftest import rows
 
 STAMP = datetime(2026, 1, 2, 3, 4, 5)
@@ -51,6 +51,58 @@ def test_market_csv_parts_may_order_columns_differently(spark, tmp_path):
         read_market_csv(spark, [])
 
 
+def test_market_rows_are_either_good_or_refused(spark, tmp_path):
+    header = "Date_Begin_GMT,ACTUAL_AIL,ACTUAL_POOL_PRICE"
+    (tmp_path / "a.csv").write_text(
+        f'\ufeff{header}\n2020-01-01 7:00,"9,467",30.24\n\nsoon,1,2\n2020-01-01 9:00, ,x\n2020-01-01 9:00\n', encoding="utf-8")
+    (tmp_path / "b.csv").write_text(
+        "ACTUAL_POOL_PRICE,MORE,ACTUAL_AIL,Date_Begin_GMT\r\n29.43,,9361,1/1/2020 8:00,beyond\r\n"
+        "ACTUAL_POOL_PRICE,MORE,ACTUAL_AIL,Date_Begin_GMT\r\n,,,\r\n")
+    (tmp_path / "c.csv").write_text("")
+    (tmp_path / "d.csv").write_text(header)
+    parts = read_market_parts(spark, str(tmp_path))
+    load, price = transform_market(parts)
+    refused = refused_market(parts)
+    assert rows(load, "alberta_internal_load_mw") == [(9361.0,), (9467.0,)]
+    assert rows(refused.withColumn("file", F.regexp_extract("file", "[^/]+$", 0))) == sorted([
+        ("a.csv", "soon,1,2", "unreadable Date_Begin_GMT"),
+        ("a.csv", "2020-01-01 9:00, ,x", "no ACTUAL_AIL, unreadable ACTUAL_POOL_PRICE"),
+        ("a.csv", "2020-01-01 9:00", "no ACTUAL_AIL, no ACTUAL_POOL_PRICE"),
+        ("b.csv", ",,,", "no Date_Begin_GMT, no ACTUAL_AIL, no ACTUAL_POOL_PRICE"),
+    ], key=repr)
+    assert load.count() + refused.count() == price.count() + refused.count() == parts.count() == 6
+
+
+def test_empty_files_have_no_market_rows_and_unfit_ones_are_named(spark, tmp_path):
+    (tmp_path / "empty.csv").write_text("")
+    parts = read_market_parts(spark, str(tmp_path / "empty.csv"))
+    assert parts.columns == ["file", "line", "Date_Begin_GMT", "ACTUAL_AIL", "ACTUAL_POOL_PRICE"]
+    assert parts.count() == refused_market(parts).count() == 0
+    (tmp_path / "unfit.csv").write_text("Date_Begin_GMT,ACTUAL_AIL\n2020-01-01,1\n")
+    with pytest.raises(ValueError, match="Market CSV .*ACTUAL_POOL_PRICE in .*unfit.csv"):
+        read_market_parts(spark, str(tmp_path))
+
+
+def test_the_plan_of_many_market_files_is_that_of_few(spark, tmp_path):
+    from random import Random
+
+    names, draw = ["Date_Begin_GMT", "ACTUAL_AIL", "ACTUAL_POOL_PRICE", "A", "B"], Random(7)
+    for i in range(400):
+        order = draw.sample(names, 5)
+        values = dict(zip(names, ["2020-01-01 7:00" if i % 10 else "soon", str(i), str(-i), "x", ""]))
+        (tmp_path / f"{i}.csv").write_text(",".join(order) + "\n" + ",".join(values[c] for c in order) + "\n")
+
+    def size(df):
+        return len(df._jdf.queryExecution().optimizedPlan().toString().splitlines())
+
+    few = read_market_parts(spark, [str(tmp_path / f"{i}.csv") for i in range(1, 3)])
+    many = read_market_parts(spark, [str(tmp_path / f"{i}.csv") for i in range(400)])
+    assert size(many) == size(few)
+    load, _ = transform_market(many)
+    assert rows(load, "alberta_internal_load_mw") == sorted(((float(i),) for i in range(400) if i % 10), key=repr)
+    assert refused_market(many).count() == 40
+
+
 def test_weather_keeps_known_rows_and_fills_absent_numbers(spark):
     text = spark.createDataFrame(
         [("2024-01-01 00:00", "2024-01-02 00:00", "Calgary", "-12.5", "5.2"),
