@@ -37,9 +37,9 @@ def read_csv_parts(spark: SparkSession, paths: str | list[str], columns: list[st
     lines = spark.read.text(paths).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"), F.col("value").alias("line")
     ).where("trim(line) <> ''")
-    # Tasks read a block from its start on, so the least id in the first block is the first line.
+    # Tasks read a block from its start on, so the least id in a file's first block with lines is its first line.
     headers = settle(
-        lines.where("_block = 0").withColumn("_at", F.monotonically_increasing_id())
+        lines.withColumn("_at", F.struct("_block", F.monotonically_increasing_id()))
         .groupBy("file").agg(F.min_by("line", "_at").alias("header"))
     )
     width = headers.agg(F.max(F.length(F.regexp_replace("header", "[^,]", "")))).first()[0]

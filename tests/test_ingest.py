@@ -73,6 +73,22 @@ def test_market_rows_are_either_good_or_refused(spark, tmp_path):
     assert load.count() + refused.count() == price.count() + refused.count() == parts.count() == 6
 
 
+def test_market_files_of_many_blocks_keep_their_header(spark, tmp_path):
+    lines = "".join(f"2020-01-01 7:00,x,{i},{-i}\n" for i in range(500))
+    (tmp_path / "a.csv").write_text("\n" * 3000 + "Date_Begin_GMT,OTHER,ACTUAL_AIL,ACTUAL_POOL_PRICE\n" + lines)
+    settings = {"spark.sql.files.maxPartitionBytes": "1000", "spark.sql.files.openCostInBytes": "0"}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        parts = read_market_parts(spark, str(tmp_path))
+        assert parts.rdd.getNumPartitions() > 4
+        assert rows(parts, "ACTUAL_AIL", "ACTUAL_POOL_PRICE") == sorted(((str(i), str(-i)) for i in range(500)), key=repr)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def test_empty_files_have_no_market_rows_and_unfit_ones_are_named(spark, tmp_path):
     (tmp_path / "empty.csv").write_text("")
     parts = read_market_parts(spark, str(tmp_path / "empty.csv"))
