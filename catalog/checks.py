@@ -42,7 +42,7 @@ def _rules_sql() -> str:
 
 @query("dq_not_null_unique", "table_name:text column_name:text rule:text violations:int", _rules_sql())
 def dq_not_null_unique(spark, folder):
-    """Every declared not-null and unique rule with its number of violations, one pass per table."""
+    """Every declared not-null and unique rule with its number of violations, one pass per table and one shuffle for all."""
     from gridcast.plans import features, marts
     from gridcast.session import settle
 
@@ -60,11 +60,7 @@ def dq_not_null_unique(spark, folder):
         "energy_features": energy, "weather_features": snapshots[0], "generation_features": snapshots[1], "intertie_features": snapshots[2],
         "training_set": marts.training_set(energy, *snapshots), "market_overview": marts.market_overview(energy), "peak_events": marts.peak_events(energy),
     }
-    counted = None
-    for name, (_, not_null, unique) in RULES.items():
-        one = quality.null_and_duplicate_counts(name, tables[name], not_null, unique)
-        counted = one if counted is None else counted.unionByName(one)
-    return counted
+    return quality.rule_violations({name: (tables[name], not_null, unique) for name, (_, not_null, unique) in RULES.items()})
 
 
 TRAINING_KEYS = "training_row_id:text horizon_hours:int feature_as_of_timestamp_utc:ts feature_max_source_timestamp_utc:ts target_timestamp_utc:ts"

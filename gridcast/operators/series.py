@@ -38,6 +38,52 @@ def row_index(
     return spanned.join(starts, [*keys, "_span"]).selectExpr(*df.columns, place)
 
 
+def _two_sum(a: str, b: str) -> str:
+    """What the rounding of a + b leaves out, exactly."""
+    grown = f"(({a} + {b}) - {a})"
+    return f"(({a} - (({a} + {b}) - {grown})) + ({b} - {grown}))"
+
+
+def _frame_sums(df: DataFrame, column: str, frames: set[int], over: str) -> DataFrame:
+    """Add `_sum_{column}_{rows}`, the rounded sum of the last `rows` values, for each of `frames`.
+
+    A sum of 2k rows is that of k rows plus the one that ends k rows earlier, and
+    a frame is put together from such sums by its binary digits: 168 rows take
+    nine lags instead of 168 reads. A sum is a pair of doubles, its rounded
+    total and what rounding left out, so nothing is lost to the order of the
+    additions, nothing is ever subtracted, and a frame's sum depends on its
+    rows alone. Nulls and NaN add nothing; an infinite total stays as it is.
+    """
+    def high(rows): return f"_high_{column}_{rows}"
+    def low(rows): return f"_low_{column}_{rows}"
+
+    def plus(df, own, other, back, name):
+        """The pair `own` plus the pair `other` of `back` rows before, as pair `name`."""
+        far = df.selectExpr("*", *[f"lag({part(other)}, {back}, 0D) over {over}) as _far{part('')}" for part in (high, low)])
+        far_high, far_low = f"_far{high('')}", f"_far{low('')}"
+        return far.selectExpr(
+            "*", f"{high(own)} + {far_high} as {high(name)}",
+            f"{low(own)} + {far_low} + {_two_sum(high(own), far_high)} as {low(name)}",
+        ).drop(far_high, far_low)
+
+    kept = df.columns
+    summed = df.selectExpr("*", f"coalesce(nanvl(cast({column} as double), null), 0D) as {high(1)}", f"0D as {low(1)}")
+    for level in range(max(frames).bit_length() - 1):
+        summed = plus(summed, 2**level, 2**level, 2**level, 2 ** (level + 1))
+    for rows in sorted(frames):
+        digits = [2**d for d in reversed(range(rows.bit_length())) if rows >> d & 1]
+        reached = digits[0]
+        for digit in digits[1:]:
+            name = reached + digit
+            if high(name) not in summed.columns:
+                summed = plus(summed, reached, digit, reached, name)
+            reached = name
+    infinite = "double('Infinity')"
+    return summed.selectExpr(*kept, *[
+        f"if(abs({high(rows)}) < {infinite}, {high(rows)} + {low(rows)}, {high(rows)}) as _sum_{column}_{rows}"
+        for rows in sorted(frames)])
+
+
 def lags_and_means(
     df: DataFrame,
     ts: str,
@@ -51,8 +97,8 @@ def lags_and_means(
     A mean covers the current row and the `rows - 1` before it, skips nulls and
     uses what there is at the start. Of decimals and whole numbers it is the
     difference of two exact running sums, so a frame of 168 rows costs no more
-    than one of 24. Of doubles it is the plain average of the frame, because
-    differences of sums would lose digits; NaN is skipped like null.
+    than one of 24. Differences of doubles would lose digits, so doubles are
+    summed by `_frame_sums`; NaN is skipped like null.
     """
     keys = list(keys)
     reach = max(rows for _, rows in [*lags.values(), *means.values()])
@@ -68,26 +114,30 @@ def lags_and_means(
     running = f"over {over} rows between unbounded preceding and current row)"
     types = dict(df.dtypes)
 
-    sums, exactly = [], set()
+    sums, doubles = [], {}
     whole = {"tinyint", "smallint", "int", "bigint"}
+    for column, rows in means.values():
+        if "decimal" not in types[column] and types[column] not in whole:
+            doubles.setdefault(column, set()).add(rows)
     for source in dict.fromkeys(column for column, _ in means.values()):
-        if "decimal" not in types[source] and types[source] not in whole:
+        if source in doubles:
+            sums.append(f"count(nanvl(cast({source} as double), null)) {running} as _n_{source}")
             continue
         exact = source if "decimal" in types[source] else f"cast({source} as decimal(20,0))"
-        exactly.add(source)
         sums += [f"coalesce(sum({exact}) {running}, 0) as _sum_{source}", f"count({exact}) {running} as _n_{source}"]
+    summed = bucketed.selectExpr("*", *sums)
+    for column, frames in doubles.items():
+        summed = _frame_sums(summed, column, frames, over)
 
     added = [f"lag({column}, {rows}) over {over}) as {name}" for name, (column, rows) in lags.items()]
     for name, (column, rows) in means.items():
-        if column not in exactly:
-            frame = f"over {over} rows between {rows - 1} preceding and current row)"
-            added.append(f"avg(nanvl(cast({column} as double), null)) {frame} as {name}")
-            continue
         total = f"(_sum_{column} - coalesce(lag(_sum_{column}, {rows}) over {over}), 0))"
+        if column in doubles:
+            total = f"_sum_{column}_{rows}"
         count = f"(_n_{column} - coalesce(lag(_n_{column}, {rows}) over {over}), 0))"
         added.append(f"case when {count} > 0 then cast({total} as double) / {count} end as {name}")
     return (
-        bucketed.selectExpr("*", *sums).selectExpr("*", *added)
+        summed.selectExpr("*", *added)
         .where("_bucket = _own")
         .select(*df.columns, *lags, *means)
     )

@@ -2,24 +2,61 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridcast.contracts import HORIZONS
 
 
-def null_and_duplicate_counts(name: str, df: DataFrame, not_null: list[str], unique: list[str] = ()) -> DataFrame:
-    """One row per declared rule with its violations, from a single pass over the table."""
-    rules = [(c, "not_null", F.count_if(F.col(c).isNull())) for c in not_null]
-    rules += [(c, "unique", F.count(c) - F.count_distinct(c)) for c in unique]
-    counted = df.agg(*[number.alias(f"_{i}") for i, (_, _, number) in enumerate(rules)])
+def rule_violations(tables: dict[str, tuple[DataFrame, list[str], list[str]]]) -> DataFrame:
+    """One row per declared rule with its violations: name -> (table, not null, unique).
+
+    Each table is read once. A row gives (rule, value) for every unique column and
+    (rule, null) where a value is missing; these are counted inside the tasks
+    first, so all rules of all tables share one shuffle, no row is expanded per
+    distinct count, and a frequent value is one row per task. Nulls do not
+    violate `unique`; 0.0 equals -0.0 and NaN equals NaN.
+    """
+    rules, found = [], None
+    for name, (df, not_null, unique) in tables.items():
+        types, entries = dict(df.dtypes), []
+        for column in not_null:
+            entries.append(F.when(F.col(column).isNull(), F.struct(F.lit(len(rules)).alias("_rule"), F.lit(None).cast("string").alias("_value"))))
+            rules.append((name, column, "not_null"))
+        for column in unique:
+            entries.append(F.when(F.col(column).isNotNull(), F.struct(F.lit(len(rules)).alias("_rule"), _as_text(column, types[column]).alias("_value"))))
+            rules.append((name, column, "unique"))
+        if entries:
+            one = df.select(F.explode(F.array_compact(F.array(*entries))).alias("_e")).select("_e.*")
+            found = one if found is None else found.unionByName(one)
+    if found is None:
+        raise ValueError("no rules")
+    values = found.groupBy("_rule", "_value").agg(F.count(F.lit(1)).alias("_rows"))
+    beyond = {"not_null": F.col("_rows"), "unique": F.col("_rows") - 1}
+    counted = values.agg(*[
+        F.coalesce(F.sum(F.when(F.col("_rule") == i, beyond[rule])), F.lit(0)).alias(f"_{i}") for i, (_, _, rule) in enumerate(rules)])
     entries = ", ".join(
         f"struct('{name}' as table_name, '{column}' as column_name, '{rule}' as rule, _{i} as violations)"
-        for i, (column, rule, _) in enumerate(rules)
-    )
+        for i, (name, column, rule) in enumerate(rules))
     return counted.selectExpr(f"inline(array({entries}))")
 
 
+def _as_text(column: str, kind: str) -> Column:
+    """Text that differs exactly where the values do."""
+    if kind in ("float", "double"):
+        return F.when(F.col(column) == 0, "0").otherwise(F.col(column).cast("string"))
+    if kind == "binary":
+        return F.hex(column)
+    if kind.startswith(("array", "struct")):
+        return F.to_json(F.struct(column), {"ignoreNullFields": "false"})
+    return F.col(column).cast("string")
+
+
+def null_and_duplicate_counts(name: str, df: DataFrame, not_null: list[str], unique: list[str] = ()) -> DataFrame:
+    """One row per declared rule of one table with its violations."""
+    return rule_violations({name: (df, list(not_null), list(unique))})
+
+
 def future_leakage(training: DataFrame) -> DataFrame:
     return training.where("feature_max_source_timestamp_utc > feature_as_of_timestamp_utc")
 

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import math
+import random
 
 import pytest
 from pyspark.sql import Window
@@ -168,6 +170,35 @@ def test_means_of_doubles_keep_small_and_large_values(spark):
     assert got[1]["whole"] == 1e17
 
 
+@pytest.mark.parametrize("bucket_rows", [200, 10_000])
+def test_means_of_doubles_are_exact_sums_in_one_pass(spark, bucket_rows):
+    draw = random.Random(5)
+    values = [draw.choice([1.0, -1.0]) * draw.random() * 10.0 ** draw.randint(-6, 12) for _ in range(700)]
+    for at in range(0, 700, 50):
+        values[at] = None
+    values[25] = float("nan")
+    df = spark.createDataFrame(list(enumerate(values)), "h int, v double").selectExpr(
+        "timestamp'2024-01-01' + make_dt_interval(0, h) as ts", "v", "h")
+    means = {f"m{n}": ("v", n) for n in (1, 2, 3, 7, 24, 168)}
+    result = lags_and_means(df, "ts", {}, means, bucket_rows=bucket_rows)
+    got = result.orderBy("h").collect()
+    for name, (_, n) in means.items():
+        for at, row in enumerate(got):
+            frame = [v for v in values[max(0, at - n + 1):at + 1] if v is not None and v == v]
+            assert row[name] == (math.fsum(frame) / len(frame) if frame else None), (name, at)
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert "specifiedwindowframe(RowFrame, -167" not in plan and "specifiedwindowframe(RowFrame, -23," not in plan
+
+
+def test_means_of_doubles_keep_infinity_inside_its_frame(spark):
+    inf = float("inf")
+    values = [1.0, inf, 2.0, 3.0, -inf, inf, 4.0, 5.0]
+    df = spark.createDataFrame(list(enumerate(values)), "h int, v double").selectExpr(
+        "timestamp'2024-01-01' + make_dt_interval(0, h) as ts", "v", "h")
+    got = [r["m"] for r in lags_and_means(df, "ts", {}, {"m": ("v", 2)}).orderBy("h").collect()]
+    assert got[:5] == [1.0, inf, inf, 2.5, -inf] and math.isnan(got[5]) and got[6:] == [inf, 4.5]
+
+
 def test_close_values_spread_over_many_spans(spark):
     from gridcast.operators import ranks
 

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from gridcast.plans import quality, reports
 from tests.conftest import rows
 
@@ -64,3 +66,31 @@ def test_violations_are_found(spark):
     assert rows(quality.absent_horizons(df, [1, 24])) == [(24,)]
     counted = quality.null_and_duplicate_counts("t", spark.createDataFrame([(1,), (1,), (None,)], "c int"), ["c"], ["c"])
     assert rows(counted) == [("t", "c", "not_null", 1), ("t", "c", "unique", 1)]
+
+
+def test_rules_of_many_tables_share_one_shuffle(spark):
+    first = spark.createDataFrame(
+        [(1, 0.0, "x", b"a", [1]), (1, -0.0, "x", b"a", [1]), (2, float("nan"), None, b"b", [None]), (None, float("nan"), "", None, [])],
+        "i int, d double, s string, b binary, a array<int>")
+    second = spark.range(1000).selectExpr("if(id < 400, 0, id) as i", "timestamp'2024-01-01' + make_dt_interval(0, cast(id div 2 as int)) as t")
+    unique = ["i", "d", "s", "b", "a"]
+    tables = {"first": (first, ["i", "s"], unique), "second": (second, ["t"], ["i", "t"]), "empty": (second.limit(0), ["i"], ["i"])}
+    checked = quality.rule_violations(tables)
+    expected = []
+    for name, (df, not_null, distinct) in tables.items():
+        expected += [(name, c, "not_null", df.where(F.col(c).isNull()).count()) for c in not_null]
+        expected += [(name, c, "unique", df.agg((F.count(c) - F.count_distinct(c)).alias("n")).first()["n"]) for c in distinct]
+    assert sorted(rows(checked)) == sorted(expected)
+    only = quality.rule_violations({"second": (second, ["t"], ["i", "t"])})._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in only and only.count("Exchange hashpartitioning") == 1
+
+
+def test_raw_quality_counts_all_tables_in_one_shuffle(spark):
+    df = spark.createDataFrame(
+        [("2024-01-01", "2024-01-05", 1), ("2024-01-01", "2024-01-06", None), (None, "2024-01-07", 3)],
+        "interval_start_utc string, ingested_at string, v int")
+    got = reports.raw_quality({"a": (df, "v"), "none": (df.limit(0), "v")})
+    assert sorted(rows(got)) == [
+        ("a", 3, "2024-01-01", "2024-01-01", "2024-01-07", 1, 2), ("none", 0, None, None, None, 0, 0)]
+    plan = reports.raw_quality({"a": (df, "v")})._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan
