@@ -10,10 +10,11 @@ and a point later than all first points seen needs no look, so a signature costs
 little more than one number per shingle.
 
 Documents of equal words are one node. Nodes that share a band meet in a bucket;
-each is verified, on its words, against the smallest node of the bucket. What hangs
-together by shared bands is a family. Where a family holds several components, the
-nodes outside its largest one are compared with all others, block by block, so that
-no link between nodes that share a band is lost, though no family gives out pairs.
+each is verified, on its words, against the smallest node of the bucket. Where a
+bucket then still holds several components, the nodes outside its largest one are
+compared with all others of the bucket, block by block, so that no link between nodes
+that share a band is lost, though no bucket gives out pairs. Texts that only hang
+together by a chain of buckets are never compared.
 """
 
 from __future__ import annotations
@@ -33,9 +34,9 @@ from gridcast.operators.groups import join_small_groups
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 32, 5  # a pair of similarity 0.8 shares no band with probability 3e-6
-BLOCK = 256  # nodes of a family that are compared with as many others at a time
+BLOCK = 256  # nodes of a bucket that are compared with as many others at a time
 SALT_ROWS = 256  # members that are verified against one copy of their centre
-LARGE_CLASS = 1000  # rows of a class that is brought to its rows
+LARGE_CLASS = 1000  # rows of a class, or nodes of a bucket, that is brought to its rows
 BROADCAST_IDS = 4_000_000  # ids of 8 bytes that may be sent to every task
 _COLUMNS = 4096
 _HASH_BITS = 52
@@ -216,6 +217,27 @@ def block_links(left: list[np.ndarray], right: list[np.ndarray], least: float) -
     return both >= least * (sizes[0][:, None] + sizes[1][None, :] - both)
 
 
+def mixed_buckets(shared: DataFrame, found: DataFrame) -> DataFrame:
+    """(family, node, component) for the buckets of `shared(band, node)` that hold several components.
+
+    Buckets of the same nodes are one family. A bucket of two is left out: its one pair has been verified.
+    """
+    placed = shared.join(found, "node", "left").select(
+        F.col("band").alias("family"), "node", F.coalesce("component", "node").alias("component"))
+    several = placed.groupBy("family").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"),
+        F.bit_xor(F.xxhash64("node")).alias("name"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("other_name"),
+    ).where("low != high and n > 2")
+    single = several.groupBy("n", "name", "other_name").agg(F.min("family").alias("family")).select("family", "n")
+    return _by_size(placed, written(single, "mixed"), "family").drop("n")
+
+
+def _by_size(rows: DataFrame, groups: DataFrame, key: str) -> DataFrame:
+    """`rows` with `groups(key, n, ...)`: groups of more than LARGE_CLASS rows go to the rows, rows of the others are joined."""
+    large = F.col("n") > LARGE_CLASS
+    return rows.join(groups.where(~large), key).unionByName(join_small_groups(rows, groups.where(large), [key]))
+
+
 def family_links(placed: DataFrame, rows: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """Links across the components of each family of `placed(family, node, component)`, as edges (a, b).
 
@@ -224,11 +246,10 @@ def family_links(placed: DataFrame, rows: DataFrame, least: float = SIMILARITY)
     the texts of both and gives each linked node one edge to a representative.
     """
     sizes = placed.groupBy("family", "component").agg(F.count("*").alias("n"))
-    families = sizes.groupBy("family").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("all")).where(
-        "all > top.n and all > 2"  # the one pair of a family of two has been verified
-    ).select("family", F.col("top.component").alias("main"), F.ceil(F.col("top.n") / BLOCK).cast("int").alias("mains"),
-             F.ceil((F.col("all") - F.col("top.n")) / BLOCK).cast("int").alias("others"))
-    dealt = placed.join(families, "family").withColumn("outside", F.col("component") != F.col("main"))
+    families = sizes.groupBy("family").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("n")).where("n > top.n").select(
+        "family", "n", F.col("top.component").alias("main"), F.ceil(F.col("top.n") / BLOCK).cast("int").alias("mains"),
+        F.ceil((F.col("n") - F.col("top.n")) / BLOCK).cast("int").alias("others"))
+    dealt = _by_size(placed, written(families, "families"), "family").withColumn("outside", F.col("component") != F.col("main"))
     at = lambda count: F.pmod(F.xxhash64("node"), count).cast("int")
     dealt = dealt.withColumn("own", F.when(F.col("outside"), at(F.col("others"))).otherwise(F.col("others") + at(F.col("mains"))))
     every = F.sequence(F.lit(0), F.when(F.col("outside"), F.col("others") + F.col("mains")).otherwise(F.col("others")) - 1)
@@ -285,16 +306,14 @@ def near_classes(rows: DataFrame) -> DataFrame:
     nodes = written(signed.where("digest is not null").groupBy("digest").agg(F.min("key").alias("node")), "nodes")
     first = signed.join(nodes, "digest").where("key = node").dropDuplicates(["digest"])
     banded = written(first.select("node", F.explode("bands").alias("band")), "bands")
-    buckets = banded.groupBy("band").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
-    tried = written(
-        banded.join(buckets, "band").where("node != a").select("a", F.col("node").alias("b")).distinct(), "pairs"
-    )
+    buckets = banded.groupBy("band").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1")
+    shared = written(_by_size(banded, written(buckets, "buckets"), "band").drop("n"), "shared")
+    tried = written(shared.where("node != a").select("a", F.col("node").alias("b")).distinct(), "pairs")
     links = written(verified(tried, rows), "links")
     found = written(components(links), "components")
 
-    family = components(tried).select("node", F.col("component").alias("family"))
-    placed = family.join(found, "node", "left").select("family", "node", F.coalesce("component", "node").alias("component"))
-    links = links.unionByName(written(family_links(written(placed, "families"), rows), "links"))
+    placed = written(mixed_buckets(shared.select("band", "node"), found), "placed")
+    links = links.unionByName(written(family_links(placed, rows), "links"))
     found = written(components(links), "components")
     classes = nodes.join(found, "node", "left").select("digest", F.coalesce("component", "node").alias("class"))
     return signed.select("key", "digest").join(classes, "digest", "left").select("key", F.coalesce("class", "key").alias("class"))
