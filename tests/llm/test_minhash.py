@@ -116,3 +116,16 @@ def test_signatures_estimate_weighted_similarity():
     signed = minhash.bag_signatures(text, minhash.mix(np.concatenate(bags)), np.concatenate(weights), 2, 20000)
     truth = 60 * 5 / (60 * 7 + 20 * 3 + 20)
     assert abs((signed[0] == signed[1]).mean() - truth) < 0.015
+
+
+def test_only_buckets_of_several_components_are_compared_again(spark):
+    buckets = {1: [1, 2, 3], 2: [1, 4, 5], 3: [1, 4, 5], 4: [4, 5], 5: [*range(100, 100 + minhash.LARGE_CLASS), 9]}
+    shared = spark.createDataFrame([(band, node) for band, nodes in buckets.items() for node in nodes], "band long, node long")
+    joined = [(node, 1) for node in (1, 2, 3)] + [(node, 100) for node in buckets[5][:-1]]
+    found = spark.createDataFrame(joined, "node long, component long")
+    got = {}
+    for row in minhash.mixed_buckets(shared, found).collect():
+        got.setdefault(row["family"], []).append((row["node"], row["component"]))
+    component = dict(joined)
+    assert {family: sorted(nodes) for family, nodes in got.items()} == {
+        band: sorted((node, component.get(node, node)) for node in buckets[band]) for band in (2, 5)}
