@@ -6,8 +6,9 @@ bytes of known kind it is therefore certain where one pre-token ends and the nex
 begins, whatever stands around them. Texts are cut at such places, every distinct
 piece is encoded once, and the ids of a text are the ids of its pieces in order.
 Where a byte is of no known kind nothing is cut, so a piece may be longer than a
-pre-token, up to a whole text. New pieces are encoded many at a time, joined to
-longer strings, and told apart by the byte lengths of their tokens.
+pre-token, up to a whole text. A new piece that is one word goes straight to the
+library's BPE model; others are encoded many at a time, joined to longer strings, and
+told apart by the byte lengths of their tokens.
 """
 
 from __future__ import annotations
@@ -19,12 +20,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from gridcast.llm.rolling import pieces
+from gridcast.llm.rolling import mix, pieces
 
 _JOINED_BYTES = 1 << 15
 _AT_ONCE = 8
 _SLICE_BYTES = 1 << 19
 _KNOWN_PIECES = 1 << 17
+_PACKED = 24  # bytes of a piece that is kept, its length among them
 _SPACE, _WHITE, _LETTER, _DIGIT, _SIGN, _OTHER = range(6)
 _KIND = np.full(256, _OTHER, np.uint8)
 _KIND[33:127] = _SIGN
@@ -81,10 +83,43 @@ def _cuts(data: np.ndarray) -> np.ndarray:
     return cut
 
 
+def _ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """first[0], first[0] + 1, ..., then those of first[1]: `size` numbers each."""
+    upto = np.cumsum(size, dtype=np.int64)
+    return np.repeat(first - (upto - size), size) + np.arange(upto[-1] if len(upto) else 0)
+
+
+def _packed(raw: np.ndarray, at: np.ndarray, short: np.ndarray) -> np.ndarray:
+    """The bytes and the length of each `short` piece in _PACKED bytes, as whole numbers."""
+    wide = np.lib.stride_tricks.sliding_window_view(np.append(raw, np.zeros(_PACKED, np.uint8)), _PACKED)[at[:-1][short]]
+    size = np.diff(at)[short]
+    wide[np.arange(_PACKED) >= size[:, None]] = 0
+    wide[:, -1] = size
+    return wide.view(np.uint64)
+
+
+def _hashed(known: np.ndarray) -> np.ndarray:
+    hashes = np.zeros(len(known), np.uint64)
+    for column in known.T:
+        hashes = mix(hashes + column + np.uint64(0x9E3779B97F4A7C15))
+    return hashes
+
+
+def _byte_letters() -> list[str]:
+    """The character that stands for each byte in the tokens of byte-level tokenizers."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return [chr(b if b in shown else next(others)) for b in range(256)]
+
+
+_BYTE_LETTERS = _byte_letters()
+
+
 class PieceEncoder:
     """Encodes batches with the byte-level BPE tokenizer in the JSON file at `path`.
 
-    Pieces stay known for later batches, up to _KNOWN_PIECES of them.
+    Pieces shorter than _PACKED bytes stay known for later batches, up to _KNOWN_PIECES of them; beyond
+    that, those that were asked for again are kept. They are found by a hash and compared byte by byte.
     """
 
     def __init__(self, path: str):
@@ -92,8 +127,9 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        if hasattr(self.tokenizer.model, "_resize_cache"):
-            self.tokenizer.model._resize_cache(0)  # every piece is new to it
+        self.model = self.tokenizer.model
+        if hasattr(self.model, "_resize_cache"):
+            self.model._resize_cache(0)  # every piece is new to it
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         # the characters of a byte-level token stand for one byte each
         self.token_bytes = np.array([len(self.tokenizer.id_to_token(i)) for i in range(size)], np.int64)
@@ -103,10 +139,44 @@ class PieceEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known = pa.array([], pa.large_string())
-        self.first = self.size = np.zeros(0, np.int64)
+        # by hash: hashes, and the numbers of their pieces; by number: bytes and length, first id, number of ids, use
+        self.hashes, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.known = np.zeros((0, _PACKED // 8), np.uint64)
+        self.first = self.size = np.zeros(0, np.int32)
+        self.again = np.zeros(0, bool)
         self.pool = np.zeros(0, np.uint32)
 
+    def _shrink(self) -> None:
+        """Keep what was asked for again; nothing if that is most of it."""
+        kept = np.flatnonzero(self.again)
+        known, first, size, pool = self.known[kept], self.first[kept], self.size[kept], self.pool
+        self._forget()
+        if 2 * len(kept) <= _KNOWN_PIECES:
+            self._remember(known, size, pool[_ranges(first, size)])
+
+    def _remember(self, known: np.ndarray, size: np.ndarray, ids: np.ndarray) -> None:
+        hashes = _hashed(known)
+        order = np.argsort(hashes, kind="stable")
+        place = np.searchsorted(self.hashes, hashes[order])
+        self.hashes = np.insert(self.hashes, place, hashes[order])
+        self.numbers = np.insert(self.numbers, place, (len(self.known) + order).astype(np.int32))
+        self.known = np.concatenate([self.known, known])
+        self.first = np.append(self.first, (len(self.pool) + np.cumsum(size) - size).astype(np.int32))
+        self.size = np.append(self.size, size.astype(np.int32))
+        self.again = np.append(self.again, np.zeros(len(known), bool))
+        self.pool = np.append(self.pool, ids)
+
+    def _find(self, known: np.ndarray) -> np.ndarray:
+        """The number of each packed piece, -1 if it is not known. Of several with one hash the first is found."""
+        if not len(self.hashes):
+            return np.full(len(known), -1)
+        hashes = _hashed(known)
+        order = np.argsort(hashes)
+        place = np.empty(len(known), np.int64)
+        place[order] = np.searchsorted(self.hashes, hashes[order])
+        number = self.numbers[np.minimum(place, len(self.hashes) - 1)]
+        return np.where((self.known[number] == known).all(1), number, -1)
+
     def _ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         # few at a time: an encoding takes far more memory than its ids
         found = [np.zeros(0, np.uint32)]
@@ -130,28 +200,43 @@ class PieceEncoder:
             raise ValueError("a token of this tokenizer crosses the border of two pre-tokens")
         return ids, np.diff(np.append(0, last + 1))
 
-    def _learn(self, pieces: pa.Array) -> None:
+    def _words(self, raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces that are one pre-token each, without another look for pre-tokens, and the number of ids of each."""
+        text = raw.tobytes().decode("latin-1").translate(_BYTE_LETTERS)
+        bounds, ids, sizes = at.tolist(), [], []
+        for a, b in zip(bounds, bounds[1:]):
+            found = self.model.tokenize(text[a:b])
+            sizes.append(len(found))
+            ids += [token.id for token in found]
+        return np.array(ids, np.uint32), np.array(sizes, np.int64)
+
+    def _new(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces in order, and the number of ids of each."""
         raw, at = text_bytes(pieces)
-        kind = _KIND[raw]
-        start, second = at[:-1], np.minimum(at[:-1] + 1, len(raw) - 1)
+        kind, start, long = _kinds(raw), at[:-1], np.diff(at)
         plain = (kind >= _LETTER) & (kind <= _SIGN)
-        spaced = (np.diff(at) > 1) & (kind[start] == _SPACE) & plain[second]
+        spaced = (long > 1) & (kind[start] == _SPACE) & plain[np.minimum(start + 1, len(raw) - 1)]
         bare = plain[start]
+        # letters to the end, after one space at most
+        letters = np.add.reduceat(kind == _LETTER, start, dtype=np.int64)
+        word = (letters > 0) & (letters + spaced == long)
+        spaced, bare = spaced & ~word, bare & ~word
+        rest = ~(spaced | bare | word)
         groups = []
+        ids, sizes = self._words(*text_bytes(pieces.filter(pa.array(word))))
+        groups.append((word, ids, np.cumsum(sizes) - sizes, sizes))
         ids, sizes = self._joined(pieces.filter(pa.array(spaced)))
         groups.append((spaced, ids, np.cumsum(sizes) - sizes, sizes))
         # a line end before a word is a token of its own
         ids, sizes = self._joined(pc.binary_join_element_wise(_EMPTY, pieces.filter(pa.array(bare)), _LINE))
         groups.append((bare, ids, np.cumsum(sizes) - sizes + 1, sizes - 1))
-        rest = ~(spaced | bare)
         ids, sizes = self._ids(pieces.filter(pa.array(rest)).to_pylist())
         groups.append((rest, ids, np.cumsum(sizes) - sizes, sizes))
-        first, size = np.empty(len(pieces), np.int64), np.empty(len(pieces), np.int64)
-        for mine, ids, begin, sizes in groups:
-            first[mine], size[mine] = begin + len(self.pool), sizes
-            self.pool = np.concatenate([self.pool, ids])
-        self.known = pa.concat_arrays([self.known, pieces])
-        self.first, self.size = np.append(self.first, first), np.append(self.size, size)
+        first, size, begin = np.empty(len(pieces), np.int64), np.empty(len(pieces), np.int64), 0
+        for mine, ids, at, sizes in groups:
+            first[mine], size[mine] = at + begin, sizes
+            begin += len(ids)
+        return np.concatenate([ids for _, ids, _, _ in groups])[_ranges(first, size)], size
 
     def _slice(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not len(data):
@@ -175,16 +260,25 @@ class PieceEncoder:
         cut[begin[filled]] = True
         bounds = np.flatnonzero(cut)
         coded = strings(data, bounds).dictionary_encode()
-        pieces = coded.dictionary.cast(pa.large_string())
-        place = pc.index_in(pieces, self.known)
-        if place.null_count:
-            self._learn(pieces.filter(place.is_null()))
-            place = pc.index_in(pieces, self.known)
-        which = place.to_numpy()[coded.indices.to_numpy()]
-        taken = self.size[which]
+        distinct, which = coded.dictionary.cast(pa.large_string()), coded.indices.to_numpy()
+        raw, at = text_bytes(distinct)
+        short = np.diff(at) < _PACKED
+        known = _packed(raw, at, short)
+        number = np.full(len(distinct), -1)
+        number[short] = self._find(known)
+        new = number < 0
+        self.again[number[~new]] = True
+        first, size, pool = np.empty(len(distinct), np.int64), np.empty(len(distinct), np.int64), self.pool
+        first[~new], size[~new] = self.first[number[~new]], self.size[number[~new]]
+        if new.any():
+            ids, sizes = self._new(distinct.filter(pa.array(new)))
+            first[new], size[new] = len(pool) + np.cumsum(sizes) - sizes, sizes
+            pool = np.append(pool, ids)
+            kept = short[new]
+            self._remember(known[new[short]], sizes[kept], ids[np.repeat(kept, sizes)])
+        taken = size[which]
         upto = np.append(0, np.cumsum(taken))
-        flat = self.pool[np.repeat(self.first[which] - upto[:-1], taken) + np.arange(upto[-1])]
-        return flat, np.diff(upto[np.searchsorted(bounds, offsets)])
+        return pool[_ranges(first[which], taken)], np.diff(upto[np.searchsorted(bounds, offsets)])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in one array, and the number of ids of each text."""
@@ -192,7 +286,7 @@ class PieceEncoder:
         ids, counts = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
         for a, b in pieces(offsets, _SLICE_BYTES):
             if len(self.known) > _KNOWN_PIECES:
-                self._forget()
+                self._shrink()
             flat, n = self._slice(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
             ids.append(flat)
             counts.append(n)

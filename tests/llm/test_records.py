@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from gridcast.llm import records
+from gridcast.llm import records, tokens
 from gridcast.llm.queries import tokenizer_path
 from gridcast.llm.tokens import PieceEncoder
 
@@ -95,3 +95,38 @@ def test_damage_is_seen():
             records.unframe(memoryview(bytes(bad)), 0)
     with pytest.raises(ValueError):
         records.unframe(memoryview(good[:-1]), 0)
+
+
+class Counting(PieceEncoder):
+    """Notes every piece that is encoded."""
+
+    def __init__(self, path):
+        super().__init__(path)
+        self.made = []
+
+    def _new(self, pieces):
+        self.made += pieces.to_pylist()
+        return super()._new(pieces)
+
+
+def encoded(encoder, texts):
+    ids, counts = encoder.encode(pa.array(texts))
+    assert ids.tolist() == [i for t in texts for i in plain(t)]
+    assert counts.tolist() == [len(plain(t)) for t in texts]
+
+
+def test_pieces_that_come_again_stay_known(monkeypatch):
+    monkeypatch.setattr(tokens, "_KNOWN_PIECES", 100)
+    encoder = Counting(PATH)
+    for i in range(40):
+        encoded(encoder, ["ever über again " + " ".join(f"w{chr(97 + i % 26)}{'x' * j}" for j in range(i % 20, i % 20 + 12)) + " ñu"])
+    assert len(encoder.known) < 200
+    for piece in ("ever", " über", " again", " ñu"):
+        assert encoder.made.count(piece) == 1
+
+
+def test_pieces_of_one_hash_are_told_apart(monkeypatch):
+    monkeypatch.setattr(tokens, "_hashed", lambda known: np.zeros(len(known), np.uint64))
+    encoder = PieceEncoder(PATH)
+    for _ in range(3):
+        encoded(encoder, ["one two three\0 three", "two  one", "×one ñoño " + "long" * 20 + " " + "y" * 22 + " " + "y" * 23])
