@@ -33,6 +33,7 @@ from gridcast.llm.tokens import PieceEncoder
 END_ID = 2
 SHARD_BYTES = 32 << 20  # of text; ids take about half of it
 BATCH_ROWS = 512
+_STRETCH = 1 << 20
 _LENGTH, _HEAD, _BODY, _CRC = "<Q", "<QI", "<BBq", "<I"
 _HEAD_SIZE, _BODY_SIZE, _CRC_SIZE = (struct.calcsize(f) for f in (_HEAD, _BODY, _CRC))
 _INDEX = ("path string, shard int, part int, record long, doc_id long, offset long, length long, n_tokens long, "
@@ -97,32 +98,63 @@ def write_records(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_
     framed = ordered.mapInArrow(frames, "value binary").select(F.col("value").cast("string"))
     with arrow_batches(spark, BATCH_ROWS):
         framed.write.option("lineSep", "\n").text(f"{path}/shards")
-    walk_shards(spark, path).write.parquet(f"{path}/index")
+    with arrow_batches(spark, 1):
+        walk_shards(spark, path).write.parquet(f"{path}/index")
 
 
-def walk_shards(spark: SparkSession, path: str) -> DataFrame:
-    """One row per frame of all shards, from the files alone; every checksum is verified."""
-    files = (
+def frame_size(data: memoryview, at: int) -> int:
+    """Bytes of the frame at `at` as far as its beginning tells; a length that is damaged counts as none, for unframe to see."""
+    if at + _HEAD_SIZE > len(data):
+        return _HEAD_SIZE
+    length, crc = struct.unpack_from(_HEAD, data, at)
+    return _HEAD_SIZE + (length + _CRC_SIZE + 1 if masked(bytes(data[at:at + 8])) == crc else 0)
+
+
+def stretches(spark: SparkSession, path: str) -> DataFrame:
+    """The shards' files in stretches of at most _STRETCH bytes, those of a file in order; `ends` marks its last."""
+    last = f"greatest(length - 1, 0L) div {_STRETCH}"
+    return (
         spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{path}/shards")
+        .select("path", "content", "length", F.explode(F.expr(f"sequence(0L, {last})")).alias("i"))
         .select("path", F.regexp_extract("path", r"part-(\d+)", 1).cast("int").alias("shard"),
-                F.coalesce(F.expr(r"try_cast(regexp_extract(path, '-c(\\d+)[.]', 1) as int)"), F.lit(0)).alias("part"), "content")
+                F.coalesce(F.expr(r"try_cast(regexp_extract(path, '-c(\\d+)[.]', 1) as int)"), F.lit(0)).alias("part"),
+                F.expr(f"i = {last}").alias("ends"), F.expr(f"substring(content, cast(i * {_STRETCH} + 1 as int), {_STRETCH})").alias("content"))
     )
 
+
+def walk_shards(spark: SparkSession, path: str) -> DataFrame:
+    """One row per frame of all shards, from the files alone; every checksum is verified.
+
+    Files come to Python in stretches, one at a time for an action inside `arrow_batches(spark, 1)`;
+    a frame that goes on in the next stretch waits for it.
+    """
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [f.split()[0] for f in _INDEX.split(", ")]
+        kinds = [pa.string(), pa.int32(), pa.int32()] + [pa.int64()] * 7
+        parts, size, need, record, offset, start = [], 0, 0, 0, 0, 0
         for batch in batches:
-            for path, shard, part, content in zip(*(batch.column(i) for i in range(4))):
-                data, at, start, out = memoryview(content.as_buffer()), 0, 0, []
+            for path, shard, part, ends, content in zip(*(batch.column(i) for i in range(5))):
+                path, shard, part, ends = path.as_py(), shard.as_py(), part.as_py(), ends.as_py()
+                parts.append(content.as_buffer().to_pybytes())
+                size += len(parts[-1])
+                if size < need and not ends:
+                    continue
+                data, at, out = memoryview(b"".join(parts)), 0, []
                 while at < len(data):
+                    need = frame_size(data, at)
+                    if at + need > len(data) and not ends:
+                        break
                     doc_id, ids, after = unframe(data, at)
                     crc = zlib.crc32(ids.astype("<u4").tobytes())
-                    out.append((path.as_py(), shard.as_py(), part.as_py(), len(out), doc_id, at, after - at, len(ids), start, crc))
-                    at, start = after, start + len(ids)
+                    out.append((path, shard, part, record, doc_id, offset + at, after - at, len(ids), start, crc))
+                    at, record, start = after, record + 1, start + len(ids)
+                parts, size, offset = [bytes(data[at:])], len(data) - at, offset + at
+                if ends:
+                    parts, size, need, record, offset, start = [], 0, 0, 0, 0, 0
                 columns = list(zip(*out)) or [()] * len(names)
-                kinds = [pa.string(), pa.int32(), pa.int32()] + [pa.int64()] * 7
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
-    return files.mapInArrow(walk, _INDEX)
+    return stretches(spark, path).mapInArrow(walk, _INDEX)
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:

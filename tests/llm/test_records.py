@@ -79,6 +79,40 @@ def test_many_shards_keep_the_order(spark, tmp_path, monkeypatch):
     assert [r["start"] for r in index] == np.cumsum([0, *(r["n_tokens"] for r in index)])[:-1].tolist()
 
 
+@pytest.mark.parametrize("stretch", [1, 7, 1000, 1 << 20])
+def test_files_are_walked_in_stretches(spark, tmp_path, monkeypatch, stretch):
+    path = str(tmp_path / "r")
+    rows = [r for r in ROWS if r[0] != 11] + [(11, "word " * 300)]
+    records.write_records(docs_of(spark, rows), path, PATH)
+    want = sorted(map(tuple, spark.read.parquet(f"{path}/index").collect()), key=str)
+    monkeypatch.setattr(records, "_STRETCH", stretch)
+    walked = records.walk_shards(spark, path)
+    assert sorted(map(tuple, walked.collect()), key=str) == want and len(want) == len(rows)
+
+
+def test_no_file_goes_to_python_whole(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(records, "_STRETCH", 1000)
+    path = str(tmp_path / "r")
+    records.write_records(docs_of(spark, ROWS), path, PATH)
+    folder = tmp_path / "r" / "shards"
+    whole = max(f.stat().st_size for f in folder.glob("part-*"))
+    sizes = records.stretches(spark, path).selectExpr("length(content) as n").collect()
+    assert whole > 10_000 and max(r.n for r in sizes) == 1000 and sum(r.n for r in sizes) == sum(
+        f.stat().st_size for f in folder.glob("part-*"))
+
+
+def test_a_file_cut_off_is_seen(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "r")
+    records.write_records(docs_of(spark, ROWS), path, PATH)
+    file = max((tmp_path / "r" / "shards").glob("part-*"), key=lambda f: f.stat().st_size)
+    damaged = tmp_path / "d" / "shards"
+    damaged.mkdir(parents=True)
+    (damaged / file.name).write_bytes(file.read_bytes()[:-3])
+    monkeypatch.setattr(records, "_STRETCH", 1000)
+    with pytest.raises(Exception, match="cut off"):
+        records.walk_shards(spark, str(tmp_path / "d")).collect()
+
+
 def test_empty_table(spark, tmp_path):
     path = str(tmp_path / "r")
     records.write_records(docs_of(spark, []), path, PATH)
