@@ -6,6 +6,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+_FIXED = ("boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "date", "timestamp")
+
+
+def dedup_crowded(df: DataFrame, keys: list[str], order_by: str, tiebreak: list[str] = ()) -> DataFrame:
+    """As `dedup_latest`, for keys with many copies of one `order_by`: these are first brought down by hash aggregation, not
+    sorted. That needs a single `tiebreak` of whole numbers; columns without a fixed width are grouped by."""
+    kinds = dict(df.dtypes)
+    if len(tiebreak) == 1 and kinds[tiebreak[0]] in ("tinyint", "smallint", "int", "bigint"):
+        place = F.coalesce(F.col(tiebreak[0]).cast("long"), F.lit(-(1 << 63)))
+        carried = [c for c in df.columns if c not in (*keys, order_by) and (kinds[c] in _FIXED or kinds[c].startswith("decimal"))]
+        grouped = [c for c in df.columns if c not in carried]
+        # all columns are taken by one order, so they come from one row
+        df = df.groupBy(*grouped).agg(*[F.max_by(c, place).alias(c) for c in carried]).select(*df.columns)
+    return dedup_latest(df, keys, order_by, tiebreak)
+
+
 def dedup_latest(df: DataFrame, keys: list[str], order_by: str, tiebreak: list[str] = ()) -> DataFrame:
     """One row per `keys`: greatest `order_by`, nulls last, then greatest `tiebreak`.
 

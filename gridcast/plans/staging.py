@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from gridcast.functions.coerce import default_text, key_text
-from gridcast.operators.dedup import dedup_latest
+from gridcast.operators.dedup import dedup_crowded, dedup_latest
 from gridcast.sources.feeds import GENERATION, INTERTIE, UNIT_DEFAULT, WEATHER, FeedContract
 
 DEGREE_BASE_C = 18
@@ -43,7 +43,7 @@ def _snapshots(
         *[f"cast({c} as {types.get(c, MW)}) as {c}" for c in feed.numbers],
         "cast(source as string) as source", "cast(ingested_at as timestamp) as ingested_at", *tiebreak,
     )
-    newest = dedup_latest(typed, [feed.issue, feed.target, *keys], "ingested_at", tiebreak)
+    newest = dedup_crowded(typed, [feed.issue, feed.target, *keys], "ingested_at", tiebreak)
     seconds = f"(unix_timestamp({feed.target}) - unix_timestamp({feed.issue}))"
     return newest.selectExpr(
         feed.issue, feed.target, f"cast(round({seconds} / 3600) as int) as {horizon}",

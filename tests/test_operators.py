@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from gridcast.operators import dedup
 from gridcast.operators.asof import Feed, asof_latest
 from gridcast.operators.dedup import dedup_latest
 from gridcast.operators.ranks import exact_quantile, running_counts, top_share, values_at
@@ -252,3 +253,14 @@ def test_quantiles_leave_the_rows_in_place(spark):
         values = want[r["k"]]
         at = 0.5 * (len(values) - 1)
         assert r["quantile"] == values[int(at)] + (values[min(int(at) + 1, len(values) - 1)] - values[int(at)]) * (at - int(at))
+
+
+def test_crowded_keys_are_not_sorted(spark):
+    rows = [("k", 1, 5, 1.5, "a"), ("k", 1, 7, None, "b"), ("k", 1, None, 9.0, "a"), ("k", 0, 99, 3.0, "a"),
+            (None, None, 2, 4.0, None), (None, None, 1, 6.0, None), ("n", 1, None, 8.0, "c")]
+    df = spark.createDataFrame(rows, "k string, at int, id long, v double, s string")
+    got = dedup.dedup_crowded(df, ["k"], "at", ["id"])
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, dedup.dedup_latest(df, ["k"], "at", ["id"]).collect()), key=str)
+    assert ("k", 1, 7, None, "b") in map(tuple, got.collect())
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
