@@ -3,24 +3,28 @@
 Suffix arrays by prefix doubling rank all positions by short prefixes, pair each rank
 with the one at an offset, and rank anew until a position is unique or the threshold
 is passed. Here the same is done for the positions that decide: every LENGTH-byte
-window names the smallest hashed SHORT-byte string inside it, its anchor, and equal
+window names the smallest hashed string of a size inside it, its anchor, and equal
 windows name equal anchors at equal places. So
 
-1. anchors are ranked by their SHORT bytes, paired with the rank of the whole stretch
+1. anchors of SHORT bytes are ranked, paired with the rank of the whole stretch
    of windows that name them. Spark sorts the pairs. A stretch that occurs earlier is
    repeated as a whole; an anchor of one stretch alone is unique and drops out;
-2. windows of what is left, stretches that share an anchor but differ somewhere, are
-   ranked by all LENGTH bytes and sorted by rank and place; all but the first of a
-   rank are repeated.
+2. windows of what is left, stretches that share an anchor but differ somewhere, name
+   anchors of LONG bytes, which are ranked in the same way. Most windows over a byte that
+   differs have an anchor of their own and drop out;
+3. the single windows of what is left then are ranked by their anchor and the LENGTH - LONG
+   bytes around it, which step 2 kept; all but the first of a rank are repeated.
 
 Ranks are 64-bit names of byte strings. Tasks leave out what is repeated within
 themselves before they shuffle, so a string that is everywhere costs one row per task.
+Each step is written, and its shuffle files go before the next one begins.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +37,8 @@ from gridcast.llm.rolling import CHUNK_BYTES, Hasher, mix, pieces
 from gridcast.llm.tokens import text_bytes
 from gridcast.operators.groups import join_small_groups
 
-LENGTH, SHORT = 100, 32
-_SPAN = LENGTH - SHORT + 1
+LENGTH, SHORT, LONG = 100, 32, 84
+_EDGE = LENGTH - LONG
 _FLUSH = 1 << 20
 _PLACE_BITS = 22  # of a place in a slice
 
@@ -52,27 +56,27 @@ def slices(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, np.ndar
                 yield a, part, np.array([0, len(part)]), s
 
 
-def window_anchors(names: np.ndarray) -> np.ndarray:
-    """For each window of _SPAN names the place of its smallest one, the first of equals."""
+def window_anchors(names: np.ndarray, span: int) -> np.ndarray:
+    """For each window of `span` names the place of its smallest one, the first of equals."""
     shift = np.uint64(_PLACE_BITS)
     low = names >> shift << shift | np.arange(len(names), dtype=np.uint64)
     reach = 1
-    while reach * 2 <= _SPAN:
+    while reach * 2 <= span:
         low = np.minimum(low[:-reach], low[reach:])
         reach *= 2
-    rest = _SPAN - reach
+    rest = span - reach
     low = np.minimum(low[:len(low) - rest], low[rest:]) if rest else low
     return (low & np.uint64((1 << _PLACE_BITS) - 1)).astype(np.int64)
 
 
-def anchor_rows(data: np.ndarray, offsets: np.ndarray, hasher: Hasher) -> tuple[np.ndarray, ...]:
-    """Per anchor: text, first and last window, name of its SHORT bytes, name of its stretch."""
+def anchor_rows(data: np.ndarray, offsets: np.ndarray, hasher: Hasher, size: int) -> tuple[np.ndarray, ...]:
+    """Per anchor of `size` bytes: text, first and last window, place of the anchor, its name, name of its stretch."""
     if len(data) < LENGTH:
-        return tuple(np.zeros(0, k) for k in (np.int64, np.int64, np.int64, np.uint64, np.uint64))
+        return tuple(np.zeros(0, k) for k in (np.int64, np.int64, np.int64, np.int64, np.uint64, np.uint64))
     sums = hasher.prefix(data)
-    place = np.arange(len(data) - SHORT + 1)
-    names = hasher.between(sums, place, place + SHORT)
-    anchor = window_anchors(names)
+    place = np.arange(len(data) - size + 1)
+    names = hasher.between(sums, place, place + size)
+    anchor = window_anchors(names, LENGTH - size + 1)
     text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
     window = np.flatnonzero(text[:len(anchor)] == text[LENGTH - 1:])
     anchor = anchor[window]
@@ -81,7 +85,26 @@ def anchor_rows(data: np.ndarray, offsets: np.ndarray, hasher: Hasher) -> tuple[
     high = window[np.append(first[1:], len(window)) - 1] if len(first) else low
     form = ((anchor - low) * LENGTH + (high - low)).astype(np.uint64)
     stretch = mix(hasher.between(sums, low, high + LENGTH) + form)
-    return text[low], low - offsets[text[low]], high - offsets[text[low]], names[anchor], stretch
+    start = offsets[text[low]]
+    return text[low], low - start, high - start, anchor - start, names[anchor], stretch
+
+
+def around(data: np.ndarray, low: np.ndarray, high: np.ndarray, anchor: np.ndarray) -> np.ndarray:
+    """Per stretch of an anchor of LONG bytes the bytes of its windows before and after the anchor, zeros to the full width."""
+    step = np.arange(2 * _EDGE, dtype=np.int32)
+    at = low.astype(np.int32)[:, None] + step
+    at += (step >= (anchor - low)[:, None]) * np.int32(LONG)
+    np.minimum(at, len(data) - 1, out=at)
+    return data[at] * (step < (_EDGE + high - low)[:, None])
+
+
+def window_names(short: np.ndarray, lead: np.ndarray, edges: np.ndarray, skip: np.ndarray) -> np.ndarray:
+    """Names of windows `skip` places after the first of their stretch: of the anchor, its place in the window and the bytes around it."""
+    own = np.take_along_axis(edges, skip[:, None] + np.arange(_EDGE), 1).view(np.uint64)
+    name = mix(short + (lead - skip).astype(np.uint64))
+    for i in range(own.shape[1]):
+        name = mix(name ^ own[:, i])
+    return name
 
 
 def _merged(key: np.ndarray, part: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -99,24 +122,25 @@ def _merged(key: np.ndarray, part: np.ndarray, low: np.ndarray, high: np.ndarray
 
 
 class _Kept:
-    """Rows (short, full, key, part, low, more) of a task, without those whose full name it has seen at an earlier place.
+    """Rows (short, full, key, part, low, high, more) of a task, without those whose full name it has seen at an earlier place.
 
-    A place is the id and where the window starts; at one place there may be texts of several rows, of which none is earlier. With `alone` there is one name, which goes out as the short one.
+    A place is the id and where the window starts; at one place there may be texts of several rows, of which none is earlier.
+    With `alone` there is one name, which goes out as the short one. What is `more` goes out with a row.
     """
 
-    def __init__(self, alone: bool):
-        self.alone, self.parts, self.size = alone, [], 0
+    def __init__(self, alone: bool, most: int = _FLUSH):
+        self.alone, self.most, self.parts, self.size = alone, most, [], 0
 
     def add(self, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
         self.parts.append(columns)
         self.size += len(columns[0])
-        if self.size >= _FLUSH:
+        if self.size >= self.most:
             yield from self.rows()
 
     def rows(self) -> Iterator[pa.RecordBatch]:
         if not self.size:
             return
-        short, full, key, part, low, high = (np.concatenate(c) for c in zip(*self.parts))
+        short, full, key, part, low, high, *more = (np.concatenate(c) for c in zip(*self.parts))
         self.parts, self.size = [], 0
         order = np.lexsort((part, low, key, full))
         short, full, key, part, low, high = (c[order] for c in (short, full, key, part, low, high))
@@ -128,19 +152,27 @@ class _Kept:
         if self.alone:
             full = np.zeros(len(full), np.uint64)
         later = _merged(key[again], part[again], low[again], high[again])
-        yield _batch(False, short[fresh], full[fresh], key[fresh], part[fresh], low[fresh], high[fresh])
+        yield _batch(False, short[fresh], full[fresh], key[fresh], part[fresh], low[fresh], high[fresh], *(c[order[fresh]] for c in more))
         # repeated stretches only pass the shuffle: any name will do that spreads them
-        yield _batch(True, mix(later[0].astype(np.uint64) ^ mix(later[2].astype(np.uint64))), np.zeros(len(later[0]), np.uint64), *later)
+        yield _batch(True, mix(later[0].astype(np.uint64) ^ mix(later[2].astype(np.uint64))), np.zeros(len(later[0]), np.uint64), *later,
+                     *(np.zeros((len(later[0]), *c.shape[1:]), c.dtype) for c in more))
 
 
 _ROW = "again boolean, short long, full long, key long, part long, low long, more long"  # more: windows after the first
+_MORE = ["lead", "edges"]  # of anchors of LONG bytes: their place after the first window's, the bytes around them
+_LONG_ROW = _ROW + ", lead long, edges binary"
 
 
-def _batch(again: bool, short, full, key, part, low, high) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([
+def _batch(again: bool, short, full, key, part, low, high, lead=None, edges=None) -> pa.RecordBatch:
+    columns = [
         pa.array(np.full(len(key), again)), pa.array(short.astype(np.int64)), pa.array(full.astype(np.int64)),
         pa.array(key.astype(np.int64)), pa.array(part.astype(np.int64)), pa.array(low.astype(np.int64)), pa.array((high - low).astype(np.int64)),
-    ], [f.split()[0] for f in _ROW.split(", ")])
+    ]
+    names = [f.split()[0] for f in _ROW.split(", ")]
+    if edges is None:
+        return pa.RecordBatch.from_arrays(columns, names)
+    wide = pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * _EDGE), len(key), [None, pa.py_buffer(np.ascontiguousarray(edges))])
+    return pa.RecordBatch.from_arrays([*columns, pa.array(lead), wide.cast(pa.binary())], [*names, *_MORE])
 
 
 def _anchors(rows: DataFrame) -> DataFrame:
@@ -150,42 +182,66 @@ def _anchors(rows: DataFrame) -> DataFrame:
             data, offsets = text_bytes(batch.column(2))
             keys, parts = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for first, piece, bounds, skipped in slices(data, offsets):
-                text, low, high, short, full = anchor_rows(piece, bounds, hasher)
+                text, low, high, _, short, full = anchor_rows(piece, bounds, hasher, SHORT)
                 yield from kept.add(short, full, keys[first + text], parts[first + text], low + skipped, high + skipped)
         yield from kept.rows()
 
     return rows.mapInArrow(find, _ROW)
 
 
-def _windows(ranged: DataFrame) -> DataFrame:
-    """The same rows for the single windows of `ranged(key, part, text, ranges)`; short and full are one name."""
+def joined_ranges(of: np.ndarray, low: np.ndarray, high: np.ndarray, most: int) -> tuple[np.ndarray, ...]:
+    """Sorted ranges of windows of texts, those joined that follow each other, in parts of at most `most` windows."""
+    if not len(of):
+        return of, low, high
+    first = np.flatnonzero(np.append(True, (of[1:] != of[:-1]) | (low[1:] != high[:-1] + 1)))
+    of, low, high = of[first], low[first], high[np.append(first[1:], len(of)) - 1]
+    count = (high - low) // most + 1
+    nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    of, low, high = np.repeat(of, count), np.repeat(low, count) + nth * most, np.repeat(high, count)
+    return of, low, np.minimum(high, low + most - 1)
+
+
+def _long_anchors(ranged: DataFrame) -> DataFrame:
+    """The same rows for the windows of `ranged(key, part, text, ranges)` by anchors of LONG bytes, with the bytes around them."""
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, kept = Hasher(lower=False), _Kept(alone=True)
+        hasher, kept = Hasher(lower=False), _Kept(alone=False, most=_FLUSH // 4)
         for batch in batches:
             data, offsets = text_bytes(batch.column(2))
             keys, parts, lists = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(3)
             of = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
-            low, high = (lists.flatten().field(i).to_numpy() for i in range(2))
-            for first, piece, bounds, skipped in slices(data, offsets):
-                if skipped or len(bounds) == 2:
-                    mine = np.flatnonzero((of == first) & (high >= skipped) & (low < skipped + CHUNK_BYTES))
-                else:
-                    mine = np.arange(*np.searchsorted(of, [first, first + len(bounds) - 1]))
-                begin = np.maximum(low[mine] - skipped, 0)
-                count = np.minimum(high[mine] - skipped, len(piece) - LENGTH if len(bounds) == 2 else len(data)) - begin + 1
-                text = np.repeat(of[mine] - first, count)
-                place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(begin, count)
-                at = bounds[text] + place
-                name = hasher.between(hasher.prefix(piece), at, at + LENGTH)
-                yield from kept.add(name, name, keys[first + text], parts[first + text], place + skipped, place + skipped)
+            of, begin, end = joined_ranges(of, *(lists.flatten().field(i).to_numpy() for i in range(2)), CHUNK_BYTES)
+            ends = np.append(0, np.cumsum(end - begin + LENGTH))
+            for a, b in pieces(ends):
+                bounds = ends[a:b + 1] - ends[a]
+                piece = data[np.arange(bounds[-1]) + np.repeat(offsets[of[a:b]] + begin[a:b] - bounds[:-1], np.diff(bounds))]
+                nth, low, high, anchor, short, full = anchor_rows(piece, bounds, hasher, LONG)
+                edges, nth, start = around(piece, low + bounds[nth], high + bounds[nth], anchor + bounds[nth]), nth + a, begin[a + nth]
+                yield from kept.add(short, full, keys[of[nth]], parts[of[nth]], low + start, high + start, anchor - low, edges)
+        yield from kept.rows()
+
+    return ranged.mapInArrow(find, _LONG_ROW)
+
+
+def _windows(stretches: DataFrame) -> DataFrame:
+    """The same rows for the single windows of `stretches(short, key, part, low, high, lead, edges)`; short and full are one name."""
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = _Kept(alone=True)
+        for batch in batches:
+            short, key, part, low, high, lead = (batch.column(i).to_numpy() for i in range(6))
+            edges = np.frombuffer(b"".join(batch.column(6).to_pylist()), np.uint8).reshape(-1, 2 * _EDGE)
+            count = high - low + 1
+            row = np.repeat(np.arange(len(low)), count)
+            skip = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+            name, place = window_names(short[row].astype(np.uint64), lead[row], edges[row], skip), low[row] + skip
+            yield from kept.add(name, name, key[row], part[row], place, place)
         yield from kept.rows()
 
-    return ranged.mapInArrow(find, _ROW)
+    return stretches.mapInArrow(find, _ROW)
 
 
-def _ranked(rows: DataFrame) -> DataFrame:
+def _ranked(rows: DataFrame, *kept: str) -> DataFrame:
     """Sort by name and place: (again, open, key, part, low, high), again for what occurs at an earlier place, open for
-    what is at the first place of its full name while its short name has other full names too."""
+    what is at the first place of its full name while its short name has other full names too, with the columns `kept`."""
     same = Window.partitionBy("again", "short").orderBy("full", "key", "low")
     whole = same.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     # sorted as the window above
@@ -193,21 +249,23 @@ def _ranked(rows: DataFrame) -> DataFrame:
     return rows.select(
         (F.col("again") | (F.first("key").over(named) != F.col("key")) | (F.first("low").over(named) != F.col("low"))).alias("again"),
         (F.first("full").over(whole) != F.last("full").over(whole)).alias("open"), "key", "part", "low",
-        (F.col("low") + F.col("more")).alias("high"),
+        (F.col("low") + F.col("more")).alias("high"), *kept,
     ).where("again or open")
 
 
 def _listed(rows: DataFrame, name: str) -> DataFrame:
     """The ranges of each text in one array; a text has fewer than its bytes."""
-    return rows.groupBy("key", "part").agg(F.sort_array(F.collect_list(F.struct("low", "high"))).alias(name))
+    return rows.groupBy("key", "part").agg(F.sort_array(F.collect_set(F.struct("low", "high"))).alias(name))
 
 
 def repeated_runs(rows: DataFrame) -> DataFrame:
     """(key, part, low, high) for `rows(key, part, text)`: runs of first bytes of windows that occur at an earlier (key, place)."""
     first = written(_ranked(_anchors(rows)), "anchors")
     ranges = _listed(first.where("open and not again"), "ranges")
-    second = written(_ranked(_windows(rows.join(ranges, ["key", "part"]).select("key", "part", "text", "ranges"))).where("again"), "windows")
-    return first.where("again").select("key", "part", "low", "high").unionByName(second.select("key", "part", "low", "high"))
+    second = written(_ranked(_long_anchors(rows.join(ranges, ["key", "part"]).select("key", "part", "text", "ranges")), "short", *_MORE), "stretches")
+    stretches = second.where("open and not again").select("short", "key", "part", "low", "high", *_MORE)
+    third = written(_ranked(_windows(stretches)).where("again"), "windows")
+    return reduce(DataFrame.unionByName, (step.where("again").select("key", "part", "low", "high") for step in (first, second, third)))
 
 
 def _parted(rows: DataFrame) -> DataFrame:
