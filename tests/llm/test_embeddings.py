@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import json
+import subprocess
+import sys
+from pathlib import Path
+
 import numpy as np
 import pytest
 
@@ -89,3 +94,70 @@ def test_odd_vectors(spark):
     assert near_vectors(vectors_of(spark, [])).count() == 0
     twice = near_vectors(vectors_of(spark, [(5, [1.0, 0.0]), (5, [1.0, 0.0]), (None, [1.0, 0.0])])).collect()
     assert sorted(map(tuple, twice), key=repr) == [(5, 1, 5, True), (5, 1, 5, True), (None, 0, None, True)]
+
+
+DISK = """
+import sys
+sys.path.insert(0, sys.argv[1])
+import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyspark.sql import SparkSession
+from gridcast.llm.embeddings import near_vectors
+spark = SparkSession.builder.master("local[4]").config(map={
+    "spark.ui.enabled": "false", "spark.sql.session.timeZone": "UTC", "spark.sql.shuffle.partitions": "4", "spark.checkpoint.dir": sys.argv[2] + "/shared",
+    "spark.local.dir": sys.argv[2] + "/local", "spark.eventLog.enabled": "true", "spark.eventLog.dir": "file://" + sys.argv[2] + "/events",
+    "spark.eventLog.compress": "false", "spark.eventLog.rolling.enabled": "false"}).getOrCreate()
+x = np.random.default_rng(11).normal(size=(8000, 64)).astype(np.float32)
+x[7000:] = x[:1000] * 2 + np.float32(0.01)
+ids = pa.array(np.arange(8000))
+vectors = pa.ListArray.from_arrays(pa.array(np.arange(0, 8001 * 64, 64, dtype=np.int32)), pa.array(x.ravel()))
+pq.write_table(pa.table({"vec_id": ids, "embedding": vectors}), sys.argv[2] + "/in.parquet")
+print("links", near_vectors(spark.read.parquet(sys.argv[2] + "/in.parquet")).groupBy().sum("n_links").first()[0])
+spark.stop()
+"""
+
+
+def test_disk(tmp_path):
+    """Vectors without clusters: what all steps write and shuffle is a few times the input, not a copy for each cell that is compared."""
+    (tmp_path / "events").mkdir()
+    repo = str(Path(__file__).resolve().parents[2])
+    ran = subprocess.run([sys.executable, "-c", DISK, repo, str(tmp_path)], cwd=tmp_path, capture_output=True, text=True, timeout=600)
+    assert ran.returncode == 0, ran.stderr[-2000:]
+    assert "links 2000" in ran.stdout
+    ends = [e for p in (tmp_path / "events").iterdir() for e in map(json.loads, p.open()) if e["Event"] == "SparkListenerTaskEnd"]
+    moved = sum(e["Task Metrics"]["Shuffle Write Metrics"]["Shuffle Bytes Written"] + e["Task Metrics"]["Disk Bytes Spilled"] for e in ends)
+    stored = sum(p.stat().st_size for p in (tmp_path / "shared").rglob("*.parquet"))
+    assert moved + stored < 6 * (tmp_path / "in.parquet").stat().st_size
+
+
+@pytest.mark.parametrize("d, wide", [(64, False), (64, True), (5, False)])
+def test_blocks(spark, monkeypatch, d, wide):
+    """Cells dealt over several blocks, blocks of several cells, crowded and sparse tiles, doubles as they are."""
+    monkeypatch.setattr(embeddings, "BLOCK", 48)
+    monkeypatch.setattr(embeddings, "TILE", (8, 16))
+    monkeypatch.setattr(embeddings, "BLOCK_CELLS", 3)
+    draw = np.random.default_rng(d)
+    centre, rows = draw.normal(size=d), clusters(5, d, 40)
+    top = max(i for i, _ in rows)
+    rows += [(top + 1 + i, [float(np.float32(e)) for e in centre + draw.normal(size=d) * 0.12]) for i in range(250)]
+    kind = "double" if wide else "float"
+    vectors = spark.createDataFrame([(i, [e * (1 + 1e-12) for e in v] if wide else v) for i, v in rows], f"vec_id long, embedding array<{kind}>")
+    assert got_of(near_vectors(vectors)) == brute(rows)
+
+
+def test_layout():
+    first, parts = embeddings._layout(np.array([3, 4, 0, 25, 9, 1, 1]), 10)
+    assert first.tolist() == [0, 0, 0, 1, 4, 4, 5] and parts.tolist() == [1, 1, 1, 3, 1, 1, 1]
+    first, _ = embeddings._layout(np.zeros(130, int), 10)
+    assert np.bincount(first).tolist() == [64, 64, 2]
+
+
+def test_front():
+    """Products of the leading components are never below the cosine."""
+    draw = np.random.default_rng(3)
+    x = embeddings.unit(draw.normal(size=(600, 200)) * np.geomspace(1, 0.02, 200))
+    cells = embeddings.Cells(x[:4], embeddings._leading(x, 0.9), 0.9, None)
+    assert cells.leading.shape[1] < 200
+    front = cells.front(x.astype(np.float32))
+    assert (front @ front.T >= x @ x.T - cells.slack).all()
