@@ -38,7 +38,7 @@ SAMPLE_NUMBERS = 1 << 22  # numbers in these, at most
 MOST_CELLS = 4096
 ROUNDS = 8
 BLOCK = 1024  # rows of a stored block, at least
-BLOCK_NUMBERS = 1 << 22  # numbers in a stored block, about
+BLOCK_BYTES = 1 << 24  # of the numbers in a stored block, about
 BLOCK_CELLS = 64  # cells of a stored block, at most
 BLOCKS = 24  # stored blocks, about, before they grow beyond BLOCK rows
 TOGETHER = 8  # stored blocks that a task reads from each side, at most
@@ -278,6 +278,10 @@ class Comparison:
                 self.found.link(self.at[0] + p[linked], self.at[1] + q[linked])
 
 
+def _block_rows(count: int, numbers: np.dtype, d: int) -> int:
+    return max(BLOCK, min(-(-count // BLOCKS), BLOCK_BYTES // (numbers.itemsize * d)))
+
+
 def _layout(sizes: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
     """First block of each cell, and over how many it is dealt: neighbours share a block of at most `rows` rows, a larger cell has its own."""
     first, parts = np.zeros(len(sizes), np.int32), np.ones(len(sizes), np.int32)
@@ -314,8 +318,7 @@ def blocks_of(nodes: DataFrame, cells: Cells, count: int, numbers: np.dtype, d:
     sizes = np.zeros(len(cells.centres), np.int64)
     for cell, n in nodes.select("v").mapInArrow(tally, "cell int, n long").groupBy("cell").agg(F.sum("n")).collect():
         sizes[cell] = n
-    rows = max(BLOCK, min(-(-count // BLOCKS), BLOCK_NUMBERS // d))
-    first, parts = _layout(sizes, rows)
+    first, parts = _layout(sizes, _block_rows(count, numbers, d))
     placing = Sent(spark, (first, parts))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -369,7 +372,8 @@ def link_rows(nodes: DataFrame, count: int, numbers: np.dtype, d: int, least: fl
         yield found.table()
 
     together = max(1, min(TOGETHER, many // 12))
-    size = together * ((1 << 22) + max(BLOCK, min(-(-count // BLOCKS), BLOCK_NUMBERS // d)) * (numbers.itemsize * d + 20))
+    # Spark counts 4 MB for the opening of a file; a file of a block is not to be cut
+    size = together * ((1 << 22) + _block_rows(count, numbers, d) * (numbers.itemsize * d + 20))
     sides = [blocks.select(*(F.col(c).alias(f"{side}_{c}") for c in blocks.columns)) for side in ("a", "b")]
     turn = F.when(F.pmod(F.col("a_block") + F.col("b_block"), F.lit(2)) == 1, F.col("a_block") < F.col("b_block")).otherwise(F.col("a_block") >= F.col("b_block"))
     with setting(spark, "spark.sql.files.maxPartitionBytes", str(size)), setting(spark, "spark.sql.files.minPartitionNum", "1"), arrow_batches(spark, 1):
