@@ -38,10 +38,10 @@ SAMPLE_NUMBERS = 1 << 22  # numbers in these, at most
 MOST_CELLS = 4096
 ROUNDS = 8
 BLOCK = 1024  # rows of a stored block, at least
-BLOCK_BYTES = 1 << 24  # of the numbers in a stored block, about
+BLOCK_BYTES = 1 << 22  # of the numbers in a stored block, about
 BLOCK_CELLS = 64  # cells of a stored block, at most
 BLOCKS = 24  # stored blocks, about, before they grow beyond BLOCK rows
-TOGETHER = 8  # stored blocks that a task reads from each side, at most
+TOGETHER = 16  # stored blocks that a task reads from each side, at most
 LEADING = (16, 24, 32, 48, 64, 96, 128, 192, 256, 384, 512, 768)  # numbers of a row that are compared first
 TILE = (128, 2048)  # rows of either side that are compared at once
 HELD = 1 << 18  # pairs that wait for their comparison in full, about
